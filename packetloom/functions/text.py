@@ -25,16 +25,8 @@ PURGE_FIELDS = ["tod", "sz", "at", "ct", "mt", "fn"]
 STAGING_FIELDS = ["tod", "sz", "tm", "op", "rc"]
 
 
-def _drop_right(value: Column, n: Column | int) -> Column:
-    n = F.lit(n) if isinstance(n, int) else n
-    return F.substring(value, F.lit(1), F.greatest(F.char_length(value) - n, F.lit(0)))
-
-
-def _split_last(value: Column, mark: str) -> tuple[Column, Column]:
-    """(before, after) the last `mark`. Without a mark all of it is `after`, and `before` is all but one character."""
-    after = F.substring_index(value, mark, -1)
-    before = F.when(value.contains(mark), _drop_right(value, F.char_length(after) + 1)).otherwise(_drop_right(value, 1))
-    return before, after
+# protocol / user . pid : sid @ host, cut at the first '/', the last '@', the first ':' and the last '.' before it.
+_IDENT = r"(?s)^([^/]*)/(?:([^:]*)\.)?([^:.]*):(.*)@([^@]*)$"
 
 
 def _integer(value: Column) -> Column:
@@ -43,44 +35,38 @@ def _integer(value: Column) -> Column:
     return F.regexp_replace(clean, "_", "").try_cast("bigint")
 
 
-def ident_parts(message: Column) -> dict[str, Column]:
-    """Pieces of `protocol/user.pid:sid@host` plus what the message is good for.
+def has_protocol(message: Column) -> Column:
+    return message.contains("/")
 
-    `has_protocol` and `has_sid` tell whether the separators were there: an identity needs both.
-    """
-    has_protocol = message.contains("/")
-    protocol = F.substring_index(message, "/", 1)
-    body = F.when(has_protocol, F.substring(message, F.char_length(protocol) + 2, F.char_length(message))).otherwise(
-        message
-    )
-    left, host = _split_last(body, "@")
-    has_sid = left.contains(":")
-    who = F.substring_index(left, ":", 1)
-    sid_text = F.substring(left, F.char_length(who) + 2, F.char_length(left))
-    username, pid_text = _split_last(who, ".")
-    pid = _integer(pid_text)
-    return {
-        "has_protocol": has_protocol,
-        "has_sid": has_sid,
-        "protocol": protocol,
-        "username": username,
-        "pid": F.coalesce(pid, F.lit(0)),
-        "sid": F.when(pid.isNull(), F.lit(0)).otherwise(F.coalesce(_integer(sid_text), F.lit(0))),
-        "host": host,
-    }
+
+def has_session(message: Column) -> Column:
+    """A ':' comes before the last '@', or before the last character where there is no '@'."""
+    return message.rlike("(?s):.*@") | (~message.contains("@") & message.rlike("(?s):."))
 
 
 def parse_user_ident(message: Column) -> Column:
-    """STRUCT<protocol, username, pid, sid, host>, NULL when the protocol or the sid separator is missing."""
-    p = ident_parts(message)
+    """STRUCT<protocol, username, pid, sid, host> of `protocol/user.pid:sid@host`.
+
+    NULL when the '/' or the ':' is missing. A missing '@' makes all of the rest the host and costs the rest its
+    last character; a missing '.' does the same to the pid and the user name. A pid that is no number makes
+    pid and sid 0, a sid that is none only the sid.
+    """
+    no_host = message.rlike("(?s)^[^/]*/[^@]*$")
+    whole = F.when(no_host, F.regexp_replace(message, "(?s)^([^/]*/)(.*?)(.?)$", "$1$2@$2$3")).otherwise(message)
+
+    def part(n: int) -> Column:
+        return F.regexp_extract(whole, _IDENT, n)
+
+    no_dot = ~whole.rlike(r"(?s)^[^/]*/[^:]*\.[^:.]*:")
+    pid = _integer(part(3))
     fields = F.struct(
-        p["protocol"].alias("protocol"),
-        p["username"].alias("username"),
-        p["pid"].alias("pid"),
-        p["sid"].alias("sid"),
-        p["host"].alias("host"),
+        part(1).alias("protocol"),
+        F.when(no_dot, F.regexp_replace(part(3), "(?s).$", "")).otherwise(part(2)).alias("username"),
+        F.coalesce(pid, F.lit(0)).alias("pid"),
+        F.when(pid.isNull(), F.lit(0)).otherwise(F.coalesce(_integer(part(4)), F.lit(0))).alias("sid"),
+        part(5).alias("host"),
     )
-    return F.when(p["has_protocol"] & p["has_sid"], fields)
+    return F.when(whole.rlike(_IDENT), fields)
 
 
 def _last_value_of(message: Column, key: str, value: str) -> Column:

@@ -96,7 +96,9 @@ def decode_times(framed: DataFrame) -> DataFrame:
 def explode_fstream(framed: DataFrame) -> DataFrame:
     """One row per record, with the event time of its packet and its place in it (`rec_idx`)."""
     columns = ["sid", "addr", "arrival_ts", "arrival_seq", "t_beg"]
-    return _walked(framed).select(*columns, F.posexplode("walk.recs").alias("rec_idx", "rec"))
+    # The outer form, because Spark would put a filter on the array below a plain one and walk every packet twice.
+    spread = _walked(framed).select(*columns, F.posexplode_outer("walk.recs").alias("rec_idx", "rec"))
+    return spread.filter("rec IS NOT NULL")
 
 
 def bad_fstream(framed: DataFrame) -> DataFrame:

@@ -23,13 +23,24 @@ def _micros(ttl_seconds: int) -> int:
     return ttl_seconds * 1_000_000
 
 
-def _asof(probes: DataFrame, states: DataFrame, keys: list[str], values: list[str], group_limit: int | None) -> DataFrame:
-    """Probes with the latest earlier non-NULL `values` of `states`: union, then one pass per key in arrival order."""
+def _asof(
+    probes: DataFrame,
+    states: DataFrame,
+    keys: list[str],
+    values: list[str],
+    group_limit: int | None,
+    writers: DataFrame | None = None,
+) -> DataFrame:
+    """Probes with the latest earlier non-NULL `values` of `states`: union, then one pass per key in arrival order.
+
+    `writers` has the same keys as `states` and is cheaper to count.
+    """
     probe_cols = [c for c in probes.columns if c not in (*keys, *ORDER)]
     both = probes.select(*keys, *ORDER, F.struct(*probe_cols).alias("probe")).unionByName(
         states.select(*keys, "arrival_seq", F.lit(-1).alias("rec_idx"), *values), allowMissingColumns=True
     )
-    hot = find_hot_keys(both.select(*keys, "arrival_seq"), keys, "arrival_seq", group_limit)
+    counted = [df.select(*keys, "arrival_seq") for df in (probes, states if writers is None else writers)]
+    hot = find_hot_keys(counted[0].unionByName(counted[1]), keys, "arrival_seq", group_limit)
     found = before(both, keys, ORDER, last={f"_{v}": F.col(v) for v in values}, hot=hot)
     return found.filter("probe IS NOT NULL").select(
         *keys, *ORDER, "probe.*", *[F.col(f"_{v}").alias(v) for v in values]
@@ -77,14 +88,18 @@ def lookup_dict(
 
 
 def user_leases(messages: DataFrame, ttl_seconds: int, lease_limit: int | None = LEASE_GROUP_LIMIT) -> DataFrame:
-    """Start times of the lives of every (sid, identity): the first message, then each first one after the TTL ran out.
+    """Start times `t` of the lives of every (sid, identity): the first message, then each first one after the TTL.
 
-    Each start depends on the one before. For identities with up to `lease_limit` distinct message times that is
-    a fold over their sorted times; for busier ones the starts are found by jumps of doubling length.
+    Each start depends on the one before. For identities with up to `lease_limit` messages that is a fold over
+    their sorted times; for busier ones the starts are found by jumps of doubling length.
     """
-    times = messages.select(*USER_KEY, F.unix_micros("arrival_ts").alias("t")).distinct()
+    timed = messages.withColumn("t", F.unix_micros("arrival_ts"))
+    return _leases(timed, ttl_seconds, find_hot_keys(timed.select(*USER_KEY, "t"), USER_KEY, "t", lease_limit))
+
+
+def _leases(timed: DataFrame, ttl_seconds: int, hot: DataFrame | None) -> DataFrame:
+    times = timed.select(*USER_KEY, "t").distinct()
     ttl = _micros(ttl_seconds)
-    hot = find_hot_keys(times, USER_KEY, "t", lease_limit)
     if hot is None:
         return _folded_leases(times, ttl)
     hot_keys = F.broadcast(hot.select(*USER_KEY))  # at most rows / lease_limit keys
@@ -151,36 +166,37 @@ def lookup_user(
     if ttl_seconds is None:
         states = messages.withColumn("lease", F.lit(0).cast("bigint"))
     else:
-        leases = user_leases(messages, ttl_seconds, lease_limit)
-        marks = leases.select(*USER_KEY, F.col("t").alias("at"), F.col("t").alias("start"))
-        timed = messages.withColumn("at", F.unix_micros("arrival_ts")).unionByName(marks, allowMissingColumns=True)
-        timed = timed.withColumn("tie", F.col("start").isNull().cast("int"))
-        hot = find_hot_keys(timed.select(*USER_KEY, "at"), USER_KEY, "at", group_limit)
-        states = before(timed, USER_KEY, ["at", "tie"], last={"lease": F.col("start")}, hot=hot).filter("start IS NULL")
+        timed = messages.withColumn("t", F.unix_micros("arrival_ts"))
+        hot = find_hot_keys(timed.select(*USER_KEY, "t"), USER_KEY, "t", lease_limit)
+        marks = _leases(timed, ttl_seconds, hot).withColumn("start", F.col("t"))
+        # A life starts before the messages of the same moment.
+        marked = timed.unionByName(marks, allowMissingColumns=True).withColumn("tie", F.col("start").isNull().cast("int"))
+        states = before(marked, USER_KEY, ["t", "tie"], last={"lease": F.col("start")}, hot=hot).filter("start IS NULL")
     states = states.select(
         *USER_KEY,
+        F.lit(0).cast("bigint").alias("spread"),
         "arrival_seq",
         "lease",
         F.when(F.col("auth").isNotNull(), F.struct("auth", "lease")).alias("by_user"),
         F.when(F.col("appinfo").isNotNull(), F.struct("appinfo", "lease")).alias("by_app"),
     )
-    # Transfers without an identity have nothing to look up and stay out of the shuffle, where their NULL key
-    # would gather in one task.
-    anonymous = transfers.filter("ident IS NULL")
-    found = _asof(transfers.filter("ident IS NOT NULL"), states, USER_KEY, ["lease", "by_user", "by_app"], group_limit)
+    # Transfers without an identity find nothing; a key of their own keeps them from gathering in one task.
+    probes = transfers.withColumn("spread", F.when(F.col("ident").isNull(), F.col("arrival_seq")).otherwise(0))
+    writers = messages.select(*USER_KEY, F.lit(0).cast("bigint").alias("spread"), "arrival_seq")
+    values = ["lease", "by_user", "by_app"]
+    found = _asof(probes, states, [*USER_KEY, "spread"], values, group_limit, writers)
     live = F.col("lease").isNotNull()
     if ttl_seconds is not None:
         live = live & (F.unix_micros("arrival_ts") - F.col("lease") <= _micros(ttl_seconds))
     named = live & (F.col("by_user.lease") == F.col("lease"))
     tagged = live & (F.col("by_app.lease") == F.col("lease"))
-    result = found.withColumns(
+    return found.withColumns(
         {
             "user": F.when(named, F.col("ident")),
             "auth": F.when(named, F.col("by_user.auth")),
             "appinfo": F.when(tagged, F.col("by_app.appinfo")),
         }
-    ).drop("lease", "by_user", "by_app")
-    return result.unionByName(anonymous, allowMissingColumns=True)
+    ).drop("spread", *values)
 
 
 def first_servers(servers: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from packetloom.functions.binary import tail, text, uint
 from packetloom.functions.text import (
-    ident_parts,
+    has_protocol,
+    has_session,
     parse_auth,
     parse_purge,
     parse_server_info,
@@ -28,7 +29,6 @@ def decode_map(framed: DataFrame) -> DataFrame:
     ident = F.substring_index("info", "\n", 1)
     rest = F.substring(F.col("info"), F.char_length(ident) + 2, F.char_length("info"))
     split = framed.filter(F.col("kind").isin(MAP_KINDS) & (F.octet_length("body") >= 4)).withColumn("info", info)
-    parts = ident_parts(F.col("ident_text"))
     return split.select(
         "sid",
         "kind",
@@ -38,7 +38,9 @@ def decode_map(framed: DataFrame) -> DataFrame:
         uint(F.col("body"), 1, 4).alias("dict_id"),
         ident.alias("ident_text"),
         rest.alias("rest"),
-    ).withColumns({"ident": parse_user_ident(F.col("ident_text")), "whole": parts["has_protocol"] | ~parts["has_sid"]})
+        # In a generator of one row, so that filters on the identity do not make Spark parse it again.
+        F.explode_outer(F.array(parse_user_ident(ident))).alias("ident"),
+    ).withColumn("whole", has_protocol(F.col("ident_text")) | ~has_session(F.col("ident_text")))
 
 
 def _of_kind(maps: DataFrame, kind: str, needs_ident: bool) -> DataFrame:

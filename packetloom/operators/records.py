@@ -55,18 +55,10 @@ def record_id() -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, n) for start, n in cuts])
 
 
-def to_wlcg(
-    records: DataFrame, now_ms: Column | None = None, host: str = "", unique_id: Column | None = None
-) -> DataFrame:
-    """Transfer records in the WLCG form. `unique_id` may be `F.uuid()` where ids need not be repeatable."""
+def wlcg_columns(now_ms: Column, host: str, unique_id: Column) -> list[Column]:
     c = F.col
     empty = F.lit("")
-    now_ms = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-    unique_id = record_id() if unique_id is None else unique_id
-    stats = rules.wlcg_stats()
-    named = records.withColumn("unique_id", unique_id)
-    return named.select(
-        *POSITION,
+    return [
         F.coalesce("site", empty).alias("site_name"),
         F.lit(True).alias("fallback"),
         F.coalesce("user_dn", empty).alias("user_dn"),
@@ -75,8 +67,8 @@ def to_wlcg(
         F.coalesce("server_hostname", empty).alias("server_host"),
         F.when(c("server_hostname") != "", F.substring_index("server_hostname", ".", -2)).alias("server_domain"),
         F.when(F.coalesce("server_hostname", empty) == "", empty).alias("server_hostname"),
-        "server_ip",
-        "unique_id",
+        c("server_ip"),
+        unique_id.alias("unique_id"),
         c("filename").alias("file_lfn"),
         c("filesize").alias("file_size"),
         (c("read") + c("readv")).alias("read_bytes"),
@@ -84,14 +76,22 @@ def to_wlcg(
         c("write").alias("write_bytes"),
         F.coalesce("ipv6", F.lit(False)).alias("ipv6"),
         rules.dn_user(c("user_dn")).alias("user"),
-        "start_time",
-        "end_time",
-        "operation_time",
+        c("start_time"),
+        c("end_time"),
+        c("operation_time"),
         rules.operation_kind(c("read"), c("readv"), c("write")).alias("operation"),
         F.coalesce("site", empty).alias("server_site"),
         c("protocol").alias("user_protocol"),
-        "vo",
-        *[value.alias(name) for name, value in stats.items()],
+        c("vo"),
+        *[value.alias(name) for name, value in rules.wlcg_stats().items()],
         *[value.alias(name) for name, value in rules.crab_fields(c("appinfo")).items()],
-        rules.metadata("cms", "aaa-ng", c("unique_id"), now_ms, F.lit(host)).alias("metadata"),
-    )
+        rules.metadata("cms", "aaa-ng", unique_id, now_ms, F.lit(host)).alias("metadata"),
+    ]
+
+
+def to_wlcg(
+    records: DataFrame, now_ms: Column | None = None, host: str = "", unique_id: Column | None = None
+) -> DataFrame:
+    """Transfer records in the WLCG form. `unique_id` may be `F.uuid()` where ids need not be repeatable."""
+    now_ms = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    return records.select(*POSITION, *wlcg_columns(now_ms, host, record_id() if unique_id is None else unique_id))

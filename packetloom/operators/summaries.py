@@ -77,11 +77,10 @@ def _number(section: str, path: str) -> Column:
 
 def parse_reports(packets: DataFrame) -> DataFrame:
     """The XML of every packet; `report` is NULL where it cannot be read."""
-    parsed = packets.select(
-        "addr", "arrival_ts", "arrival_seq", "payload", F.from_xml(text(F.col("payload")), REPORT_SCHEMA).alias("report")
-    )
-    whole = F.col("report._pgm").isNotNull()
-    return parsed.withColumn("report", F.when(whole, F.col("report")))
+    parsed = F.from_xml(text(F.col("payload")), REPORT_SCHEMA)
+    # A generator of one row keeps Spark from parsing again for every filter and field above (the outer form too).
+    rows = packets.select("addr", "arrival_ts", "arrival_seq", "payload", F.explode_outer(F.array(parsed)).alias("report"))
+    return rows.withColumn("report", F.when(F.col("report._pgm").isNotNull(), F.col("report")))
 
 
 def _typed(packets: DataFrame) -> DataFrame:
@@ -138,13 +137,20 @@ def summary_fields(packets: DataFrame) -> DataFrame:
     )
 
 
+def _hot_processes(rows: DataFrame, group_limit: int | None) -> DataFrame | None:
+    return find_hot_keys(rows.select(*KEY, "arrival_seq"), KEY, "arrival_seq", group_limit)
+
+
 def drop_late_summaries(summaries: DataFrame, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
     """Leave out reports that are older than one accepted earlier for the same process.
 
     The largest time of all earlier reports is also the largest of the accepted ones, so no state is needed.
     """
     rows = summaries.filter("has_site")
-    hot = find_hot_keys(rows.select(*KEY, "arrival_seq"), KEY, "arrival_seq", group_limit)
+    return _on_time(rows, _hot_processes(rows, group_limit))
+
+
+def _on_time(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
     seen = before(rows, KEY, ["arrival_seq"], largest={"newest": F.col("tod")}, hot=hot)
     return seen.filter(F.col("newest").isNull() | (F.col("tod") >= F.col("newest"))).drop("newest")
 
@@ -159,14 +165,21 @@ def difference(counters: Column, earlier: Column) -> dict[str, Column]:
 
 def counter_deltas(accepted: DataFrame, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
     """Counters minus those of the accepted report before; the first report of a process has none and is left out."""
-    hot = find_hot_keys(accepted.select(*KEY, "arrival_seq"), KEY, "arrival_seq", group_limit)
+    return _deltas(accepted, _hot_processes(accepted, group_limit))
+
+
+def _deltas(accepted: DataFrame, hot: DataFrame | None) -> DataFrame:
     linked = before(accepted, KEY, ["arrival_seq"], last={"earlier": F.col("counters")}, hot=hot)
     known = linked.filter("earlier IS NOT NULL")
     return known.withColumns(difference(F.col("counters"), F.col("earlier"))).drop("earlier", "counters")
 
 
 def summary_records(summaries: DataFrame, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
-    """Everything that is published: differences of accepted reports, and basic fields of those without a site."""
-    accepted = drop_late_summaries(summaries, group_limit)
+    """Everything that is published: differences of accepted reports, and basic fields of those without a site.
+
+    Both passes run over one shuffle by process. `summaries` is read several times: a written table is best.
+    """
+    rows = summaries.filter("has_site")
+    hot = _hot_processes(rows, group_limit)
     basic = summaries.filter("NOT has_site").drop("counters")
-    return counter_deltas(accepted, group_limit).unionByName(basic, allowMissingColumns=True)
+    return _deltas(_on_time(rows, hot), hot).unionByName(basic, allowMissingColumns=True)

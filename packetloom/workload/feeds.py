@@ -15,6 +15,11 @@ from packetloom.functions import encode
 from packetloom.functions.binary import pack, to_binary
 from packetloom.functions.text import encode_auth, encode_ident, encode_server_info
 from packetloom.operators.framing import frame_packets
+from packetloom.operators.fstream import fstream_records
+from packetloom.operators.mapping import decode_map
+from packetloom.operators.summaries import summary_fields
+from packetloom.operators.transfers import stitch_transfers
+from packetloom.plans.detailed import enrich_transfers
 from packetloom.sources.packets import PACKET_SCHEMA, read_packets
 from packetloom.sources.stage import new_folder, write_stage
 
@@ -35,13 +40,20 @@ COUNTER_FACTORS = {
     "xrootd_errors": 53, "xrootd_delays": 59, "xrootd_redirections": 61, "login_attempts": 67,
     "authentication_failures": 71, "authentication_successes": 73, "unauthenticated_successes": 79,
 }
-_cache: dict[tuple[str, str, str], str] = {}
+_cache: dict[tuple[str, str, str], DataFrame] = {}
+_paths: dict[tuple[str, str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A file of one row group is read by one task: deal its rows out when there are more cores than scan tasks."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def div(value: Column, by: int) -> Column:
     return F.floor(value / by).cast("bigint")
 
@@ -95,6 +107,9 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), cents(F.col("o_totalprice")).alias("size")
     )
+    # The join needs this shuffle anyway; the fixed number keeps small inputs on all cores.
+    orders = orders.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                    spark.sparkContext.defaultParallelism), "k")
     u = c % 40
     short_host = F.when(u % 9 == 0, _text("f", u)).otherwise(_text("n", u))
     domain = F.when(c % 2 == 0, "unl.edu").otherwise("cern.ch")
@@ -221,7 +236,7 @@ def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their number `rn` within (user_id % 4, event_type), counted in blocks of ids of bounded size."""
-    ev = table(spark, sf_dir, "events").select(
+    ev = spread(table(spark, sf_dir, "events")).select(
         "event_id", (F.col("user_id") % 4).alias("src"), "event_type", div(F.col("event_id"), 100000).alias("block")
     )
     key = ["src", "event_type"]
@@ -286,7 +301,7 @@ def gstream_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(div(e, 3) % 2 == 0, cache).otherwise(tcp)
     # Three lines to a packet at most.
     grouped = (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"))
         .select(div(e, 3).alias("n"), F.struct(e.alias("event_id"), line.alias("line")).alias("item"))
         .groupBy("n")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
@@ -344,7 +359,7 @@ def summary_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<stats id="sched"><inq>', e % 10, "</inq><threads>", e % 50, "</threads><idle>", e % 20, "</idle></stats>",
         '<stats id="sgen"><as>', e % 3, "</as><toe>", tod + 1, "</toe></stats></statistics>",
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         to_binary(xml).alias("payload"),
         _text("10.1.0.", u % 16).alias("addr"),
         F.lit("9931").alias("port"),
@@ -362,21 +377,48 @@ FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def packets(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Feed `name`, written as packet files once per session and read from there."""
+def _staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame], partition_by: str | None = None):
+    """`make()` written once per session, and the table read back on every call."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _cache:
+        _cache[key] = write_stage(make(), name, partition_by)
+    return _cache[key]
+
+
+def packets(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Feed `name`, written as packet files once per session and read from there."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"path-{name}")
+    if key not in _paths:
         path = new_folder(spark, f"feed-{name}")
         FEEDS[name](spark, sf_dir).select(*PACKET_SCHEMA.fieldNames()).write.parquet(path)
-        _cache[key] = path
-    return read_packets(spark, _cache[key])
+        _paths[key] = path
+    return read_packets(spark, _paths[key])
 
 
 def framed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Framed packets of feed `name`, written once per session by kind, so that a consumer of one kind reads only it."""
-    key = (spark.sparkContext.applicationId, sf_dir, f"framed-{name}")
-    if key not in _cache:
-        staged = write_stage(frame_packets(packets(spark, sf_dir, name)), f"framed-{name}", partition_by="kind")
-        _cache[key] = staged.inputFiles()[0].split("/kind=")[0]
-    schema = frame_packets(packets(spark, sf_dir, name)).schema
-    return spark.read.schema(schema).parquet(_cache[key])
+    """Framed packets of feed `name`, kept by kind, so that a consumer of one kind reads only its files."""
+    return _staged(spark, sf_dir, f"framed-{name}", lambda: frame_packets(packets(spark, sf_dir, name)), "kind")
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed file-stream records of the transfer feed: several operators read a few columns of them each."""
+    return _staged(spark, sf_dir, "records", lambda: fstream_records(framed(spark, sf_dir, "transfer")))
+
+
+def maps(spark: SparkSession, sf_dir: str, name: str = "transfer") -> DataFrame:
+    """Decoded map messages of a feed, kept by kind: users, apps, paths and servers are read by different lookups."""
+    return _staged(spark, sf_dir, f"maps-{name}", lambda: decode_map(framed(spark, sf_dir, name)), "kind")
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers of the feed with all that was known when they ended, before the rules are applied."""
+
+    def make() -> DataFrame:
+        return enrich_transfers(stitch_transfers(records(spark, sf_dir)), maps(spark, sf_dir))
+
+    return _staged(spark, sf_dir, "enriched", make)
+
+
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed fields of the summary feed."""
+    return _staged(spark, sf_dir, "reports", lambda: summary_fields(packets(spark, sf_dir, "summary")))
