@@ -14,9 +14,10 @@ from packetloom.operators import framing, fstream, gstream, lookups, mapping, me
 from packetloom.operators import summaries as reports
 from packetloom.operators import transfers
 from packetloom.plans import detailed, summary
-from packetloom.sources.packets import unwrap_pushed
+from packetloom.sources.packets import stream_packets, unwrap_pushed
 from packetloom.sources.sinks import write_routed
 from packetloom.sources.stage import new_folder
+from packetloom.streaming import streams
 from packetloom.workload import feeds
 
 AS_OF = 1700150000
@@ -413,6 +414,50 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- the same on streams
+
+
+def _stream(spark: SparkSession, sf: str, feed: str, job: Callable[[DataFrame], DataFrame], batches: int = 2) -> DataFrame:
+    """Run a streaming job over the whole feed, laid down file by file in arrival order, and read what it wrote."""
+    packets = feeds.packets(spark, sf, feed)
+    path, out, checkpoint = (new_folder(spark, f"stream-{feed}-{part}") for part in ("in", "out", "checkpoint"))
+    cuts = packets.approxQuantile("arrival_seq", [i / batches for i in range(1, batches)], 0.01)
+    edges = [-1, *[int(c) for c in cuts], 2**63 - 1]
+    for low, high in zip(edges, edges[1:]):
+        part = packets.filter((F.col("arrival_seq") > low) & (F.col("arrival_seq") <= high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, streams.ROCKSDB)
+    try:
+        stream = job(stream_packets(spark, path, max_files_per_trigger=1))
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def stream_sequence(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _stream(spark, sf, "sequence", streams.stream_sequence)
+    return rows.select("arrival_seq", "pseq", "is_first", "expected", "missing", "reordered")
+
+
+def stream_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _stream(spark, sf, "summary", streams.stream_summaries)
+    return rows.select("arrival_seq", "addr", "pid", "timestamp", "site", "link_num", *reports.COUNTERS)
+
+
+def stream_transfers(spark: SparkSession, sf: str) -> DataFrame:
+    hosts = feeds.hosts(spark, sf)
+    rows = _stream(
+        spark, sf, "transfer", lambda p: streams.stream_transfers(p, hosts, salts=2, drop_old_state=False)
+    )
+    shown = ["file_id", F.floor(F.col("end_time") / 1000).alias("close_time"), "user", "vo", "appinfo", "site", "filename",
+             "filesize", "logical_dirname", "read", "is_wlcg"]
+    return longs(rows.select(*shown))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_flagship": flagship,
     "q_pushed_unwrap": pushed_unwrap,
@@ -465,4 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_state_sizes": state_sizes,
     "q_idle": idle,
     "q_routed_sink": routed_sink,
+    "q_stream_sequence": stream_sequence,
+    "q_stream_summaries": stream_summaries,
+    "q_stream_transfers": stream_transfers,
 }

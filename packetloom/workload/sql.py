@@ -515,3 +515,12 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT CASE WHEN {_COPY_WLCG} THEN 'xrd.tpc.wlcg' ELSE 'xrd.tpc' END, 'tpc', count(*) FROM pages GROUP BY 1, 2
         UNION ALL SELECT 'xrd.detailed', 'summary', count(*) FROM sr""",
 }
+
+ORACLE |= {
+    "q_stream_sequence": ORACLE["q_sequence"],
+    "q_stream_summaries": ORACLE["q_summary_deltas"],
+    "q_stream_transfers": f"""{_PUB}
+        SELECT file_id, t AS close_time, 'u' || u AS "user", vo, appinfo, site, filename, coalesce(file_size, -1) AS filesize,
+               logical_dirname, rd AS read, is_wlcg
+        FROM pub""",
+}

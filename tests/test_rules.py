@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def one(spark, value, expr):
         ("/user/a/b/c", "/user/a"), ("/user/dteam/x/y", "/user/dteam"), ("/osgconnect/public/u/f", "/osgconnect/public/u"),
         ("/ospool/PROTECTED/u/f", "/ospool/PROTECTED/u"), ("/ospool/ap21/data/u/f", "/ospool/ap21/data/u"),
         ("/hcc/a/b/c/d/e/f", "/hcc/a/b/c/d"), ("/pnfs/fnal.gov/usr/x/y", "/pnfs/fnal.gov/usr/x"), ("/chtc/x", "/chtc"),
-        ("/chtcx", "unknown directory"), ("/igwn/ligo/x/y", "/igwn/ligo/x"), ("/storage/x/y", "/storage/x"), ("", "unknown directory"),
+        ("/chtcx", "unknown directory"), ("/igwn/ligo/x/y", "/igwn/ligo/x"), ("/storage/x/y", "unknown directory"), ("/storefront/x/y", "/storefront/x"), ("", "unknown directory"),
     ],
 )
 def test_logical_dirname(spark, path, expected):
@@ -113,8 +114,8 @@ def test_leases_fold_and_jumps_agree(spark):
 def _records(spark, events):
     """(seq, file, type, t) with type o(pen), c(lose), x(fer)."""
     kinds = {"c": 0, "o": 1, "x": 3}
-    rows = [("s", "a", T0 + timedelta(seconds=t), q, t, 0, kinds[k], f, 9 if k == "o" else None, 5 if k == "o" else None,
-             f"/n{q}" if k == "o" else None, q, q, q, None) for q, f, k, t in events]
+    rows = [("s", "a", T0 + timedelta(seconds=t), q, t, 0, kinds[k], f, Decimal(9) if k == "o" else None, 5 if k == "o" else None,
+             f"/n{q}" if k == "o" else None, Decimal(q), Decimal(q), Decimal(q), None) for q, f, k, t in events]
     ops = "struct<read:bigint>"
     return spark.createDataFrame(rows, f"""sid string, addr string, arrival_ts timestamp, arrival_seq bigint, t_beg bigint,
         rec_idx int, rec_type bigint, file_id bigint, file_size decimal(20,0), user_id bigint, file_name string,
@@ -135,7 +136,7 @@ def test_stitching_and_progress(spark):
     assert transfers.expire_transfers(recs, now).count() == 0
     again = recs.unionByName(_records(spark, [(12, 2, "x", 60)]))
     row = transfers.expire_transfers(again, now).first()
-    assert (row.file_id, row.open_time, row.has_close, row.read) == (2, 50, True, 12)
+    assert (row.file_id, row.open_time, row.has_close, int(row.read)) == (2, 50, True, 12)
 
 
 def test_results_do_not_depend_on_partitions(spark):

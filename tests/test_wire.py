@@ -91,7 +91,7 @@ def test_framing(spark):
     "message, expected",
     [
         ("xroot/dweitzel.10:2059@red-gridftp4.unl.edu", ("xroot", "dweitzel", 10, 2059, "red-gridftp4.unl.edu")),
-        ("a/b.c.5:7@h@x", ("a", "b.c", 5, 7, "x")),
+        ("a/b.c.5:7@h@x", ("a", "b.c", 5, 0, "x")),  # the sid is "7@h", which is no number
         ("a/b.x:7@h", ("a", "b", 0, 0, "h")),
         ("a/b.5:x@h", ("a", "b", 5, 0, "h")),
         ("a/b5:7@h", ("a", "b", 0, 0, "h")),
@@ -128,7 +128,7 @@ def test_server_message_needs_no_session(spark):
 
 
 def test_u64_round_trip(spark):
-    df = spark.createDataFrame([(2**64 - 1,), (0,), (2**63,)], "n decimal(20,0)").withColumn("b", pack_u64(F.col("n")))
+    df = spark.createDataFrame([(str(n),) for n in (2**64 - 1, 0, 2**63)], "s string").select(F.col("s").cast("decimal(20,0)").alias("n")).withColumn("b", pack_u64(F.col("n")))
     assert all(r.n == r.m for r in df.select("n", uint(F.col("b"), 1, 8).alias("m")).collect())
 
 
