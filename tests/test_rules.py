@@ -48,8 +48,8 @@ def test_hosts_owners_urls(spark):
 
 def test_crab_examples(spark):
     for text, want in {
-        "162_https://glidein.cern.ch/162/190501:101553:heewon:crab:RPC-v2_0": ("162", "0", "190501:101553:heewon:crab:RPC-v2"),
-        "3-99_https://glidein.cern.ch/3-99/190608:dseith:E_2": ("3-99", "2", "190608:dseith:E"),
+        "162_https://host.example/162/190501:101553:carol:crab:RPC-v2_0": ("162", "0", "190501:101553:carol:crab:RPC-v2"),
+        "3-99_https://host.example/3-99/190608:dave:E_2": ("3-99", "2", "190608:dave:E"),
         "a_b": (None, None, None),
     }.items():
         got = spark.createDataFrame([(text,)], "a string").select(*[v.alias(n) for n, v in rules.crab_fields(F.col("a")).items()]).first()

@@ -90,7 +90,7 @@ def test_framing(spark):
 @pytest.mark.parametrize(
     "message, expected",
     [
-        ("xroot/dweitzel.10:2059@red-gridftp4.unl.edu", ("xroot", "dweitzel", 10, 2059, "red-gridftp4.unl.edu")),
+        ("xroot/carol.10:2059@node-4.example.edu", ("xroot", "carol", 10, 2059, "node-4.example.edu")),
         ("a/b.c.5:7@h@x", ("a", "b.c", 5, 0, "x")),  # the sid is "7@h", which is no number
         ("a/b.x:7@h", ("a", "b", 0, 0, "h")),
         ("a/b.5:x@h", ("a", "b", 5, 0, "h")),
