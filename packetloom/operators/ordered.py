@@ -19,6 +19,14 @@ GROUP_LIMIT = 4_000_000
 _BUCKETS = 65536
 
 
+def limit_for(group_limit: int | None, *tables: DataFrame) -> int | None:
+    """None when the tables together have no more rows than `group_limit`: then no key can have more either, and
+    nothing needs to be searched. Counting a written table reads no column."""
+    if group_limit is None or sum(t.count() for t in tables) <= group_limit:
+        return None
+    return group_limit
+
+
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, group_limit: int | None = GROUP_LIMIT
 ) -> DataFrame | None:

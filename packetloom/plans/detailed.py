@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.operators import framing, fstream, gstream, lookups, mapping, routing, transfers
-from packetloom.operators.ordered import GROUP_LIMIT
+from packetloom.operators.ordered import GROUP_LIMIT, limit_for
 from packetloom.operators.records import transfer_records
 from packetloom.operators.transfers import TTL_SECONDS
 from packetloom.sources.stage import write_stage
@@ -55,6 +55,8 @@ def transfers_from(
 
     `records` and `maps` are read by several steps, so both should be written tables.
     """
+    # A lookup sees at most one row per record and one per map message.
+    group_limit = limit_for(group_limit, records, maps)
     if as_of is not None:
         until = F.col("arrival_ts") <= F.timestamp_seconds(F.lit(as_of))
         records, maps = records.filter(until), maps.filter(until)

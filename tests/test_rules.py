@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from packetloom.functions import fields as rules
 from packetloom.functions.paths import is_wlcg_url, logical_dirname, user_domain, vo_from_path
 from packetloom.operators import lookups, sequence, summaries, transfers
-from packetloom.operators.ordered import before, find_hot_keys
+from packetloom.operators.ordered import before, find_hot_keys, limit_for
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -90,6 +90,7 @@ def test_hot_keys_change_nothing(spark):
     sliced = df.join(hot, "k").groupBy(F.size(F.filter("bounds", lambda b: b < F.col("seq")))).count()
     assert sliced.agg(F.max("count")).first()[0] <= 200
     assert find_hot_keys(df, ["k"], "seq", 10**6) is None
+    assert (limit_for(4000, df), limit_for(3999, df), limit_for(None, df)) == (None, 3999, None)
 
 
 def test_leases_fold_and_jumps_agree(spark):
