@@ -6,20 +6,23 @@ several later ones from being computed again for each.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: dict[str, str] = {}
-
 
 def stage_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`, which a cluster sets to a shared folder; a temporary folder only where it is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """`spark.checkpoint.dir`, which a cluster sets to a shared folder, or the folder of `setCheckpointDir`.
+
+    Where neither is set, one process that is driver and executor alike takes Spark's warehouse folder. A cluster has to name a
+    folder: on a machine's own disk, tables would be read back with the rows of other executors missing.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        app = spark.sparkContext.applicationId
-        shared = _fallback.setdefault(app, tempfile.mkdtemp(prefix="packetloom-"))
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/packetloom"
 
 
