@@ -50,9 +50,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def over_texts(
-    df: DataFrame, schema: str, rows: Callable[[list[str | None]], dict[str, object]], keep: list[str], text: str = "text"
+    df: DataFrame, schema: str, rows: Callable[..., dict[str, object]], keep: list[str], text: str = "text", also: list[str] | None = None
 ) -> DataFrame:
-    """Columns made from the texts of `df` by `rows` (lists or arrays by name), beside its columns `keep` as they are.
+    """Columns made from the texts of `df` (and its columns `also`) by `rows`, which takes lists and gives lists or arrays by name, beside
+    the columns `keep` as they are.
 
     Works on pieces of an Arrow batch of about 8 M characters, a longer text alone, so memory follows the longest text.
     """
@@ -64,12 +65,13 @@ def over_texts(
             edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
             for lo, hi in zip(edges, edges[1:]):
                 part = batch.slice(lo, hi - lo)
-                made = rows(part.column(text).to_pylist())
+                made = rows(*(part.column(c).to_pylist() for c in [text, *(also or [])]))
                 cols = [part.column(c) for c in keep] + list(made.values())
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], [*keep, *made])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, f"{kept}, {schema}")
+    kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    needed = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, text, *(also or [])])]
+    return df.select(*needed).mapInArrow(run, f"{kept}, {schema}")
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

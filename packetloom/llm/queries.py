@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packetloom.llm import chat, embeddings, packing, sharding, simhash
+from packetloom.llm import chat, embeddings, lm, packing, pages, quality, sharding, simhash
 from packetloom.llm.common import table
 
 #: The conversation added to the table: both turns hold the control strings themselves.
 _CONTROL = "\\### Assistant: </turn> ok"
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -36,12 +44,19 @@ def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": lm_scores,
+    "op2_quality_scores": quality_scores,
     "op4_embedding_dedup": embedding_dedup,
     "op5_chat_format": chat_format,
     "op7_simhash_dedup": simhash_dedup,
     "op8_kd_shards": kd_shards,
     "op9_mixture_packing": mixture_packing,
+    "op10_page_texts": page_texts,
 }
 
 ORACLE: dict[str, str] = {}
