@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packetloom.llm import chat, embeddings, lm, packing, pages, quality, sharding, simhash
+from packetloom.llm import chat, decontamination, embeddings, lm, packing, pages, quality, sharding, simhash
 from packetloom.llm.common import table
 
 #: The conversation added to the table: both turns hold the control strings themselves.
@@ -32,6 +32,10 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_trees(chat.linear_messages(turns.unionByName(added))))
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_scores": quality_scores,
     "op4_embedding_dedup": embedding_dedup,
     "op5_chat_format": chat_format,
+    "op6_contamination": contamination,
     "op7_simhash_dedup": simhash_dedup,
     "op8_kd_shards": kd_shards,
     "op9_mixture_packing": mixture_packing,
