@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packetloom.llm import chat, decontamination, embeddings, lm, packing, pages, quality, sharding, simhash
+from packetloom.llm import chat, decontamination, embeddings, licenses, lm, packing, pages, quality, sharding, simhash
 from packetloom.llm.common import table
 
 #: The conversation added to the table: both turns hold the control strings themselves.
@@ -22,6 +22,10 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": lm_scores,
     "op2_quality_scores": quality_scores,
+    "op3_license_scan": license_scan,
     "op4_embedding_dedup": embedding_dedup,
     "op5_chat_format": chat_format,
     "op6_contamination": contamination,
