@@ -56,8 +56,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """`doc_id, fp` for every row of `docs` (doc_id, text)."""
-    return over_texts(docs, "fp long", lambda texts: {"fp": [fingerprint(t, shingle) for t in texts]}, ["doc_id"])
+    """`doc_id, text_hash, fp` for every row of `docs` (doc_id, text)."""
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return over_texts(rows, "fp long", lambda texts: {"fp": [fingerprint(t, shingle) for t in texts]}, ["doc_id", "text_hash"])
 
 
 class Forest:
@@ -162,28 +163,39 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_
     return alone.unionByName(pairs).mapInPandas(search, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, shard_nodes: int = SHARD_NODES) -> DataFrame:
-    """`doc_id, fingerprint, component_id` for every row of `docs`; component_id is the smallest doc_id reachable by links."""
+def _linked(docs: DataFrame, radius: int, shingle: int, shard_nodes: int) -> DataFrame:
+    """`doc_id, text_hash, fp, root, component_id` for every row of `docs`; root names a component where ids repeat."""
     marked = staged(fingerprints(docs, shingle), "fingerprints")
     nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-nodes")
     roots = components(near_links(nodes, radius, shard_nodes), "simhash-links")
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = rooted.join(lowest, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, shard_nodes: int = SHARD_NODES) -> DataFrame:
+    """`doc_id, fingerprint, component_id` for every row of `docs`; component_id is the smallest doc_id reachable by links."""
+    found = _linked(docs, radius, shingle, shard_nodes)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_each(docs: DataFrame, **options: int) -> DataFrame:
+def keep_one_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """The rows of `docs` without near copies: of each component the row with the smallest id stays.
 
-    Rows without an id cannot be told apart and all stay. Of rows that share an id, the one with the smallest text stays.
+    Rows without an id cannot be told apart and all stay. Where several texts of a component have its smallest id, one of them stays, and
+    of rows that agree in id and text the one whose other columns come first.
     """
-    found = simhash_components(docs, **options).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    first = staged(docs.join(found, "doc_id", "left_semi").select(docs.columns), "one-of-each")
-    doubled = first.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    order = F.struct("text", *[F.col(f"`{c}`") for c in others])
-    chosen = first.join(doubled, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(order).alias("row"))
-    several = chosen.select(*["doc_id" if c == "doc_id" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-    single = first.join(doubled, "doc_id", "left_anti").select(docs.columns)
+    found = _linked(docs, radius, shingle, shard_nodes).filter(F.col("doc_id") == F.col("component_id"))
+    chosen = found.groupBy("component_id", "root").agg(F.min("text_hash").alias("_hash"))
+    chosen = staged(chosen.select(F.col("component_id").alias("_doc"), "_hash"), "chosen")
+    at = (docs["doc_id"] == chosen["_doc"]) & (F.xxhash64(docs["text"]) == chosen["_hash"])
+    first = staged(docs.join(chosen, at, "left_semi"), "one-of-each")
+    key = ["doc_id", "text"]
+    doubled = first.groupBy("doc_id", F.xxhash64("text").alias("_hash")).count().filter("count > 1").select(F.col("doc_id").alias("_doc"), "_hash")
+    again = (first["doc_id"] == doubled["_doc"]) & (F.xxhash64(first["text"]) == doubled["_hash"])
+    others = [c for c in docs.columns if c not in key]
+    several = first.join(doubled, again, "left_semi").groupBy(*key).agg(F.min(F.struct(F.lit(0), *[F.col(f"`{c}`") for c in others])).alias("row"))
+    several = several.select(*[c if c in key else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    single = first.join(doubled, again, "left_anti")
     return single.unionByName(several).unionByName(docs.filter("doc_id IS NULL"))
