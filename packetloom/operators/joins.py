@@ -17,5 +17,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     for name, kind in df.dtypes:
         if kind in ("string", "binary"):
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "struct", "map")):
+            size = size + F.coalesce(F.length(F.to_json(F.struct(name))), F.lit(0))
     total = df.agg(F.sum(size.cast("bigint")).alias("bytes")).first().bytes or 0
     return F.broadcast(df) if total <= max_bytes else df

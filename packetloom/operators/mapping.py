@@ -20,7 +20,7 @@ MAP_KINDS = ["server", "path", "app", "purge", "user", "staging", "map"]
 _BASE = ["sid", "addr", "arrival_ts", "arrival_seq", "dict_id"]
 
 
-def decode_map(framed: DataFrame) -> DataFrame:
+def decode_map(framed: DataFrame, *extra: str) -> DataFrame:
     """`dict_id`, and the text before and after the first line break; without a line break `rest` is empty.
 
     `whole` tells that a message can be used at all: a `:` in the identity calls for a `/` before it.
@@ -30,6 +30,7 @@ def decode_map(framed: DataFrame) -> DataFrame:
     rest = F.substring(F.col("info"), F.char_length(ident) + 2, F.char_length("info"))
     split = framed.filter(F.col("kind").isin(MAP_KINDS) & (F.octet_length("body") >= 4)).withColumn("info", info)
     return split.select(
+        *extra,
         "sid",
         "kind",
         "addr",
@@ -95,7 +96,7 @@ def bad_maps(framed: DataFrame) -> DataFrame:
     short = framed.filter(F.col("kind").isin(MAP_KINDS) & (F.octet_length("body") < 4)).select(
         F.lit("map header").alias("reason"), F.col("body").alias("payload"), "arrival_seq"
     )
-    maps = decode_map(framed)
+    maps = decode_map(framed, "body")
     rest = F.col("rest")
     reason = (
         F.when(~F.col("whole"), "identity")
@@ -104,5 +105,4 @@ def bad_maps(framed: DataFrame) -> DataFrame:
         .when((F.col("kind") == "staging") & parse_staging(rest).isNull(), "staging")
     )
     broken = maps.withColumn("reason", reason).filter("reason IS NOT NULL")
-    whole_text = F.encode(F.concat("ident_text", F.lit("\n"), "rest"), "UTF-8")
-    return short.unionByName(broken.select("reason", whole_text.alias("payload"), "arrival_seq"))
+    return short.unionByName(broken.select("reason", F.col("body").alias("payload"), "arrival_seq"))

@@ -15,8 +15,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from packetloom.operators.joins import broadcast_if_small
+from packetloom.sources.stage import write_stage
+
 GROUP_LIMIT = 4_000_000
-_BUCKETS = 65536
+#: Buckets of the first count hold this share of `group_limit` on average, so a full one tells of a hot key at any size.
+_BUCKET_SHARE = 1 / 64
 
 
 def limit_for(group_limit: int | None, *tables: DataFrame) -> int | None:
@@ -33,41 +37,38 @@ def find_hot_keys(
     """Keys with more than `group_limit` rows and, per key, ascending `bounds` that cut its rows into even slices.
 
     None when there are no such keys, which is the usual case and costs one job: rows are counted per hash
-    bucket, fully combined before the shuffle, and no key can have more rows than its bucket. Only when a bucket
-    is too full are its keys counted one by one. At most rows / group_limit keys can come back, with
-    about 2 * rows / group_limit bounds in all, so both fit the driver and a broadcast.
+    bucket, fully combined before the shuffle, and no key can have more rows than its bucket. The number of buckets
+    follows the number of rows. Only when a bucket is too full are its keys counted one by one. All of it stays in
+    written tables; what is broadcast is measured first.
     """
     if group_limit is None:
         return None
     keys = list(keys)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS))
-    full = [
-        r.bucket
-        for r in df.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > group_limit).collect()
-    ]
-    if not full:
+    buckets = max(64, math.ceil(df.count() / (group_limit * _BUCKET_SHARE)))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    full = df.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > group_limit).select("bucket")
+    full = write_stage(full, "full-buckets")
+    if full.isEmpty():
         return None
-    counted = (
-        df.filter(bucket.isin(full)).groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > group_limit)
+    rows = df.withColumn("bucket", bucket).join(broadcast_if_small(full), "bucket")
+    hot_df = write_stage(
+        rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > group_limit), "hot-keys"
     )
-    hot = counted.collect()
-    if not hot:
+    largest = hot_df.agg(F.max("n")).first()[0]
+    if largest is None:
         return None
-    spark = df.sparkSession
-    hot_df = spark.createDataFrame(hot, counted.schema)
-    pieces = 2 * math.ceil(max(r.n for r in hot) / group_limit)
+    pieces = 2 * math.ceil(largest / group_limit)
     fractions = [i / pieces for i in range(1, pieces)]
     measured = (
-        df.join(F.broadcast(hot_df.select(*keys)), keys)
+        df.join(broadcast_if_small(hot_df.select(*keys)), keys)
         .groupBy(*keys)
         .agg(F.percentile_approx(order, fractions, max(10000, 10 * pieces)).alias("bounds"))
-        .join(F.broadcast(hot_df), keys)
+        .join(broadcast_if_small(hot_df), keys)
     )
     # keep only as many bounds per key as its own size asks for
     step = F.greatest(F.lit(1), F.floor(F.lit(pieces * group_limit / 2) / F.col("n"))).cast("int")
     bounds = F.array_distinct(F.filter("bounds", lambda b, i: (i + 1) % step == 0))
-    rows = measured.select(*keys, bounds.alias("bounds"))
-    return spark.createDataFrame(rows.collect(), rows.schema)
+    return write_stage(measured.select(*keys, bounds.alias("bounds")), "hot-bounds")
 
 
 def before(
@@ -92,8 +93,7 @@ def before(
     if hot is None:
         return df.withColumns(running(keys))
 
-    # At most rows / group_limit keys, see find_hot_keys.
-    tagged = df.join(F.broadcast(hot), keys, "left").withColumn(
+    tagged = df.join(broadcast_if_small(hot), keys, "left").withColumn(
         "_slice", F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col(order[0]))), F.lit(0))
     )
     solved = tagged.withColumns(running([*keys, "_slice"]))
@@ -110,8 +110,8 @@ def before(
         *[F.last(name, ignorenulls=True).over(earlier).alias(f"_in_{name}") for name in last],
         *[F.max(name).over(earlier).alias(f"_in_{name}") for name in largest],
     )
-    # One row per slice of a hot key: at most 2 * rows / group_limit + keys rows.
-    joined = solved.join(F.broadcast(carried), [*keys, "_slice"], "left")
+    # One row per slice of a hot key, with whole states, so its size is measured.
+    joined = solved.join(broadcast_if_small(write_stage(carried, "carried")), [*keys, "_slice"], "left")
     merged = {name: F.coalesce(name, f"_in_{name}") for name in last}
     merged |= {name: F.greatest(name, f"_in_{name}") for name in largest}
     return joined.withColumns(merged).drop("_slice", "bounds", *[f"_in_{n}" for n in merged])

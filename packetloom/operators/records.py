@@ -9,6 +9,8 @@ from packetloom.functions import fields as rules
 
 TRANSFER_STATS = [name for name in rules.WLCG_STATS if name not in rules.NEVER_MEASURED]
 POSITION = ["sid", "file_id", "arrival_seq", "rec_idx"]
+#: Position of the open, for transfers that were given up.
+OPEN_POSITION = ["open_seq", "open_idx"]
 TRANSFER_COLUMNS = [
     "timestamp", "start_time", "end_time", "HasFileCloseMsg", "operation_time", "server_hostname", "server_ip",
     "serverID", "server", "site", "user", "host", "user_domain", "protocol", "ipv6", "user_dn", "vo", "appinfo",
@@ -21,6 +23,7 @@ def transfer_records(enriched: DataFrame) -> DataFrame:
     c = F.col
     base = enriched.select(
         *POSITION,
+        *OPEN_POSITION,
         "arrival_ts",
         c("addr").alias("server_ip"),
         c("server_hostname"),
@@ -44,18 +47,21 @@ def transfer_records(enriched: DataFrame) -> DataFrame:
         *[v.alias(n) for n, v in rules.times(c("open_time"), c("close_time")).items()],
     )
     return base.withColumn("is_wlcg", rules.is_wlcg_transfer(c("vo"), c("filename"))).select(
-        *POSITION, "arrival_ts", "is_wlcg", *TRANSFER_COLUMNS
+        *POSITION, *OPEN_POSITION, "arrival_ts", "is_wlcg", *TRANSFER_COLUMNS
     )
 
 
 def record_id() -> Column:
     """Stable id of a record, made from its place in the feed: a repeated task gives the same id again."""
-    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in POSITION]).cast("binary"))
+    place = [F.col(c).cast("string") for c in POSITION]
+    opened = [*place[:2], F.lit("open"), *[F.col(c).cast("string") for c in OPEN_POSITION]]
+    name = F.when(F.col("open_seq").isNotNull(), F.concat_ws("|", *opened)).otherwise(F.concat_ws("|", *place))
+    digest = F.md5(name.cast("binary"))
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat_ws("-", *[F.substring(digest, start, n) for start, n in cuts])
 
 
-def wlcg_columns(now_ms: Column, host: str, unique_id: Column) -> list[Column]:
+def wlcg_columns(now_ms: Column, host: str, unique_id: Column, size: Column | None = None) -> list[Column]:
     c = F.col
     empty = F.lit("")
     return [
@@ -70,7 +76,7 @@ def wlcg_columns(now_ms: Column, host: str, unique_id: Column) -> list[Column]:
         c("server_ip"),
         unique_id.alias("unique_id"),
         c("filename").alias("file_lfn"),
-        c("filesize").alias("file_size"),
+        (c("filesize") if size is None else size).alias("file_size"),
         (c("read") + c("readv")).alias("read_bytes"),
         c("readv").alias("read_vector_bytes"),
         c("write").alias("write_bytes"),

@@ -90,7 +90,15 @@ def _typed(packets: DataFrame) -> DataFrame:
 
 
 def _is_usable() -> Column:
-    return F.col("tos").isNotNull() & F.col("tod").isNotNull() & F.col("pid").isNotNull()
+    """Header numbers are there, and every counter that is there (in a report with a site) can be read."""
+    there = F.col("tos").isNotNull() & F.col("tod").isNotNull() & F.col("pid").isNotNull()
+    unreadable = F.lit(False)
+    for section, path in COUNTERS.values():
+        value = _section(section)
+        for step in path.split("."):
+            value = value[step]
+        unreadable = unreadable | (value.isNotNull() & F.trim(value).try_cast("bigint").isNull())
+    return there & ~(F.col("report._site").isNotNull() & unreadable)
 
 
 def bad_summaries(packets: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from packetloom.operators.fstream import CLOSE, OPEN, PROGRESS
 from packetloom.operators.ordered import GROUP_LIMIT, before, find_hot_keys
 
+# Fixed value: the lifetime of pending opens and of dictionary and user entries.
 TTL_SECONDS = 3600
 END_OF_TIME = 9223372036854775807
 FILE_KEY = ["sid", "file_id"]
@@ -15,7 +16,7 @@ ORDER = ["arrival_seq", "rec_idx"]
 OPEN_FIELDS = ["user_id", "t_beg", "file_size", "file_name"]
 COLUMNS = [
     "sid", "addr", "arrival_ts", "arrival_seq", "rec_idx", "file_id", "has_close", "is_open_known", "user_id",
-    "open_time", "close_time", "open_name", "file_size", "read", "readv", "write", "ops",
+    "open_time", "close_time", "open_name", "file_size", "read", "readv", "write", "ops", "open_seq", "open_idx",
 ]
 
 
@@ -44,19 +45,57 @@ def stitch_transfers(
             "close_time": F.col("t_beg"),
             "open_name": opened["file_name"],
             "file_size": opened["file_size"],
+            "open_seq": F.lit(None).cast("bigint"),
+            "open_idx": F.lit(None).cast("int"),
         }
     ).select(*COLUMNS)
 
 
-def attach_progress(records: DataFrame, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
-    """Per open the latest progress record that came while it was pending; progress without an open is ignored."""
+def given_up_transfers(
+    records: DataFrame, ttl_seconds: int = TTL_SECONDS, group_limit: int | None = GROUP_LIMIT
+) -> DataFrame:
+    """Opens followed by a close or another open of their file only after the TTL: given up at its end, if they moved anything.
+
+    A row ends at open + TTL with the progress of that time, takes its place in the feed from the record that came too late (so lookups see what
+    was known before it), and keeps the position of its open, which tells it apart from any other.
+    """
+    events = records.filter(F.col("rec_type").isin(OPEN, CLOSE))
+    hot = find_hot_keys(events.select(*FILE_KEY, "arrival_seq"), FILE_KEY, "arrival_seq", group_limit)
+    fields = [F.when(F.col("rec_type") == OPEN, F.col(c)).alias(c) for c in ("addr", *OPEN_FIELDS)]
+    state = F.struct("rec_type", *fields, F.col("arrival_seq").alias("open_seq"), F.col("rec_idx").alias("open_idx"))
+    linked = before(events.select(*FILE_KEY, *ORDER, "rec_type", "addr", *OPEN_FIELDS), FILE_KEY, ORDER, last={"opened": state}, hot=hot)
+    late = linked.filter((F.col("opened.rec_type") == OPEN) & (F.col("t_beg") - F.col("opened.t_beg") > ttl_seconds))
+    moved = attach_progress(records, group_limit, ttl_seconds)
+    rows = late.select(*FILE_KEY, *ORDER, "opened.*").join(moved, [*FILE_KEY, "open_seq", "open_idx"])
+    end = F.col("t_beg") + ttl_seconds
+    return rows.withColumns(
+        {
+            "arrival_ts": F.timestamp_seconds(end),
+            "has_close": F.lit(True),
+            "is_open_known": F.lit(True),
+            "open_time": F.col("t_beg"),
+            "close_time": end,
+            "open_name": F.col("file_name"),
+            "read": F.col("progress.read"),
+            "readv": F.col("progress.readv"),
+            "write": F.col("progress.write"),
+            "ops": F.lit(None).cast(records.schema["ops"].dataType),
+        }
+    ).select(*COLUMNS)
+
+
+def attach_progress(
+    records: DataFrame, group_limit: int | None = GROUP_LIMIT, within_seconds: int | None = None
+) -> DataFrame:
+    """Per open the latest progress record that came while it was pending; progress without an open is ignored, and so is, with
+    `within_seconds`, progress that came later than that."""
     hot = find_hot_keys(
         records.filter(F.col("rec_type").isin(OPEN, CLOSE, PROGRESS)).select(*FILE_KEY, "arrival_seq"),
         FILE_KEY,
         "arrival_seq",
         group_limit,
     )
-    event = F.struct("rec_type", F.col("arrival_seq").alias("open_seq"), F.col("rec_idx").alias("open_idx"))
+    event = F.struct("rec_type", "t_beg", F.col("arrival_seq").alias("open_seq"), F.col("rec_idx").alias("open_idx"))
     linked = before(
         records.filter(F.col("rec_type").isin(OPEN, CLOSE, PROGRESS)),
         FILE_KEY,
@@ -65,6 +104,8 @@ def attach_progress(records: DataFrame, group_limit: int | None = GROUP_LIMIT) -
         hot=hot,
     )
     moved = linked.filter((F.col("rec_type") == PROGRESS) & (F.col("event.rec_type") == OPEN))
+    if within_seconds is not None:
+        moved = moved.filter(F.col("t_beg") - F.col("event.t_beg") <= within_seconds)
     return moved.groupBy(*FILE_KEY, "event.open_seq", "event.open_idx").agg(
         F.max_by(F.struct("arrival_seq", "t_beg", "read", "readv", "write"), F.struct(*ORDER)).alias("progress"),
         F.count("*").alias("n_progress"),
@@ -91,6 +132,8 @@ def pending_opens(records: DataFrame, as_of: int) -> DataFrame:
         *FILE_KEY,
         "opened.addr",
         *[f"opened.{c}" for c in OPEN_FIELDS],
+        F.col("opened.position.arrival_seq").alias("open_seq"),
+        F.col("opened.position.rec_idx").alias("open_idx"),
         moved.alias("progress"),
     )
 

@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.operators import framing, fstream, gstream, lookups, mapping, routing, transfers
+from packetloom.operators import framing, fstream, gstream, lookups, mapping, routing, summaries, transfers
 from packetloom.operators.ordered import GROUP_LIMIT, limit_for
 from packetloom.operators.records import transfer_records
 from packetloom.operators.transfers import TTL_SECONDS
+from packetloom.sources.packets import bad_envelopes
 from packetloom.sources.stage import write_stage
 
 
@@ -50,8 +51,10 @@ def transfers_from(
     ttl_seconds: int | None = TTL_SECONDS,
     group_limit: int | None = GROUP_LIMIT,
     honor_disconnect: bool = False,
+    give_up: bool = True,
 ) -> DataFrame:
-    """One published record per close and, with `as_of`, per transfer given up by then.
+    """One published record per close and per transfer given up: opens older than the TTL when their close or their next open comes (then
+    that close belongs to no open) and, with `as_of`, those still pending then. `give_up=False` matches closes however late they are.
 
     `records` and `maps` are read by several steps, so both should be written tables.
     """
@@ -60,7 +63,10 @@ def transfers_from(
     if as_of is not None:
         until = F.col("arrival_ts") <= F.timestamp_seconds(F.lit(as_of))
         records, maps = records.filter(until), maps.filter(until)
-    ended = transfers.stitch_transfers(records, group_limit=group_limit)
+    sweep = give_up and ttl_seconds is not None
+    ended = transfers.stitch_transfers(records, ttl_seconds if sweep else None, group_limit)
+    if sweep:
+        ended = ended.unionByName(transfers.given_up_transfers(records, ttl_seconds, group_limit))
     if as_of is not None:
         ended = ended.unionByName(transfers.expire_transfers(records, as_of, ttl_seconds or TTL_SECONDS))
     gone = fstream.disconnects(records) if honor_disconnect else None
@@ -94,10 +100,17 @@ def detailed_output(
     return reduce(DataFrame.unionByName, parts)
 
 
-def dead_letters(packets: DataFrame) -> DataFrame:
-    """All that could not be read, with the reason."""
-    framed = framing.frame_packets(packets)
+def dead_letters(packets: DataFrame, reports: DataFrame | None = None, pushed: DataFrame | None = None) -> DataFrame:
+    """All of detailed `packets`, summary `reports` and `pushed` envelopes that could not be read, with the reason and the bytes.
+
+    `packets` is framed and written by kind first, so that each reader opens its own kind only.
+    """
+    framed = stage_packets(packets)
     parts = [
         framing.bad_headers(packets), fstream.bad_fstream(framed), mapping.bad_maps(framed), gstream.bad_gstream(framed)
     ]
+    if reports is not None:
+        parts.append(summaries.bad_summaries(reports))
+    if pushed is not None:
+        parts.append(bad_envelopes(pushed))
     return reduce(DataFrame.unionByName, parts)

@@ -368,6 +368,33 @@ def summary_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Packets, reports and envelopes that cannot be read, one per event, of eight kinds by `event_id % 8`."""
+    e = F.col("event_id")
+    head = F.lit("AAB1234")  # the header after its code
+    body = _text("e", e)
+    packet = (
+        F.when(e % 8 == 0, _text("x", e % 10))
+        .when(e % 8 == 1, _text("u", head, e % 10))
+        .when(e % 8 == 2, _text("f", head, body))
+        .when(e % 8 == 3, _text("g", head, "e", e % 1000))
+        .when(e % 8 == 4, _text("d", head, "0000no identity of ", e, ":1@h"))
+    )
+    xml = _text(
+        '<statistics tod="', e, '" ver="v5" src="h:1" tos="1" pgm="xrootd" pid="7" site="S"><stats id="link"><num>1</num><tot>t', e,
+        "</tot></stats></statistics>",
+    )
+    report = F.when(e % 8 == 5, _text("<stat", e)).when(e % 8 == 6, xml)
+    events = spread(table(spark, sf_dir, "events")).withColumns(
+        {"arrival_ts": F.timestamp_seconds(e + T0), "arrival_seq": e, "addr": F.lit("10.0.0.9"), "port": F.lit("1")}
+    )
+    columns = PACKET_SCHEMA.fieldNames()
+    packets_in = events.filter("event_id % 8 < 5").withColumn("payload", to_binary(packet)).select(*columns)
+    reports_in = events.filter("event_id % 8 IN (5, 6)").withColumn("payload", to_binary(report)).select(*columns)
+    pushed = events.filter("event_id % 8 = 7").select(_text('{"remote": "h', e, '", "da').alias("value"), "arrival_ts", "arrival_seq")
+    return packets_in, reports_in, pushed
+
+
 FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transfer": transfer_packets,
     "extra": extra_packets,

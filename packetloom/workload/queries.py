@@ -13,6 +13,7 @@ from packetloom.functions.paths import logical_dirname
 from packetloom.operators import framing, fstream, gstream, lookups, mapping, metrics, records, routing, sequence
 from packetloom.operators import summaries as reports
 from packetloom.operators import transfers
+from packetloom.operators.routing import route_transfers
 from packetloom.plans import detailed, summary
 from packetloom.sources.packets import stream_packets, unwrap_pushed
 from packetloom.sources.sinks import write_routed
@@ -23,6 +24,17 @@ from packetloom.workload import feeds
 AS_OF = 1700150000
 SUMMARY_SHOWN = ["arrival_seq", *reports.BASICS, "host", *reports.CURRENT, "cend"]
 OPS = [name for name, _ in fstream.OPS_FIELDS]
+TRANSFERS_SHOWN = [
+    "file_id", "start_time", "end_time", "operation_time", "HasFileCloseMsg", "server_hostname", "site", "user", "vo",
+    "appinfo", "filename", "filesize", "logical_dirname", "read", "readv", "write", "read_operations", "is_wlcg",
+]
+WLCG_SHOWN = [
+    "file_id", "site_name", "fallback", "user_dn", "client_host", "client_domain", "server_host", "server_domain",
+    "server_hostname", "server_ip", "file_lfn", "file_size", "read_bytes", "read_single_bytes", "read_vector_bytes",
+    "write_bytes", "ipv6", "user", "start_time", "end_time", "operation_time", "operation", "server_site",
+    "user_protocol", "vo", "read_average", "read_sigma", "write_max", "metadata.producer", "metadata.type",
+    "metadata.type_prefix", "metadata.host",
+]
 
 
 def longs(df: DataFrame) -> DataFrame:
@@ -158,6 +170,29 @@ def progress(spark: SparkSession, sf: str) -> DataFrame:
     return longs(rows.select("file_id", "open_seq", *shown))
 
 
+GIVEN_UP = ["file_id", "is_open_known", "open_time", "close_time", "read", "readv"]
+
+
+def given_up(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes in time, closes that came too late, and the transfers given up before those."""
+    rows = feeds.records(spark, sf)
+    ended = transfers.stitch_transfers(rows, transfers.TTL_SECONDS).unionByName(transfers.given_up_transfers(rows))
+    return longs(ended.select(*GIVEN_UP))
+
+
+def hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job with a limit so small that busy keys are found, cut into slices and put together again."""
+    rows, entries = feeds.records(spark, sf), feeds.maps(spark, sf)
+    ended = detailed.transfers_from(rows, entries, feeds.hosts(spark, sf), as_of=AS_OF, group_limit=200, give_up=False)
+    return longs(ended.select(*TRANSFERS_SHOWN))
+
+
+def transfers_swept(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job over all packets, with opens given up at the end of their time."""
+    rows = detailed.transfers_from(feeds.records(spark, sf), feeds.maps(spark, sf), feeds.hosts(spark, sf))
+    return longs(rows.select(*TRANSFERS_SHOWN))
+
+
 def expired(spark: SparkSession, sf: str) -> DataFrame:
     rows = transfers.expire_transfers(feeds.records(spark, sf), AS_OF)
     return longs(rows.select("file_id", "has_close", "user_id", "open_time", "close_time", "open_name", "read", "readv"))
@@ -271,14 +306,27 @@ def route(spark: SparkSession, sf: str) -> DataFrame:
 
 def wlcg(spark: SparkSession, sf: str) -> DataFrame:
     rows = records.to_wlcg(transfer_table(spark, sf).filter("is_wlcg"), F.lit(0), "collector")
-    shown = [
-        "file_id", "site_name", "fallback", "user_dn", "client_host", "client_domain", "server_host", "server_domain",
-        "server_hostname", "server_ip", "file_lfn", "file_size", "read_bytes", "read_single_bytes", "read_vector_bytes",
-        "write_bytes", "ipv6", "user", "start_time", "end_time", "operation_time", "operation", "server_site",
-        "user_protocol", "vo", "read_average", "read_sigma", "write_max", "metadata.producer", "metadata.type",
-        "metadata.type_prefix", "metadata.host",
-    ]
-    return longs(rows.select(*shown))
+    return longs(rows.select(*WLCG_SHOWN))
+
+
+def wlcg_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """WLCG documents as they are sent, read back from their JSON: names, statistics, metadata, and the size as it is written."""
+    table = transfer_table(spark, sf).filter("is_wlcg")
+    sent = route_transfers(table, F.lit(0), "collector")
+    kinds = dict(records.to_wlcg(table, F.lit(0), "collector").dtypes)
+    meta = "struct<producer:string,type:string,type_prefix:string,host:string>"
+    fields = ", ".join(f"`{c}`:{kinds[c]}" for c in kinds if c not in (*records.POSITION, "file_size", "metadata"))
+    read = sent.select("value", F.from_json("value", f"struct<{fields}, metadata:{meta}>").alias("d"))
+    quoted = F.regexp_extract("value", '"file_size":("[^"]*"|[^,]*)', 1)
+    shown = [c for c in WLCG_SHOWN if c not in ("file_id", "file_size", "read_average", "read_sigma", "write_max")]
+    stats = [F.col(f"d.{c}").cast("double").alias(c) for c in sorted(rules.WLCG_STATS)]
+    return longs(read.select(*[F.col(f"d.{c}") for c in shown if c != "read_single_bytes"], quoted.alias("file_size"), *stats))
+
+
+def dead(spark: SparkSession, sf: str) -> DataFrame:
+    packets, reports_in, pushed = feeds.broken(spark, sf)
+    rows = detailed.dead_letters(packets, reports_in, pushed)
+    return rows.select("arrival_seq", "reason", F.hex("payload").alias("payload"))
 
 
 def crab(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,13 +337,9 @@ def crab(spark: SparkSession, sf: str) -> DataFrame:
 def transfers_full(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job at one moment: closes until then and transfers given up by then, with the main fields."""
     rows = detailed.transfers_from(
-        feeds.records(spark, sf), feeds.maps(spark, sf), feeds.hosts(spark, sf), as_of=AS_OF
+        feeds.records(spark, sf), feeds.maps(spark, sf), feeds.hosts(spark, sf), as_of=AS_OF, give_up=False
     )
-    shown = [
-        "file_id", "start_time", "end_time", "operation_time", "HasFileCloseMsg", "server_hostname", "site", "user", "vo",
-        "appinfo", "filename", "filesize", "logical_dirname", "read", "readv", "write", "read_operations", "is_wlcg",
-    ]
-    return longs(rows.select(*shown))
+    return longs(rows.select(*TRANSFERS_SHOWN))
 
 
 # --- events
@@ -401,7 +445,7 @@ def routed_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Transfers, bytes and mean duration per server site, organisation and logical directory, from raw packets on."""
-    rows = detailed.transfers_of(feeds.packets(spark, sf, "transfer"), feeds.hosts(spark, sf))
+    rows = detailed.transfers_of(feeds.packets(spark, sf, "transfer"), feeds.hosts(spark, sf), give_up=False)
     return longs(
         rows.groupBy(F.coalesce("site", F.lit("unknown")).alias("site"), F.coalesce("vo", F.lit("none")).alias("vo"),
                      "logical_dirname")
@@ -420,17 +464,18 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 def _stream(spark: SparkSession, sf: str, feed: str, job: Callable[[DataFrame], DataFrame], batches: int = 2) -> DataFrame:
     """Run a streaming job over the whole feed, laid down file by file in arrival order, and read what it wrote."""
     packets = feeds.packets(spark, sf, feed)
+    files = max(1, spark.sparkContext.defaultParallelism)
     path, out, checkpoint = (new_folder(spark, f"stream-{feed}-{part}") for part in ("in", "out", "checkpoint"))
     cuts = packets.approxQuantile("arrival_seq", [i / batches for i in range(1, batches)], 0.01)
     edges = [-1, *[int(c) for c in cuts], 2**63 - 1]
     for low, high in zip(edges, edges[1:]):
         part = packets.filter((F.col("arrival_seq") > low) & (F.col("arrival_seq") <= high))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, streams.ROCKSDB)
     try:
-        stream = job(stream_packets(spark, path, max_files_per_trigger=1))
+        stream = job(stream_packets(spark, path, max_files_per_trigger=files))
         writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
@@ -451,13 +496,25 @@ def stream_summaries(spark: SparkSession, sf: str) -> DataFrame:
 def stream_transfers(spark: SparkSession, sf: str) -> DataFrame:
     hosts = feeds.hosts(spark, sf)
     rows = _stream(
-        spark, sf, "transfer", lambda p: streams.stream_transfers(p, hosts, salts=2, drop_old_state=False)
+        spark, sf, "transfer", lambda p: streams.stream_transfers(p, hosts, expire=False, salts=2, drop_old_state=False)
     )
     shown = ["file_id", F.floor(F.col("end_time") / 1000).alias("close_time"), "user", "vo", "appinfo", "site", "filename",
              "filesize", "logical_dirname", "read", "is_wlcg"]
     return longs(rows.select(*shown))
 
 
+def stream_given_up(spark: SparkSession, sf: str) -> DataFrame:
+    """As q_given_up, from a stream in three micro-batches; of files that were closed, as the others depend on when the stream ends."""
+
+    def job(packets: DataFrame) -> DataFrame:
+        marked = packets.withWatermark("arrival_ts", "10 seconds")
+        return streams.stream_stitch(fstream.fstream_records(framing.frame_packets(marked)), transfers.TTL_SECONDS)
+
+    rows = _stream(spark, sf, "transfer", job, batches=3)
+    closed = rows.filter(F.col("open_seq").isNull()).select("sid", "file_id").distinct()
+    return longs(rows.join(closed, ["sid", "file_id"], "left_semi").select(*GIVEN_UP))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_flagship": flagship,
     "q_pushed_unwrap": pushed_unwrap,
@@ -479,6 +536,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stitch": stitch,
     "q_stitch_ttl": stitch_ttl,
     "q_progress": progress,
+    "q_given_up": given_up,
+    "q_hot_keys": hot_keys,
+    "q_transfers_swept": transfers_swept,
+    "q_wlcg_documents": wlcg_documents,
+    "q_dead_letters": dead,
     "q_expired": expired,
     "q_dict_asof": dict_asof,
     "q_path_fallback": path_fallback,
@@ -513,4 +575,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_sequence": stream_sequence,
     "q_stream_summaries": stream_summaries,
     "q_stream_transfers": stream_transfers,
+    "q_stream_given_up": stream_given_up,
 }

@@ -191,6 +191,30 @@ st AS (
 {ENTRIES.replace('ent AS (', 'ent_all AS (')}, ent AS (SELECT * FROM ent_all WHERE mt <= {AS_OF}),
 {_found()}, {MESSAGES.replace('msg AS (', 'msg_all AS (').replace('lease(srv', f'msg AS (SELECT * FROM msg_all WHERE mt <= {AS_OF}),' + chr(10) + 'lease(srv')}, {ENRICHED}, {PUBLISHED}"""
 
+# The same with opens given up at the end of their time when something comes after it.
+_LATE = f"has_open AND has_close AND t_close - t_open > {TTL}"
+_SWEPT = f"""WITH RECURSIVE {ORDERS}, {CLOSES.replace('has_open AS matched', f'has_open AND t_close - t_open <= {TTL} AS matched').replace('st AS (', 'st0 AS (')},
+st AS (
+    SELECT * FROM st0
+    UNION ALL
+    SELECT * REPLACE (k * 10 AS rd, k AS rv, 0 AS wr, FALSE AS has_ops),
+           t_open + {TTL} AS t, {_seq('t_close', 6, 'k')} AS seq, TRUE AS matched, CASE WHEN named THEN uid ELSE 0 END,
+           t_open, CASE WHEN named THEN name ELSE '' END, size, TRUE
+    FROM o WHERE {_LATE} AND has_xfr),
+{ENTRIES}, {_found()}, {MESSAGES}, {ENRICHED}, {PUBLISHED}"""
+_GIVEN_UP = f"""{_BASE}
+    SELECT file_id, matched AND t - t_open <= {TTL} AS is_open_known, CASE WHEN matched AND t - t_open <= {TTL} THEN t_open ELSE t END AS open_time,
+           t AS close_time, rd AS read, rv AS readv
+    FROM cl
+    UNION ALL
+    SELECT file_id, TRUE, t_open, t_open + {TTL}, k * 10, k FROM o WHERE {_LATE} AND has_xfr"""
+_TRANSFERS = """
+    SELECT file_id, open_time * 1000 AS start_time, t * 1000 AS end_time, t - open_time AS operation_time,
+           CAST(matched AS BIGINT) AS "HasFileCloseMsg", server_hostname, site, 'u' || u AS "user", vo, appinfo, filename,
+           coalesce(file_size, -1) AS filesize, logical_dirname, rd AS read, rv AS readv, wr AS write,
+           CASE WHEN has_ops THEN n + n % 3 END AS read_operations, is_wlcg
+    FROM pub"""
+
 _CODE_CASE = "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in CODES.items()) + " END"
 SEQUENCES = f"""
 num AS (
@@ -369,6 +393,36 @@ ORACLE: dict[str, str] = {
         SELECT file_id, {_seq('t_open', 4, 'k')} AS open_seq, t_open + 10 AS t_beg, k * 10 AS read, k AS readv, 0 AS write,
                CAST(1 AS BIGINT) AS n_progress
         FROM o WHERE has_xfr AND has_open""",
+    "q_given_up": _GIVEN_UP,
+    "q_stream_given_up": _GIVEN_UP,
+    "q_transfers_swept": f"""{_SWEPT}{_TRANSFERS}""",
+    "q_hot_keys": f"""{_AT}{_TRANSFERS}""",
+    "q_wlcg_documents": f"""{_PUB}
+        SELECT coalesce(site, '') AS site_name, TRUE AS fallback, coalesce(user_dn, '') AS user_dn,
+               coalesce(host, '') AS client_host,
+               coalesce(CASE WHEN NOT starts_with(host, 'f') THEN array_to_string(string_split(host, '.')[-2:], '.') END, '')
+                   AS client_domain,
+               server_hostname AS server_host, array_to_string(string_split(server_hostname, '.')[-2:], '.') AS server_domain,
+               CAST(NULL AS VARCHAR) AS server_hostname, '10.0.0.' || srv AS server_ip, filename AS file_lfn,
+               CASE WHEN file_size IS NULL THEN '"-1"' ELSE CAST(file_size AS VARCHAR) END AS file_size, rd + rv AS read_bytes,
+               rv AS read_vector_bytes, wr AS write_bytes,
+               coalesce(ipv6, FALSE) AS ipv6, 'User ' || u AS "user", open_time * 1000 AS start_time, t * 1000 AS end_time,
+               t - open_time AS operation_time, 'read' AS operation, coalesce(site, '') AS server_site,
+               CASE WHEN u IS NOT NULL THEN 'xroot' END AS user_protocol, vo, 'cms' AS producer, 'aaa-ng' AS type,
+               'raw' AS type_prefix, 'collector' AS host,
+               {", ".join(f"CAST({_wlcg_stat(name)} AS DOUBLE) AS {name}" for name in sorted(WLCG_STATS))}
+        FROM pub WHERE is_wlcg""",
+    "q_dead_letters": f"""
+        SELECT event_id AS arrival_seq,
+               CASE event_id % 8 WHEN 0 THEN 'header' WHEN 1 THEN 'map header' WHEN 2 THEN 'time record' WHEN 3 THEN 'event header'
+                    WHEN 4 THEN 'identity' WHEN 7 THEN 'envelope' ELSE 'report' END AS reason,
+               hex(encode(CASE event_id % 8 WHEN 0 THEN 'x' || event_id % 10 WHEN 1 THEN CAST(event_id % 10 AS VARCHAR)
+                    WHEN 2 THEN 'e' || event_id WHEN 3 THEN 'e' || event_id % 1000 WHEN 4 THEN '0000no identity of ' || event_id || ':1@h'
+                    WHEN 5 THEN '<stat' || event_id
+                    WHEN 6 THEN '<statistics tod="' || event_id || '" ver="v5" src="h:1" tos="1" pgm="xrootd" pid="7" site="S">'
+                         || '<stats id="link"><num>1</num><tot>t' || event_id || '</tot></stats></statistics>'
+                    ELSE '{{"remote": "h' || event_id || '", "da' END)) AS payload
+        FROM events""",
     "q_expired": f"""{_BASE}
         SELECT file_id, TRUE AS has_close, CASE WHEN named THEN uid ELSE 0 END AS user_id, t_open AS open_time,
                CAST({AS_OF} AS BIGINT) AS close_time, CASE WHEN named THEN name ELSE '' END AS open_name, k * 10 AS read, k AS readv
@@ -441,12 +495,7 @@ ORACLE: dict[str, str] = {
         SELECT file_id, t AS close_time, string_split(appinfo, '_')[1] AS "CRAB_Id", string_split(appinfo, '_')[3] AS "CRAB_Retry",
                string_split(string_split(appinfo, '_')[2], '/')[-1] AS "CRAB_Workflow"
         FROM en WHERE appinfo IS NOT NULL""",
-    "q_transfers": f"""{_AT}
-        SELECT file_id, open_time * 1000 AS start_time, t * 1000 AS end_time, t - open_time AS operation_time,
-               CAST(matched AS BIGINT) AS "HasFileCloseMsg", server_hostname, site, 'u' || u AS "user", vo, appinfo, filename,
-               coalesce(file_size, -1) AS filesize, logical_dirname, rd AS read, rv AS readv, wr AS write,
-               CASE WHEN has_ops THEN n + n % 3 END AS read_operations, is_wlcg
-        FROM pub""",
+    "q_transfers": f"""{_AT}{_TRANSFERS}""",
     "q_cache_events": f"""WITH {EVENTS}
         SELECT {_sid('srv')} AS sid, arrival_seq, line_idx, '10.0.0.' || srv AS server_ip, {_HOSTNAME} AS server_hostname,
                {_SITE} AS site, lfn AS file_path, CAST(1048576 AS BIGINT) AS block_size, user_id AS numbers_blocks,
