@@ -493,14 +493,25 @@ def stream_summaries(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("arrival_seq", "addr", "pid", "timestamp", "site", "link_num", *reports.COUNTERS)
 
 
+STREAM_SHOWN = [
+    "file_id", "floor(end_time / 1000) AS close_time", "`user`", "vo", "appinfo", "site", "filename", "filesize", "logical_dirname",
+    "read", "is_wlcg",
+]
+
+
 def stream_transfers(spark: SparkSession, sf: str) -> DataFrame:
     hosts = feeds.hosts(spark, sf)
     rows = _stream(
-        spark, sf, "transfer", lambda p: streams.stream_transfers(p, hosts, expire=False, salts=2, drop_old_state=False)
+        spark, sf, "transfer", lambda p: streams.stream_transfers(p, hosts, expire=False, salts=2)
     )
-    shown = ["file_id", F.floor(F.col("end_time") / 1000).alias("close_time"), "user", "vo", "appinfo", "site", "filename",
-             "filesize", "logical_dirname", "read", "is_wlcg"]
-    return longs(rows.select(*shown))
+    return longs(rows.selectExpr(*STREAM_SHOWN))
+
+
+def stream_expiry(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes of the whole streaming job with all state ending by the event clock, in three micro-batches."""
+    hosts = feeds.hosts(spark, sf)
+    rows = _stream(spark, sf, "transfer", lambda p: streams.stream_transfers(p, hosts, salts=2), batches=3)
+    return longs(rows.filter(F.col("open_seq").isNull()).selectExpr(*STREAM_SHOWN))
 
 
 def stream_given_up(spark: SparkSession, sf: str) -> DataFrame:
@@ -576,4 +587,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_summaries": stream_summaries,
     "q_stream_transfers": stream_transfers,
     "q_stream_given_up": stream_given_up,
+    "q_stream_expiry": stream_expiry,
 }

@@ -208,6 +208,10 @@ _GIVEN_UP = f"""{_BASE}
     FROM cl
     UNION ALL
     SELECT file_id, TRUE, t_open, t_open + {TTL}, k * 10, k FROM o WHERE {_LATE} AND has_xfr"""
+_STREAMED = """
+    SELECT file_id, t AS close_time, 'u' || u AS "user", vo, appinfo, site, filename, coalesce(file_size, -1) AS filesize,
+           logical_dirname, rd AS read, is_wlcg
+    FROM pub"""
 _TRANSFERS = """
     SELECT file_id, open_time * 1000 AS start_time, t * 1000 AS end_time, t - open_time AS operation_time,
            CAST(matched AS BIGINT) AS "HasFileCloseMsg", server_hostname, site, 'u' || u AS "user", vo, appinfo, filename,
@@ -568,8 +572,6 @@ ORACLE: dict[str, str] = {
 ORACLE |= {
     "q_stream_sequence": ORACLE["q_sequence"],
     "q_stream_summaries": ORACLE["q_summary_deltas"],
-    "q_stream_transfers": f"""{_PUB}
-        SELECT file_id, t AS close_time, 'u' || u AS "user", vo, appinfo, site, filename, coalesce(file_size, -1) AS filesize,
-               logical_dirname, rd AS read, is_wlcg
-        FROM pub""",
+    "q_stream_expiry": f"""{_PUB.replace('has_open AS matched', f'has_open AND t_close - t_open <= {TTL} AS matched')}{_STREAMED}""",
+    "q_stream_transfers": f"""{_PUB}{_STREAMED}""",
 }
