@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.llm import chat, decontamination, embeddings, licenses, lm, packing, pages, quality, sharding, simhash
 from packetloom.llm.common import table
+from packetloom.llm.oracle import ORACLE  # noqa: F401
 
 #: The conversation added to the table: both turns hold the control strings themselves.
 _CONTROL = "\\### Assistant: </turn> ok"
@@ -68,5 +69,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixture_packing": mixture_packing,
     "op10_page_texts": page_texts,
 }
-
-ORACLE: dict[str, str] = {}
