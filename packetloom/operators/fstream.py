@@ -63,7 +63,6 @@ def _walked(framed: DataFrame) -> DataFrame:
             )
         )
 
-    readable = (length >= TIME_BYTES) & (uint(body, 1, 1) == TIME) & (uint(body, 3, 2) != 16)
     total = uint(body, 7, 2).cast("int")
     start = F.struct(
         (uint(body, 3, 2) + 1).cast("int").alias("pos"),
@@ -71,12 +70,22 @@ def _walked(framed: DataFrame) -> DataFrame:
         F.lit(False).alias("bad"),
     ).cast(_WALK)
     walk = F.when(
-        readable,
+        _readable(),
         F.when(total > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(total, F.lit(1))), start, step)).otherwise(start),
     )
+    return _timed(framed).withColumn("walk", walk)
+
+
+def _readable() -> Column:
+    """A packet that begins with a time record of the present form."""
+    body = F.col("body")
+    return (F.octet_length(body) >= TIME_BYTES) & (uint(body, 1, 1) == TIME) & (uint(body, 3, 2) != 16)
+
+
+def _timed(framed: DataFrame) -> DataFrame:
+    body = F.col("body")
     return framed.filter("kind = 'fstream'").withColumns(
         {
-            "walk": walk,
             "xfr_recs": uint(body, 5, 2),
             "total_recs": uint(body, 7, 2),
             "t_beg": uint(body, 9, 4),
@@ -88,7 +97,7 @@ def _walked(framed: DataFrame) -> DataFrame:
 
 def decode_times(framed: DataFrame) -> DataFrame:
     """The leading time record of every file-stream packet."""
-    return _walked(framed).filter("walk IS NOT NULL").select(
+    return _timed(framed).filter(_readable()).select(
         "sid", "addr", "arrival_ts", "arrival_seq", "xfr_recs", "total_recs", "t_beg", "t_end", "source_sid"
     )
 

@@ -7,6 +7,8 @@ several later ones from being computed again for each.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,26 @@ def stage_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/packetloom"
 
 
+_open_scopes: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written between steps inside the `with` block are deleted at its end; write the result before that."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

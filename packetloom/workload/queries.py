@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from packetloom.operators import transfers
 from packetloom.operators.routing import route_transfers
 from packetloom.plans import detailed, summary
 from packetloom.sources.packets import stream_packets, unwrap_pushed
-from packetloom.sources.sinks import write_routed
+from packetloom.sources.sinks import stream_routed, write_routed
 from packetloom.sources.stage import new_folder
 from packetloom.streaming import streams
 from packetloom.workload import feeds
@@ -461,28 +462,74 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 # --- the same on streams
 
 
-def _stream(spark: SparkSession, sf: str, feed: str, job: Callable[[DataFrame], DataFrame], batches: int = 2) -> DataFrame:
-    """Run a streaming job over the whole feed, laid down file by file in arrival order, and read what it wrote."""
+def _laid_down(spark: SparkSession, sf: str, feed: str, batches: int) -> tuple[str, int]:
+    """The whole feed as files, arrival range by arrival range; the folder and the files of a range."""
     packets = feeds.packets(spark, sf, feed)
     files = max(1, spark.sparkContext.defaultParallelism)
-    path, out, checkpoint = (new_folder(spark, f"stream-{feed}-{part}") for part in ("in", "out", "checkpoint"))
+    path = new_folder(spark, f"stream-{feed}-in")
     cuts = packets.approxQuantile("arrival_seq", [i / batches for i in range(1, batches)], 0.01)
     edges = [-1, *[int(c) for c in cuts], 2**63 - 1]
     for low, high in zip(edges, edges[1:]):
         part = packets.filter((F.col("arrival_seq") > low) & (F.col("arrival_seq") <= high))
         part.repartition(files).write.mode("append").parquet(path)
+    return path, files
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, streams.ROCKSDB)
     try:
+        yield
+    finally:
+        spark.conf.set(provider, before)
+
+
+def _stream(spark: SparkSession, sf: str, feed: str, job: Callable[[DataFrame], DataFrame], batches: int = 2) -> DataFrame:
+    """Run a streaming job over the whole feed, laid down in arrival order, and read what it wrote."""
+    path, files = _laid_down(spark, sf, feed, batches)
+    out, checkpoint = (new_folder(spark, f"stream-{feed}-{part}") for part in ("out", "checkpoint"))
+    with _rocksdb(spark):
         stream = job(stream_packets(spark, path, max_files_per_trigger=files))
         writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def stream_routed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Transfers of a stream delivered as routed documents, and counted from the files the streaming sink committed."""
+    hosts = feeds.hosts(spark, sf)
+    path, files = _laid_down(spark, sf, "transfer", 2)
+    out, checkpoint = (new_folder(spark, f"routed-{part}") for part in ("out", "checkpoint"))
+    with _rocksdb(spark):
+        packets = stream_packets(spark, path, max_files_per_trigger=files)
+        routed = route_transfers(streams.stream_transfers(packets, hosts, expire=False, salts=2), F.lit(0), "collector")
+        stream_routed(routed, out, checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema("routing_key string, value string, exchange string").json(out)
+    return rows.groupBy("exchange", "routing_key").agg(F.count("*").alias("n"))
+
+
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals reported by the micro-batches of a job that is stopped half-way and goes on from its checkpoint."""
+    path, files = _laid_down(spark, sf, "sequence", 3)
+    out, checkpoint = (new_folder(spark, f"metrics-{part}") for part in ("out", "checkpoint"))
+    runs = []
+    with _rocksdb(spark):
+        for last in (False, True):
+            gaps = streams.stream_sequence(stream_packets(spark, path, max_files_per_trigger=files))
+            writer = streams.sequence_observed(gaps).writeStream.format("parquet").option("path", out)
+            query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            while not last and not query.recentProgress and query.isActive:
+                query.awaitTermination(1)
+            if not last:
+                query.stop()
+            query.awaitTermination()
+            runs.append(query)
+    totals = streams.observed_totals(runs, "sequence")
+    return spark.createDataFrame(sorted(totals.items()), "metric string, value long")
+
+
 def stream_sequence(spark: SparkSession, sf: str) -> DataFrame:
     rows = _stream(spark, sf, "sequence", streams.stream_sequence)
     return rows.select("arrival_seq", "pseq", "is_first", "expected", "missing", "reordered")
@@ -588,4 +635,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_transfers": stream_transfers,
     "q_stream_given_up": stream_given_up,
     "q_stream_expiry": stream_expiry,
+    "q_stream_routed": stream_routed_files,
+    "q_stream_metrics": stream_metrics,
 }

@@ -574,4 +574,11 @@ ORACLE |= {
     "q_stream_summaries": ORACLE["q_summary_deltas"],
     "q_stream_expiry": f"""{_PUB.replace('has_open AS matched', f'has_open AND t_close - t_open <= {TTL} AS matched')}{_STREAMED}""",
     "q_stream_transfers": f"""{_PUB}{_STREAMED}""",
+    "q_stream_routed": f"""{_PUB}
+        SELECT CASE WHEN is_wlcg THEN 'xrd.wlcg_format' ELSE 'xrd.detailed' END AS exchange, 'file-close' AS routing_key,
+               count(*) AS n FROM pub GROUP BY 1, 2""",
+    "q_stream_metrics": f"""WITH {SEQUENCES}
+        SELECT 'packets' AS metric, count(*) AS value FROM sg
+        UNION ALL SELECT 'missing_packets', CAST(sum(missing) AS BIGINT) FROM sg
+        UNION ALL SELECT 'reordered_packets', CAST(sum(reordered) AS BIGINT) FROM sg""",
 }
