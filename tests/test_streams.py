@@ -5,7 +5,8 @@ from datetime import datetime, timezone
 
 import pytest
 
-from packetloom.operators import framing, fstream
+from packetloom.operators import framing, fstream, transfers
+from packetloom.operators.records import record_id
 from packetloom.sources.packets import PACKET_SCHEMA, stream_packets
 from packetloom.streaming import streams
 
@@ -85,3 +86,20 @@ def test_pending_transfers_are_given_up(spark, tmp_path):
     got = {r.file_id: (r.open_time - T0, r.close_time - T0, int(r.read), r.is_open_known) for r in rows}
     # 1 is given up with its progress, 2 vanishes without any, 3 was closed in time, 4 is still pending
     assert got == {1: (0, 3600, 5, True), 3: (30, 100, 1, True)}
+
+
+def test_batch_gives_up_the_same_transfers(spark):
+    rows = [
+        (bytearray(fpacket(T0 + t, record)), "a", "1", datetime.fromtimestamp(T0 + t, tz=timezone.utc), i + 1) for i, (t, record) in enumerate(FEED)
+    ]
+    records = fstream.fstream_records(framing.frame_packets(spark.createDataFrame(rows, PACKET_SCHEMA)))
+    ended = transfers.stitch_transfers(records, 3600).unionByName(transfers.given_up_transfers(records, 3600))
+    assert as_found(ended.collect()) == [(1, 0, 3600, 5, True, 1), (1, 20001, 20002, 1, True, None), (3, 30, 100, 1, True, None)]
+
+
+def test_ids_of_given_up_transfers_differ(spark):
+    end = transfers.END_OF_TIME
+    rows = [("s", 1, end, 0, 10, 0), ("s", 1, end, 0, 20, 0), ("s", 1, 5, 0, None, None), ("s", 1, 5, 0, 5, 0)]
+    df = spark.createDataFrame(rows, "sid string, file_id long, arrival_seq long, rec_idx int, open_seq long, open_idx int")
+    ids = [r.id for r in df.select(record_id().alias("id")).collect()]
+    assert len(set(ids)) == len(ids)
