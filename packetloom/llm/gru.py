@@ -196,6 +196,7 @@ def train(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], width: int = 3
         d_states[there] = ds
         # Back through the window.
         back = np.zeros((len(x), hid), dtype=np.float32)
+        all_gates = np.empty((x.shape[1], len(x), 3 * hid), dtype=np.float32)
         for t in range(x.shape[1] - 1, -1, -1):
             before, zr, n, hu = trace[t]
             z, r = zr[:, :hid], zr[:, hid:]
@@ -203,11 +204,14 @@ def train(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], width: int = 3
             dn = dh * (1 - z) * (1 - n * n)
             dz = dh * (before - n) * z * (1 - z)
             dr = dn * hu * r * (1 - r)
-            gates = np.concatenate([dz, dr, dn], axis=1)
+            all_gates[t] = np.concatenate([dz, dr, dn], axis=1)
             through = np.concatenate([dz, dr, dn * r], axis=1)
-            np.add.at(g["wx"], x[:, t], gates)
             g["u"] += before.T @ through
             back = (dh * z + through @ p["u"].T) * ~first[:, t, None]
+        flat_x = x.T.reshape(-1)
+        order = np.argsort(flat_x, kind="stable")
+        used, at = np.unique(flat_x[order], return_index=True)
+        g["wx"][used] += np.add.reduceat(all_gates.reshape(-1, 3 * hid)[order], at)
         np.clip(grad, -1, 1, out=grad)
         seen += grad * grad
         flat -= rate * grad / np.sqrt(seen)

@@ -160,14 +160,33 @@ def average(rows: DataFrame, otherwise: np.ndarray, group: int = 16) -> np.ndarr
     return (sum(v * w for v, w in found) / sum(w for _, w in found)).astype(np.float32)
 
 
+def frequent_words(counts: DataFrame, most: int | None = None) -> list[tuple[bytes, int, int]]:
+    """(word, kind, c) of words of at most 64 bytes, the most frequent first: at most `most` (`WARM`), whole levels of frequency.
+
+    A histogram of counts tells from which one on the words are few enough, so no task sends more than it has of these.
+    """
+    most = WARM if most is None else most
+    level = F.floor(F.log2("c") * 16)
+    short = counts.filter(F.octet_length("word") <= 64).withColumn("level", level)
+    room, least = most, None
+    for row in short.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 16 * 64 levels
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row.level
+    if least is None:
+        return []
+    found = short.filter(F.col("level") >= least).select("word", "kind", "c").toArrow()
+    return sorted(zip(*(found.column(c).to_pylist() for c in ("word", "kind", "c"))), key=lambda r: (-r[2], r[0]))
+
+
 def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` for every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
     training = docs.filter(fold(F.col("doc_id")) != held_out)
     counts = staged(count_words(training), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    short = counts.filter(F.octet_length("word") <= 64)
-    warm = [(bytes(r.word), r.kind, r.c) for r in short.orderBy(F.desc("c"), "word").limit(WARM).collect()]
+    warm = frequent_words(counts)
     frequent = spark.createDataFrame([(bytearray(w),) for w, _, _ in warm[:WORDS]], "word binary")
     rest = counts.join(F.broadcast(frequent), "word", "left_anti").groupBy("kind").agg(F.sum("c"), F.count("*")).collect()
     model = Model(warm, total, distinct, {r[0]: (r[1], r[2]) for r in rest})
@@ -199,7 +218,7 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     schema = "n_tokens long, warm long, base double, model double, cold array<binary>, times array<long>"
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    scored = staged(over_texts(keyed, schema, run, ["doc_id", "text_hash"]), "network-scores")
+    scored = staged(over_texts(keyed, schema, run, ["doc_id", "text_hash"], chars=8_000_000), "network-scores")
     key = ["doc_id", "text_hash"]
     others = scored.select(*key, F.explode(F.arrays_zip("cold", "times")).alias("w")).select(*key, F.col("w.cold").alias("word"), F.col("w.times").alias("n"))
     found = others.join(counts.select("word", "c"), "word", "left")
