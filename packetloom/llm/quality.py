@@ -75,15 +75,19 @@ def logit(p: np.ndarray) -> np.ndarray:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 12) -> np.ndarray:
-    """Weights, the bias last, by Newton steps with a ridge penalty."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    penalty = np.full(x.shape[1], ridge)
+    """Weights, the bias last, by Newton steps with a ridge penalty. Rows are taken in blocks, so features may stay small types."""
+    m = x.shape[1] + 1
+    penalty = np.full(m, ridge)
     penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(m)
     for _ in range(steps):
-        p = sigmoid(x @ w)
-        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
-        move = np.linalg.solve(h, x.T @ (y - p) - penalty * w)
+        h, slope = np.diag(penalty), -penalty * w
+        for at in range(0, len(x), 2048):
+            part = np.hstack([x[at : at + 2048].astype(np.float64), np.ones((len(x[at : at + 2048]), 1))])
+            p = sigmoid(part @ w)
+            h += (part * (p * (1 - p) + 1e-9)[:, None]).T @ part
+            slope += part.T @ (y[at : at + 2048] - p)
+        move = np.linalg.solve(h, slope)
         w += move
         if np.abs(move).max() < 1e-5:
             break
@@ -91,7 +95,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int =
 
 
 def predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return sigmoid(x @ w[:-1] + w[-1])
+    return sigmoid(np.concatenate([x[at : at + 4096] @ w[:-1] for at in range(0, len(x), 4096)]) + w[-1]) if len(x) else np.zeros(0)
 
 
 @dataclass
@@ -123,22 +127,22 @@ def repeats(text: str | None) -> float:
 
 
 def text_features(texts: list, vocabulary: dict[str, int]) -> np.ndarray:
-    x = np.zeros((len(texts), len(vocabulary) + 1))
+    x = np.zeros((len(texts), len(vocabulary) + 1), dtype=np.uint8)
     for i, t in enumerate(texts):
-        x[i, [vocabulary[w] for w in tokens(t) if w in vocabulary]] = 1.0
+        x[i, [vocabulary[w] for w in tokens(t) if w in vocabulary]] = 1
         x[i, -1] = repeats(t)
     return x
 
 
 def meta_features(measures: list, langs: list, sources: list, edges: np.ndarray) -> np.ndarray:
     n, m = len(measures), len(_LAYOUT)
-    x = np.zeros((n, m * _BINS + _LANGS + _SOURCES))
+    x = np.zeros((n, m * _BINS + _LANGS + _SOURCES), dtype=np.uint8)
     rows = np.arange(n)
     values = np.array(measures).reshape(n, m)
     for k in range(m):
-        x[rows, k * _BINS + np.searchsorted(edges[k], values[:, k], side="right")] = 1.0
+        x[rows, k * _BINS + np.searchsorted(edges[k], values[:, k], side="right")] = 1
     for column, (at, size) in ((langs, (m * _BINS, _LANGS)), (sources, (m * _BINS + _LANGS, _SOURCES))):
-        x[rows, [at + (0 if v is None else 1 + crc32(v.encode()) % (size - 1)) for v in column]] = 1.0
+        x[rows, [at + (0 if v is None else 1 + crc32(v.encode()) % (size - 1)) for v in column]] = 1
     return x
 
 
@@ -199,9 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
 
     kept = ["doc_id", "good", "lang", "source"]
     rows = over_texts(sample, "present array<long>, measures array<double>", read, kept).orderBy(*order, "good").collect()
-    x_text = np.zeros((len(rows), len(vocabulary) + 1))
+    x_text = np.zeros((len(rows), len(vocabulary) + 1), dtype=np.uint8)
     for i, r in enumerate(rows):
-        x_text[i, r.present] = 1.0
+        x_text[i, r.present] = 1
     measures = np.array([r.measures for r in rows])
     edges = np.quantile(measures, np.arange(1, _BINS) / _BINS, axis=0).T
     x_meta = meta_features(measures, [r.lang for r in rows], [r.source for r in rows], edges)
