@@ -50,18 +50,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def over_texts(
-    df: DataFrame, schema: str, rows: Callable[..., dict[str, object]], keep: list[str], text: str = "text", also: list[str] | None = None
+    df: DataFrame, schema: str, rows: Callable[..., dict[str, object]], keep: list[str], text: str = "text", also: list[str] | None = None,
+    chars: int = 2_000_000,
 ) -> DataFrame:
     """Columns made from the texts of `df` (and its columns `also`) by `rows`, which takes lists and gives lists or arrays by name, beside
     the columns `keep` as they are.
 
-    Works on pieces of an Arrow batch of about 8 M characters, a longer text alone, so memory follows the longest text.
+    Works on pieces of an Arrow batch of about `chars` bytes, a longer text alone, so memory follows the longest text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-            piece = np.cumsum(sizes) // 8_000_000
+            piece = np.cumsum(sizes) // chars
             edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
             for lo, hi in zip(edges, edges[1:]):
                 part = batch.slice(lo, hi - lo)

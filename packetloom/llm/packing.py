@@ -19,6 +19,7 @@ then ids; repeated rows are packed once each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import zlib
@@ -40,6 +41,13 @@ _CACHE_PARTS = 500_000
 _loaded: dict[int, "WordIds"] = {}
 
 
+def id_kind(vocabulary: str) -> str:
+    """Two bytes per id where the vocabulary allows it."""
+    held = json.loads(vocabulary)
+    ids = [*held["model"]["vocab"].values(), *[t["id"] for t in held.get("added_tokens", [])]]
+    return "<u2" if max(ids) < 65536 else "<u4"
+
+
 class WordIds:
     """Token ids of texts by way of words: the vocabulary never joins what white space parts, so ids of words are kept and reused.
 
@@ -56,7 +64,7 @@ class WordIds:
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         pieces = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.kind = np.dtype("<u2" if max(pieces.values()) < 65536 else "<u4")
+        self.kind = np.dtype(id_kind(vocabulary))
         self.last = np.zeros(max(pieces.values()) + 1, dtype=bool)
         self.last[[i for piece, i in pieces.items() if piece.endswith("</w>")]] = True
         self.end = np.array([END_ID], dtype=self.kind).tobytes()
@@ -154,7 +162,8 @@ def pack(
     """
     spark = docs.sparkSession
     with open(vocabulary, encoding="utf-8") as file:
-        held = spark.sparkContext.broadcast(file.read())  # a vocabulary file: its size does not follow the data
+        content = file.read()
+    held, kind = spark.sparkContext.broadcast(content), id_kind(content)  # a vocabulary file: its size does not follow the data
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     bucket = F.pmod(F.xxhash64("doc_id", "source", F.length("text")), F.lit(buckets))
@@ -184,7 +193,7 @@ def pack(
     schema = pa.schema([(f, pa.int64()) for f in fields] + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
 
     def fill(docs_in: pa.Table, start: pa.Table) -> pa.Table:
-        kind = word_ids(held).kind
+        _loaded.clear()  # the words kept for encoding are not needed any more in this worker
         queues: dict = {}
         columns = (docs_in.column(c).to_pylist() for c in ("doc_id", "ids", "source"))
         for doc, ids, source in sorted(zip(*columns), key=lambda r: (r[0] is None, r[0] or 0, r[1])):
