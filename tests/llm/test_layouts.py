@@ -180,7 +180,7 @@ def test_windows_follow_the_shares(spark):
     rows = [(i, "word " * 30, "abc"[0 if i % 6 < 3 else 1 if i % 6 < 5 else 2]) for i in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     source = {i: s for i, _, s in rows}
-    got = packing.pack(docs, VOCABULARY, window=1024, bucket_bytes=50_000).collect()
+    got = packing.pack(docs, VOCABULARY, window=1024).collect()
     filled = defaultdict(lambda: defaultdict(int))
     for r in got:
         filled[r.sequence_id // 8][source[r.doc_id]] += r.length
