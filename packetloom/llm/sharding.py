@@ -66,6 +66,10 @@ def split_points(points: DataFrame, shards: int) -> DataFrame:
             at = F.floor((F.col(dims[best]) - low) / span * ((1 << 20) - 1)) * (1 << 20) + F.col("hash")
             key = F.when(F.col("node") == row[0], at).otherwise(key)
             goals[row[0]] = row[1] * ((hi - lo) // 2) / (hi - lo)
+        # Nodes without points, as small or empty tables have them, are done.
+        nodes = {n: span for n, span in nodes.items() if n in goals or span[1] - span[0] == 1}
+        if not goals:
+            break
         keyed = placed.withColumn("key", key)
         found = {n: (0, 0) for n in goals}  # node: the key's leading bits so far, weight below
         for below, bits in _ROUNDS:
