@@ -92,8 +92,10 @@ def best_paths(messages: DataFrame) -> DataFrame:
     leaves = rooted.join(answered, ["conv", "msg_id"], "left_anti")
     best = leaves.groupBy("conv").agg(F.max_by("msg_id", F.struct("sum", -F.col("msg_id"))).alias("msg_id"))
     path = best
+    # Each hop is used once, the longest first, so every ancestor is reached once and the plan grows with the number of hops only.
     for hop in reversed(jumps):
-        path = path.unionByName(path.join(hop, ["conv", "msg_id"]).filter("up IS NOT NULL").select("conv", F.col("up").alias("msg_id"))).distinct()
+        both = F.array_compact(F.array("msg_id", "up"))
+        path = path.join(hop, ["conv", "msg_id"], "left").select("conv", F.explode(both).alias("msg_id"))
     marked = staged(path, "paths")
     return rows.join(marked, ["conv", "msg_id"]).join(rooted, ["conv", "msg_id"]).select("conv_id", "depth", "role", "text")
 
