@@ -75,6 +75,13 @@ def over_texts(
     return df.select(*needed).mapInArrow(run, f"{kept}, {schema}")
 
 
+def hashed_share(most: int, total: int, *cols: str) -> Column:
+    """True for about `most` of `total` rows (all, if they are no more), chosen by a hash of `cols`: unlike a sorted limit, no task
+    sends more than its share of them."""
+    share = min(1.0, most / max(total, 1))
+    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Rows `node, root` for all nodes of `edges` (a, b): root is the smallest node reachable.
 

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import components, local_forest, staged
+from packetloom.llm.common import components, hashed_share, local_forest, staged
 
 COSINE = 0.95
 RECALL = 0.97
-#: Vectors the rotations are learned from.
+#: About so many vectors the rotations are learned from.
 SAMPLE = 4096
 BUCKET_MEAN = 8
 BLOCK = 512
@@ -158,8 +158,10 @@ def near_vectors(
     classes = staged(
         keyed.groupBy("class", "vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("rep")), "vector-classes"
     )
-    some = classes.select("vector").orderBy(F.xxhash64("class"), "class").limit(sample).collect()
-    bits, tables = plan_tables(classes.count(), dim, cosine, recall)
+    n_classes = classes.count()
+    some = sorted(classes.filter(hashed_share(sample, n_classes, "class")).select("class", "vector").collect())
+    some = some or classes.select("class", "vector").limit(sample).collect()
+    bits, tables = plan_tables(n_classes, dim, cosine, recall)
     rotations = learn_rotations(np.array([r.vector for r in some], dtype=np.float64), math.ceil(tables / (dim // bits)))
     coded = staged(encode(classes.select("class", "vector", "n"), rotations, bits, tables, dim), "vector-codes")
 

@@ -6,8 +6,8 @@ forms, adverts, comments and the like is left out.
 
 Scores are learned from labelled pages: those whose own markup says where the article is (`article`, `main` or `role="main"`). For
 every name of an element, class or id the learner counts words inside and outside of articles; the score is the
-logarithm of the two rates, on top of fixed first counts for names with a known meaning. At most `SAMPLE` pages are
-taken for that, chosen by a hash of the id. Pages without such markup are scored by the same table.
+logarithm of the two rates, on top of fixed first counts for names with a known meaning. About `SAMPLE` pages are
+looked at for that, chosen by a hash of the id. Pages without such markup are scored by the same table.
 
 Defined cases: NULL or empty html has an empty text; a page without words too; repeated rows come back repeated; an unfinished tag at the end
 of a page is dropped; unfinished character references stay as they are; an empty table gives no rows. Texts of any length are read whole.
@@ -24,9 +24,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import over_texts
+from packetloom.llm.common import hashed_share, over_texts
 
-SAMPLE = 2000
+SAMPLE = 1000
 #: Elements whose content is not text of the page.
 HIDDEN = frozenset("head script style noscript template iframe object svg math canvas audio video select datalist textarea title".split())
 #: Of those, the ones in which tags are not tags.
@@ -195,7 +195,8 @@ def main_text(page: str | None, scores: dict[str, float]) -> str:
 def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """`page_id, url, text, n_chars` for every row of `pages` (page_id, url, html)."""
     marked = F.lower("html").rlike(r"<article|<main|role\s*=\s*[\"']?main")
-    some = pages.filter(marked).select("html").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()
+    chosen = pages.filter(hashed_share(sample, pages.count(), "page_id")).filter(marked)
+    some = chosen.select("page_id", "html").orderBy("page_id", "html").collect()
     scores = learn_scores([r.html for r in some])
 
     def run(texts: list[str | None]) -> dict[str, object]:

@@ -5,7 +5,7 @@ source, language, size and layout (metadata view). Both start from the labelled
 labels the unlabelled rows it is surest about, and the other one learns from these. In the end the two are calibrated on labelled rows
 that neither has seen, combined by a third small model, and all documents are scored.
 
-What is bounded: at most `LABELLED` labelled and `UNLABELLED` unlabelled documents, chosen by a hash of the id, are used for fitting, and
+What is bounded: about `LABELLED` labelled and `UNLABELLED` unlabelled documents, chosen by a hash of the id, are used for fitting, and
 `WORDS` words are features, those whose presence tells the labels apart most clearly in the labelled sample. The three models are
 small and are fitted on the driver from that sample. Scores are made for every document, from its whole text.
 
@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import over_texts, staged
+from packetloom.llm.common import hashed_share, over_texts, staged
 
 LABELLED = 20_000
 UNLABELLED = 5_000
@@ -177,9 +177,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     marked = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(good).alias("good"))
     here = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
-    known = here.join(marked, "doc_id").orderBy(*order).limit(labelled)
-    unknown = here.join(marked, "doc_id", "left_anti").orderBy(*order).limit(unlabelled)
-    chosen = staged(known.unionByName(unknown.withColumn("good", F.lit(None).cast("int"))), "quality-chosen")
+    ids = staged(here.join(marked, "doc_id", "left"), "quality-ids")
+    known, unknown = ids.filter("good IS NOT NULL"), ids.filter("good IS NULL")
+    some = [rows.filter(hashed_share(most, rows.count(), "doc_id")) for rows, most in ((known, labelled), (unknown, unlabelled))]
+    chosen = staged(some[0].unionByName(some[1]), "quality-chosen")
     # A bounded number of ids.
     sample = staged(docs.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen), "doc_id"), "quality-sample")
     sizes = {r.good: r.n for r in sample.groupBy("good").agg(F.count("*").alias("n")).collect()}
