@@ -78,12 +78,13 @@ def best_paths(messages: DataFrame) -> DataFrame:
     jumps = [step.select("conv", "msg_id", "up")]
     while 2 ** (len(jumps) - 1) < longest and step.filter("up IS NOT NULL").head(1):
         over = step.select("conv", F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("depth").alias("depth2"))
-        joined = step.join(over, ["conv", "up"], "left")
+        # Messages that have reached their root take no part any more.
+        joined = step.filter("up IS NOT NULL").join(over, ["conv", "up"], "left")
         step = staged(
             joined.select(
                 "conv", "msg_id", F.col("up2").alias("up"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"),
                 (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            ),
+            ).unionByName(step.filter("up IS NULL")),
             "jumps",
         )
         jumps.append(step.select("conv", "msg_id", "up"))
