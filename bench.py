@@ -14,9 +14,9 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = [
     "q_header", "q_fstream_close", "q_user_ident", "q_stitch", "q_expired", "q_dict_asof", "q_user_lease", "q_transfers",
     "q_route", "q_wlcg", "q_cache_events", "q_tpc_events", "q_sequence", "q_summary_fields", "q_summary_deltas", "q_metrics",
-    "q_flagship", "q_transfers_swept", "q_hot_keys",
+    "q_flagship", "q_transfers_swept",
 ]
-STREAMS = ["q_stream_sequence", "q_stream_summaries", "q_stream_transfers", "q_stream_expiry"]
+STREAMS = ["q_stream_sequence", "q_stream_summaries"]
 
 
 def main() -> None:
