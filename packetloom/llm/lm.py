@@ -5,7 +5,7 @@ knows the `WORDS` most frequent words one by one, and all others by `RARE` class
 share of the counts, an unseen one half a count. So each word of any text has a probability, and unseen words are treated as the unigram
 base treats them.
 
-Training: documents of the training folds, a fixed part of them per round (`PART`), run through truncated backpropagation
+Training: documents of the training folds run through truncated backpropagation, another part of them in each round (`PART`) and all of them once,
 where they lie, each task from the same values, and the values are averaged, weighted by tokens, in groups until few are left. What is learned
 from grows with the table; the network does not.
 
@@ -36,7 +36,7 @@ WORDS = 1024
 RARE = 32
 WARM = 200_000
 PART = 8
-ROUNDS = 2
+ROUNDS = PART
 END = b"\n"  # no word holds white space
 _ENDING = 2
 _COUNTER = 400_000
@@ -109,7 +109,7 @@ class Model:
 
 
 def fit(docs: DataFrame, model: Model, rounds: int = ROUNDS, part: int = PART) -> np.ndarray:
-    """The network's values after `rounds` passes over a `part`-th of the training documents each."""
+    """The network's values after `rounds` passes over a `part`-th of the training documents each, one part after the other."""
     spark = docs.sparkSession
     values = model.values
     draw = F.pmod(F.floor(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) / 5), F.lit(part))
@@ -128,8 +128,9 @@ def fit(docs: DataFrame, model: Model, rounds: int = ROUNDS, part: int = PART) -
             if weight:
                 yield _values_row(values, weight)
 
-        trained = docs.filter(draw == k).select("text").mapInArrow(run, "values binary, weight long")
+        trained = docs.filter(draw == k % part).select("text").mapInArrow(run, "values binary, weight long")
         values = average(trained, values)
+        held.destroy()  # what was trained is written by now
     return values
 
 

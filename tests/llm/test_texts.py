@@ -174,6 +174,15 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
     assert got and sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+@pytest.mark.parametrize("part", [1, 2, lm.PART - 1])
+def test_every_part_trains_the_network(spark, part):
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) // 5 % lm.PART == part]
+    docs = spark.createDataFrame([(i, "a b a b c") for i in ids], "doc_id long, text string").coalesce(1)
+    model = lm.Model([(w, lm.rare_class(w), 9) for w in (b"a", b"b", b"c", lm.END)], 36, 4, {})
+    before = model.values.copy()
+    assert not np.array_equal(lm.fit(docs, model), before)
+
+
 def test_classifier(spark):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     known = labels.filter("doc_id % 3 <> 0")
