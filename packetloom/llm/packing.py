@@ -5,16 +5,17 @@ queue earns credit in proportion to its source's target share and sends whole do
 could not send stays as its deficit, for the next window. A document that reaches the end of a window goes on in the next
 one, so only the very last window is padded.
 
-Queues are dealt by hash into buckets of a few megabytes, each packed by one task. Every bucket starts where the bucket before it ends:
-how many tokens all earlier buckets hold, in all and per source, gives the position in the open window and each source's
-deficit. These sums need only counts per bucket and source, so buckets run at the same time and still give what one pass
-from bucket to bucket would. A source of any size is spread over all buckets.
+Queues are cut into buckets of a few megabytes, each packed by one task, by ranges of the whole sequence of windows: a document's place
+in its source's queue (prefix sums per source, over cells dealt by hash) over its source's target share tells at what point of the
+sequence it is due, so a bucket holds of each source what the target shares ask of it there. A bucket starts where the one before it
+ends: how many tokens all earlier buckets hold gives the position in the open window, and the place of a source's first document its
+deficit, which is never more than one document. Buckets run at the same time and still give what one pass from bucket to bucket would.
 
-The target shares are those of the tokens themselves unless given; all tokens are packed in any case, sources that outlast
-the others fill the last windows of a bucket.
+The target shares are those of the tokens themselves unless given. All tokens are packed in any case: once a source ends, the others go
+on in proportion to their shares.
 
-Defined cases: a NULL text is empty and has the end id alone; a NULL source is a source of its own; ties in a queue go by id,
-then ids; repeated rows are packed once each; an empty table gives no rows.
+Defined cases: a NULL text is empty and has the end id alone; a NULL source is a source of its own; a queue goes by cell, id,
+length, then ids; repeated rows are packed once each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -36,6 +37,8 @@ from packetloom.llm.common import over_texts, same, staged, sums_before
 WINDOW = 4096
 END_ID = 2
 BUCKET_BYTES = 4_000_000
+#: Cells a bucket's bytes are dealt into before places in queues are summed up.
+CELLS = 16
 _CACHE_WORDS = 300_000
 _CACHE_PARTS = 500_000
 _loaded: dict[int, "WordIds"] = {}
@@ -147,6 +150,28 @@ def round_robin(queues: Mapping[str | None, list[int]], share: Mapping, deficit:
     return order
 
 
+def queue_of(source: str | None) -> str:
+    """The name of a source's queue, never NULL."""
+    return "" if source is None else f"s{source}"
+
+
+class Course:
+    """How far the whole sequence is once each queue has sent its share times u, or all it has."""
+
+    def __init__(self, total: int, given: Mapping[str, tuple[float, int]]):
+        """`given`: weight and tokens of the queues with a target share; the others end together, at u = total."""
+        rest = total - sum(n for _, n in given.values())
+        self.parts = [(w, n) for w, n in [(rest / max(total, 1), rest), *given.values()] if n]
+        self.turns = np.array(sorted({0.0, *(n / w for w, n in self.parts)}))
+        self.places = np.array([sum(min(w * u, n) for w, n in self.parts) for u in self.turns])
+
+    def place(self, turn: Column) -> Column:
+        return sum((F.least(turn * F.lit(float(w)), F.lit(float(n))) for w, n in self.parts), F.lit(0.0))
+
+    def turn(self, place: float) -> float:
+        return float(np.interp(place, self.places, self.turns))
+
+
 def pack(
     docs: DataFrame,
     vocabulary: str,
@@ -166,8 +191,9 @@ def pack(
     held, kind = spark.sparkContext.broadcast(content), id_kind(content)  # a vocabulary file: its size does not follow the data
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
-    bucket = F.pmod(F.xxhash64("doc_id", "source", F.length("text")), F.lit(buckets))
-    rows = docs.select("doc_id", "text", "source", bucket.alias("bucket"))
+    cell = F.pmod(F.xxhash64("doc_id", "source", F.length("text")), F.lit(buckets * CELLS))
+    queue = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit(""))
+    rows = docs.select("doc_id", "text", queue.alias("queue"), cell.alias("cell"))
 
     def encode(texts: list[str | None]) -> dict[str, object]:
         own = word_ids(held)
@@ -175,19 +201,33 @@ def pack(
         return {"n": [len(i) // own.kind.itemsize for i in ids], "ids": pa.array(ids, type=pa.binary())}
 
     # Written once with its ids, so that texts are tokenized once and counts are read without them.
-    encoded = staged(over_texts(rows, "n long, ids binary", encode, ["doc_id", "source", "bucket"]), "pack-ids")
-    counts = staged(encoded.groupBy("bucket", "source").agg(F.sum("n").alias("n")), "pack-counts")
-    by_source = counts.groupBy("source").agg(F.sum("n").alias("of_source"))
+    encoded = staged(over_texts(rows, "n long, ids binary", encode, ["doc_id", "queue", "cell"]), "pack-ids")
+    counts = staged(encoded.groupBy("queue", "cell").agg(F.sum("n").alias("n")), "pack-counts")
+    by_queue = counts.groupBy("queue").agg(F.sum("n").alias("of_queue"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    by_bucket = sums_before(counts.groupBy("bucket").agg(F.sum("n").alias("all")), [], "bucket", "all", "before")
-    own = sums_before(counts, ["source"], "bucket", "n", "served")
-    state = own.join(by_bucket.select("bucket", "before"), "bucket")
-    state = state.join(by_source, same(state, by_source, "source")).select(state["*"], "of_source")
-    share = F.col("of_source") / F.lit(max(total, 1))
-    for name, weight in (shares or {}).items():
-        share = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(weight / sum(shares.values()))).otherwise(share)
-    deficit = F.col("share") * F.col("before") - F.col("served")
-    state = staged(state.select("bucket", "source", "before", "served", share.alias("share")).withColumn("deficit", deficit), "pack-state")
+    weights = {queue_of(name): weight / sum(shares.values()) for name, weight in (shares or {}).items()}
+    named = by_queue.filter(F.col("queue").isin(list(weights))).collect() if weights else []
+    course = Course(total, {r["queue"]: (weights[r["queue"]], r["of_queue"]) for r in named})
+    bucket_tokens = max(1, math.ceil(total / buckets))
+    share = F.col("of_queue") / F.lit(max(total, 1))
+    for name, weight in weights.items():
+        share = F.when(F.col("queue") == name, F.lit(weight)).otherwise(share)
+    own = sums_before(counts, ["queue"], "cell", "n", "served", step=256)
+    state = staged(own.join(by_queue, "queue").select("queue", "cell", "served", share.alias("share")), "pack-state")
+
+    def placed(rows: DataFrame, *order: str) -> DataFrame:
+        """With `at`, the tokens before a document in its queue, and its bucket. Rows that agree in `order` may swap places."""
+        earlier = Window.partitionBy("queue", "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        joined = rows.join(state, ["queue", "cell"])
+        found = joined.withColumn("at", F.col("served") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        # A fixed part of its length into a document, other for each queue, so that queues of one document do not all start together.
+        part = F.pmod(F.xxhash64("queue"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        due = course.place((F.col("at") + part * F.col("n")) / F.col("share"))
+        return found.withColumn("bucket", F.floor(due / F.lit(float(bucket_tokens))).cast("long"))
+
+    by_bucket = placed(encoded.select("doc_id", "queue", "cell", "n"), "doc_id", "n").groupBy("bucket").agg(F.sum("n").alias("all"))
+    starts = staged(sums_before(staged(by_bucket, "pack-buckets"), [], "bucket", "all", "before").select("bucket", "before"), "pack-starts")
+    due = placed(encoded, "doc_id", "n", "ids").select("bucket", "queue", "at", "doc_id", "ids", "share")
 
     fields = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = pa.schema([(f, pa.int64()) for f in fields] + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
@@ -195,13 +235,15 @@ def pack(
     def fill(docs_in: pa.Table, start: pa.Table) -> pa.Table:
         _loaded.clear()  # the words kept for encoding are not needed any more in this worker
         queues: dict = {}
-        columns = (docs_in.column(c).to_pylist() for c in ("doc_id", "ids", "source"))
-        for doc, ids, source in sorted(zip(*columns), key=lambda r: (r[0] is None, r[0] or 0, r[1])):
-            queues.setdefault(source, []).append((doc, np.frombuffer(ids, dtype=kind).astype("<u4")))
-        known = {r["source"]: r for r in start.to_pylist()}
-        lengths = {s: [len(ids) for _, ids in q] for s, q in queues.items()}
-        order = round_robin(lengths, {s: r["share"] for s, r in known.items()}, {s: r["deficit"] for s, r in known.items()}, window)
-        place = start.column("before")[0].as_py() if queues else 0
+        share, deficit = {}, {}
+        begin = course.turn(start.column("bucket")[0].as_py() * bucket_tokens)
+        columns = (docs_in.column(c).to_pylist() for c in ("queue", "at", "doc_id", "ids", "share"))
+        for queue, at, doc, ids, weight in sorted(zip(*columns), key=lambda r: r[:2]):
+            if queue not in queues:
+                queues[queue], share[queue], deficit[queue] = [], weight, weight * begin - at
+            queues[queue].append((doc, np.frombuffer(ids, dtype=kind).astype("<u4")))
+        order = round_robin({s: [len(ids) for _, ids in q] for s, q in queues.items()}, share, deficit, window)
+        place = start.column("before")[0].as_py()
         out = []
         for source, i in order:
             doc, ids = queues[source][i]
@@ -218,4 +260,4 @@ def pack(
         return pa.table([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
     spark_schema = ", ".join(f"`{f}` long" for f in fields) + (", ids array<int>" if with_ids else "")
-    return encoded.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(fill, spark_schema)
+    return due.groupBy("bucket").cogroup(starts.groupBy("bucket")).applyInArrow(fill, spark_schema)

@@ -189,6 +189,28 @@ def test_windows_follow_the_shares(spark):
             assert all(abs(own[s] / (8 * 1024) - share) < 0.06 for s, share in (("a", 1 / 2), ("b", 1 / 3), ("c", 1 / 6)))
 
 
+def test_given_shares_hold_over_several_buckets(spark):
+    """Until a source ends, no window is further from the target than a turn of the queues and a document."""
+    rows = [(i, "word " * 30, None if i % 10 == 0 else "a" if i % 10 < 6 else "c") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {i: s for i, _, s in rows}
+    shares = {None: 0.5, "a": 0.25, "c": 0.25}
+    for bucket_bytes in (packing.BUCKET_BYTES, 60_000):
+        got = packing.pack(docs, VOCABULARY, window=1024, bucket_bytes=bucket_bytes, shares=shares).collect()
+        sent, most = dict.fromkeys(shares, 0), {s: 31 * sum(own == s for own in source.values()) for s in shares}
+        for n, r in enumerate(sorted(got, key=lambda r: (r.sequence_id, r.offset))):
+            sent[source[r.doc_id]] += r.length
+            if sent[None] < most[None]:
+                assert all(abs(sent[s] - share * sum(sent.values())) < 600 for s, share in shares.items())
+        assert sent == most
+
+
+def test_many_small_sources_are_spread_over_buckets(spark, tokenizer):
+    docs = spark.createDataFrame([(i, "word " * 30, f"s{i}") for i in range(600)], "doc_id long, text string, source string")
+    rows = packing.pack(docs, VOCABULARY, window=256, bucket_bytes=9_000).collect()
+    check_packing(rows, [(r.doc_id, r.text) for r in docs.collect()], tokenizer, window=256)
+
+
 def test_round_robin_carries_deficits():
     queues = {"a": [10] * 50, "b": [25] * 20}
     order = packing.round_robin(queues, {"a": 0.5, "b": 0.5}, {"a": 0.0, "b": 0.0}, 20)
