@@ -4,7 +4,8 @@ Every run of two words of a document meets, by a join on its hash, the places of
 at document word i and template word j votes for the diagonal i - j. A template that stands in a document as it is puts all its
 votes on one diagonal; words added or left out shift the rest to diagonals beside it, so neighbouring ones are merged.
 Merged votes give a span of the document and how much of the template it covers, and spans are verified: whole phrases
-have to be there word for word, longer templates by most of their word pairs within a span not much longer than themselves.
+have to be there word for word, longer templates by most of their word pairs within a span not much longer than themselves. Where merged
+votes reach further than that, every stretch of them that is short enough is tried, so stray pairs beside a template do not hide it.
 
 Only DataFrame functions are used. Templates are constants of this module, so their table has a fixed size and is broadcast.
 
@@ -17,7 +18,10 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import words
@@ -83,6 +87,28 @@ def templates(spark: SparkSession) -> DataFrame:
     )
 
 
+def most_repeats() -> int:
+    """How often a pair of words stands in one template at most."""
+    found = [re.findall("[0-9a-z]+", text.lower()) for texts in TEXTS.values() for text in texts]
+    return max(n for w in found for n in Counter(zip(w, w[1:])).values())
+
+
+def best_stretch(lines: Column, length: Column) -> Column:
+    """`votes, begin, end` of the stretch with the most votes that a template of `length` words may have, over merged `lines` (diagonal, ats).
+
+    A stretch begins at a vote, and no more than so many votes lie in it as its places times the repeats of a pair.
+    """
+    reach = F.floor(F.lit(STRETCH) * length).cast("int") - GRAM
+    places = F.array_sort(F.flatten(F.transform(lines, lambda d: F.transform(d["ats"], lambda at: F.struct((d["diagonal"] + at).alias("pos"), at.alias("at"))))))
+
+    def stretch(first: Column, i: Column) -> Column:
+        inside = F.filter(F.slice(places, i + 1, (reach + 1) * most_repeats()), lambda p: p["pos"] <= first["pos"] + reach)
+        end = F.element_at(inside, -1)["pos"] + GRAM
+        return F.struct(F.size(F.array_distinct(inside["at"])).alias("votes"), first["pos"].alias("begin"), end.alias("end"))
+
+    return F.array_max(F.transform(places, stretch))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """`doc, text_hash, template, label, phrase, length, votes, begin, end` for merged diagonals of `docs` (as made by `keyed`)."""
     found = grams(docs, GRAM).join(F.broadcast(templates(docs.sparkSession)), "h")
@@ -100,10 +126,14 @@ def spans(docs: DataFrame) -> DataFrame:
     grouped = texts.withColumn("fresh", F.coalesce(fresh.cast("int"), F.lit(0)))
     grouped = grouped.withColumn("group", F.sum("fresh").over(near))
     merged = grouped.groupBy(*place, "group").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("votes"),
+        F.collect_list(F.struct("diagonal", "ats")).alias("lines"),
         F.min(F.col("diagonal") + F.array_min("ats")).alias("begin"), F.max(F.col("diagonal") + F.array_max("ats") + GRAM).alias("end"),
     )
-    return whole.unionByName(merged.drop("group"))
+    all_votes = F.size(F.array_distinct(F.flatten("lines.ats")))
+    whole_span = F.struct(all_votes.alias("votes"), "begin", "end")
+    long = (F.col("end") - F.col("begin") > STRETCH * F.col("length")) & (all_votes >= COVERED * (F.col("length") - GRAM + 1))
+    found = merged.select(*place, F.when(long, best_stretch(F.col("lines"), F.col("length"))).otherwise(whole_span).alias("span"))
+    return whole.unionByName(found.select(*place, "span.*"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

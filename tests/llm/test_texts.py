@@ -64,6 +64,17 @@ def test_templates_survive_edits(spark, label):
     assert label in licenses.scan(df).first().labels.split(",")
 
 
+def test_stray_pairs_do_not_hide_a_template(spark):
+    isc = licenses.TEXTS["isc"][0].split()
+    edited = " ".join(isc[:9] + ["really"] + isc[9:20] + isc[21:])
+    rows = [
+        (1, "Code licensed under MIT, text licensed under CC BY-NC 4.0"), (2, "licensed under x " * 300 + "licensed under CC BY-NC 4.0 " + "y licensed under " * 300),
+        (3, "permission notice or fee this software " * 20 + edited + " and this software without fee" * 20), (4, "licensed under x " * 300 + "by z nc q 4.0"),
+    ]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == got[2] == ("cc-by-nc", 1.0) and got[3][0] == "isc" and 0.75 <= got[3][1] < 1 and got[4] == ("", 0.0)
+
+
 def slow_contamination(docs, items, size):
     windows: dict = {}
     for item, text in items:
