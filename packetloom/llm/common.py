@@ -70,9 +70,9 @@ def over_texts(
                 cols = [part.column(c) for c in keep] + list(made.values())
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], [*keep, *made])
 
-    kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
     needed = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, text, *(also or [])])]
-    return df.select(*needed).mapInArrow(run, f"{kept}, {schema}")
+    return df.select(*needed).mapInArrow(run, ", ".join([*kept, schema]))
 
 
 def hashed_share(most: int, total: int, *cols: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from packetloom.llm import embeddings, licenses
+from packetloom.llm import embeddings, licenses, line_dedup
 from packetloom.llm.decontamination import WINDOW
 
 
@@ -75,6 +75,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
        coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM doc LEFT JOIN marks USING (doc_id)"""
 
+_BLANK = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+LINES = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM doc),
+keyed AS (SELECT *, translate(trim(line, {_BLANK}), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS key FROM line),
+often AS (SELECT key FROM keyed WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT r) >= {line_dedup.MIN_DOCS}),
+kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM keyed ANTI JOIN often USING (key) GROUP BY r)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)"""
+
 ORACLE = {
     "op3_license_scan": LICENSES, "op4_embedding_dedup": VECTORS, "op5_chat_format": CHAT, "op6_contamination": CONTAMINATION,
+    "op11_line_dedup": LINES,
 }

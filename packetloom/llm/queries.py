@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from packetloom.llm import chat, decontamination, embeddings, licenses, lm, packing, pages, quality, sharding, simhash
+from pyspark.sql import functions as F
+
+from packetloom.llm import (
+    chat,
+    decontamination,
+    embeddings,
+    licenses,
+    line_dedup,
+    lm,
+    packing,
+    pages,
+    quality,
+    sharding,
+    simhash,
+    spelling,
+    whitening,
+)
 from packetloom.llm.common import table
 from packetloom.llm.oracle import ORACLE  # noqa: F401
 
@@ -57,6 +72,19 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), change=spelling.crc_deletion))
+
+
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": lm_scores,
     "op2_quality_scores": quality_scores,
@@ -68,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kd_shards": kd_shards,
     "op9_mixture_packing": mixture_packing,
     "op10_page_texts": page_texts,
+    "op11_line_dedup": repeated_lines,
+    "op12_spelling_variants": spelling_variants,
+    "op13_embedding_whitening": whitened_embeddings,
 }
