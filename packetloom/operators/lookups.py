@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from packetloom.operators.joins import broadcast_if_small
 from packetloom.operators.ordered import GROUP_LIMIT, before, find_hot_keys
+from packetloom.operators.spacing import TIMES_LIMIT, hot_times, times_apart
 from packetloom.operators.transfers import TTL_SECONDS
 
 DICT_KEY = ["sid", "dict_id"]
 USER_KEY = ["sid", "ident"]
 ORDER = ["arrival_seq", "rec_idx"]
-LEASE_GROUP_LIMIT = 200_000
+LEASE_GROUP_LIMIT = TIMES_LIMIT
 
 
 def _age(since: str, at: str = "arrival_ts"):
@@ -39,8 +40,8 @@ def _asof(
     both = probes.select(*keys, *ORDER, F.struct(*probe_cols).alias("probe")).unionByName(
         states.select(*keys, "arrival_seq", F.lit(-1).alias("rec_idx"), *values), allowMissingColumns=True
     )
-    counted = [df.select(*keys, "arrival_seq") for df in (probes, states if writers is None else writers)]
-    hot = find_hot_keys(counted[0].unionByName(counted[1]), keys, "arrival_seq", group_limit)
+    written = (states if writers is None else writers).select(*keys, "arrival_seq", F.lit(-1).alias("rec_idx"))
+    hot = find_hot_keys(probes.select(*keys, *ORDER).unionByName(written), keys, ORDER, group_limit)
     found = before(both, keys, ORDER, last={f"_{v}": F.col(v) for v in values}, hot=hot)
     return found.filter("probe IS NOT NULL").select(
         *keys, *ORDER, "probe.*", *[F.col(f"_{v}").alias(v) for v in values]
@@ -88,64 +89,40 @@ def lookup_dict(
 
 
 def user_leases(messages: DataFrame, ttl_seconds: int, lease_limit: int | None = LEASE_GROUP_LIMIT) -> DataFrame:
-    """Start times `t` of the lives of every (sid, identity): the first message, then each first one after the TTL.
+    """Start times `t` of the lives of every (sid, identity): the first message, then each first one after the TTL."""
+    timed = messages.withColumn("t", F.unix_micros("arrival_ts"))
+    return times_apart(timed, USER_KEY, _micros(ttl_seconds), hot_times(timed, USER_KEY, lease_limit))
+
+
+def latest_entries(entries: DataFrame) -> DataFrame:
+    """The last entry of every dictionary key, all that later lookups need of it."""
+    latest = entries.groupBy(*DICT_KEY).agg(F.max_by(F.struct("arrival_ts", "arrival_seq", "entry"), "arrival_seq").alias("last"))
+    return latest.select(*DICT_KEY, "last.*")
+
+
+def latest_users(
+    messages: DataFrame, ttl_seconds: int | None, since: int | None = None, lease_limit: int | None = LEASE_GROUP_LIMIT
+) -> DataFrame:
+    """Of the last life of every identity: its first message (as a mark, without content) and the last ones with `auth` and `appinfo`.
 
-    Each start depends on the one before. For identities with up to `lease_limit` messages that is a fold over
-    their sorted times; for busier ones the starts are found by jumps of doubling length.
+    `messages` has `auth` and `appinfo`, one of them NULL. The rows are messages again, from which a later part of a feed goes on. Lives
+    that began before `since` (epoch seconds) are left out as a whole.
     """
     timed = messages.withColumn("t", F.unix_micros("arrival_ts"))
-    return _leases(timed, ttl_seconds, find_hot_keys(timed.select(*USER_KEY, "t"), USER_KEY, "t", lease_limit))
-
-
-def _leases(timed: DataFrame, ttl_seconds: int, hot: DataFrame | None) -> DataFrame:
-    times = timed.select(*USER_KEY, "t").distinct()
-    ttl = _micros(ttl_seconds)
-    if hot is None:
-        return _folded_leases(times, ttl)
-    hot_keys = F.broadcast(hot.select(*USER_KEY))  # at most rows / lease_limit keys
-    calm = times.join(hot_keys, USER_KEY, "left_anti")
-    busy = times.join(hot_keys, USER_KEY, "left_semi")
-    return _folded_leases(calm, ttl).unionByName(_jumped_leases(busy, hot, ttl))
-
-
-def _folded_leases(times: DataFrame, ttl: int) -> DataFrame:
-    def step(starts, t):
-        return F.when((F.size(starts) == 0) | (t > F.try_element_at(starts, F.lit(-1)) + ttl),
-                      F.array_append(starts, t)).otherwise(starts)
-
-    listed = times.groupBy(*USER_KEY).agg(F.array_sort(F.collect_list("t")).alias("times"))
-    starts = F.aggregate("times", F.array().cast("array<bigint>"), step)
-    return listed.select(*USER_KEY, F.explode(starts).alias("t"))
-
-
-def _jumped_leases(times: DataFrame, hot: DataFrame, ttl: int) -> DataFrame:
-    """`next(t)` is the first time after t + ttl. Starts are what repeated `next` reaches from the first time; a
-    round doubles the length of the jumps, so a year of one-hour leases takes fourteen rounds of equi-joins on
-    (identity, time), a key that is unique and therefore never skewed."""
-    from packetloom.sources.stage import write_stage
-
-    # Look ahead by running time backwards: the first later time is the latest earlier one of negated times.
-    ends = times.select(*USER_KEY, (-F.col("t") - ttl).alias("at"), F.col("t").alias("start"))
-    points = times.select(*USER_KEY, (-F.col("t")).alias("at"), (-F.col("t")).alias("mark"))
-    both = points.unionByName(ends, allowMissingColumns=True).withColumn("tie", F.col("start").isNull().cast("int"))
-    mirrored = hot.withColumn("bounds", F.sort_array(F.transform("bounds", lambda b: -b)))
-    jumps = before(both, USER_KEY, ["at", "tie"], last={"found": F.col("mark")}, hot=mirrored)
-    jumps = jumps.filter("start IS NOT NULL AND found IS NOT NULL").select(
-        *USER_KEY, F.col("start").alias("t"), (-F.col("found")).alias("to")
+    if ttl_seconds is not None:
+        starts = user_leases(messages, ttl_seconds, lease_limit).groupBy(*USER_KEY).agg(F.max("t").alias("start"))
+        if since is not None:
+            starts = starts.filter(F.col("start") >= since * 1_000_000)
+        timed = timed.join(starts, USER_KEY).filter("t >= start")
+    place = ["arrival_ts", "arrival_seq"]
+    auth, app = (F.lit(None).cast(messages.schema[c].dataType).alias(c) for c in ("auth", "appinfo"))
+    latest = timed.groupBy(*USER_KEY).agg(
+        F.min_by(F.struct(*place, auth, app), F.struct("t", "arrival_seq")).alias("mark"),
+        F.max_by(F.struct(*place, "auth", app), F.when(F.col("auth").isNotNull(), F.col("arrival_seq"))).alias("by_user"),
+        F.max_by(F.struct(*place, auth, "appinfo"), F.when(F.col("appinfo").isNotNull(), F.col("arrival_seq"))).alias("by_app"),
     )
-    jumps = write_stage(jumps, "lease-jumps")
-    starts = write_stage(times.groupBy(*USER_KEY).agg(F.min("t").alias("t")), "lease-starts")
-    reached, n = starts.count(), 0
-    while reached != n:
-        n = reached
-        landed = starts.join(jumps, [*USER_KEY, "t"]).select(*USER_KEY, F.col("to").alias("t"))
-        starts = write_stage(starts.unionByName(landed).distinct(), "lease-starts")
-        reached = starts.count()
-        onward = jumps.select(*USER_KEY, F.col("t").alias("to"), F.col("to").alias("further"))
-        jumps = write_stage(
-            jumps.join(onward, [*USER_KEY, "to"]).select(*USER_KEY, "t", F.col("further").alias("to")), "lease-jumps"
-        )
-    return starts
+    rows = F.filter(F.array("mark", "by_user", "by_app"), lambda r: r.isNotNull())
+    return latest.select(*USER_KEY, F.inline(rows))
 
 
 def lookup_user(
@@ -167,8 +144,8 @@ def lookup_user(
         states = messages.withColumn("lease", F.lit(0).cast("bigint"))
     else:
         timed = messages.withColumn("t", F.unix_micros("arrival_ts"))
-        hot = find_hot_keys(timed.select(*USER_KEY, "t"), USER_KEY, "t", lease_limit)
-        marks = _leases(timed, ttl_seconds, hot).withColumn("start", F.col("t"))
+        hot = hot_times(timed, USER_KEY, lease_limit)
+        marks = times_apart(timed, USER_KEY, _micros(ttl_seconds), hot).withColumn("start", F.col("t"))
         # A life starts before the messages of the same moment.
         marked = timed.unionByName(marks, allowMissingColumns=True).withColumn("tie", F.col("start").isNull().cast("int"))
         states = before(marked, USER_KEY, ["t", "tie"], last={"lease": F.col("start")}, hot=hot).filter("start IS NULL")
@@ -180,8 +157,9 @@ def lookup_user(
         F.when(F.col("auth").isNotNull(), F.struct("auth", "lease")).alias("by_user"),
         F.when(F.col("appinfo").isNotNull(), F.struct("appinfo", "lease")).alias("by_app"),
     )
-    # Transfers without an identity find nothing; a key of their own keeps them from gathering in one task.
-    probes = transfers.withColumn("spread", F.when(F.col("ident").isNull(), F.col("arrival_seq")).otherwise(0))
+    # Transfers without an identity find nothing; keys made from what they are keep them from gathering in one task.
+    names = [c for c in transfers.columns if c in (*ORDER, "file_id", "open_seq", "open_idx", "open_time")]
+    probes = transfers.withColumn("spread", F.when(F.col("ident").isNull(), F.xxhash64(*names)).otherwise(0))
     writers = messages.select(*USER_KEY, F.lit(0).cast("bigint").alias("spread"), "arrival_seq")
     values = ["lease", "by_user", "by_app"]
     found = _asof(probes, states, [*USER_KEY, "spread"], values, group_limit, writers)
@@ -212,6 +190,12 @@ def first_servers(servers: DataFrame) -> DataFrame:
     )
 
 
+def first_messages(servers: DataFrame) -> DataFrame:
+    """The first server message of every stream as it came."""
+    others = [c for c in servers.columns if c != "sid"]
+    return servers.groupBy("sid").agg(F.min_by(F.struct(*others), "arrival_seq").alias("first")).select("sid", "first.*")
+
+
 def lookup_server(rows: DataFrame, servers: DataFrame) -> DataFrame:
     """Add `server_id`, `server` and `site`. Unknown servers keep their address; known ones without a site get ''."""
     known = broadcast_if_small(first_servers(servers))
@@ -234,6 +218,33 @@ def resolve_host(rows: DataFrame, hosts: DataFrame) -> DataFrame:
     return rows.join(names, "addr", "left").withColumn("server_hostname", F.coalesce("server_hostname", "addr"))
 
 
+# Fixed value: how long a looked-up host name is kept.
+HOST_TTL_SECONDS = 24 * 3600
+
+
+def resolve_host_asof(
+    rows: DataFrame, names: DataFrame, ttl_seconds: int = HOST_TTL_SECONDS, times_limit: int | None = TIMES_LIMIT
+) -> DataFrame:
+    """Add `server_hostname` from names that change: `names` has `addr`, `hostname` and `valid_from`.
+
+    An address is looked up when it is first needed, and again by the first row that comes more than `ttl_seconds` after the last
+    lookup; in between the name stays, whatever it is by now. Addresses without a name at that moment stay as they are. Per address, names and
+    lookups are sorted arrays, joined by broadcast if they are small.
+    """
+    timed = rows.select("addr", F.unix_micros("arrival_ts").alias("t"))
+    looked = times_apart(timed, ["addr"], _micros(ttl_seconds), hot_times(timed, ["addr"], times_limit))
+    history = names.groupBy("addr").agg(
+        F.array_sort(F.collect_list(F.struct(F.unix_micros("valid_from").alias("since"), "hostname"))).alias("history")
+    )
+    known = looked.join(broadcast_if_small(history), "addr", "left").select(
+        "addr", "t", F.try_element_at(F.filter("history", lambda h: h["since"] <= F.col("t")), F.lit(-1))["hostname"].alias("name")
+    )
+    spans = known.groupBy("addr").agg(F.array_sort(F.collect_list(F.struct("t", "name"))).alias("spans"))
+    found = rows.join(broadcast_if_small(spans), "addr", "left")
+    now = F.try_element_at(F.filter("spans", lambda s: s["t"] <= F.unix_micros("arrival_ts")), F.lit(-1))["name"]
+    return found.withColumn("server_hostname", F.coalesce(now, "addr")).drop("spans")
+
+
 def first_seen(rows: DataFrame, keys: list[str], order: str = "arrival_seq") -> DataFrame:
     """First row of every key, without gathering the rows of a key: the smallest position is an aggregate."""
     packed = F.struct(order, *[c for c in rows.columns if c not in (*keys, order)])

@@ -32,7 +32,7 @@ def limit_for(group_limit: int | None, *tables: DataFrame) -> int | None:
 
 
 def find_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str, group_limit: int | None = GROUP_LIMIT
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], group_limit: int | None = GROUP_LIMIT
 ) -> DataFrame | None:
     """Keys with more than `group_limit` rows and, per key, ascending `bounds` that cut its rows into even slices.
 
@@ -40,10 +40,14 @@ def find_hot_keys(
     bucket, fully combined before the shuffle, and no key can have more rows than its bucket. The number of buckets
     follows the number of rows. Only when a bucket is too full are its keys counted one by one. All of it stays in
     written tables; what is broadcast is measured first.
+
+    Positions (values of the first column of `order`) that alone hold more rows than the limit are `crowded`: they have bounds over the second
+    column of `order`, if there is one, and `ties`, its values that are still too full. Rows of the same whole position know nothing of
+    each other, so they are dealt into `parts` by a hash. `order` has to be the whole order of the rows.
     """
     if group_limit is None:
         return None
-    keys = list(keys)
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     buckets = max(64, math.ceil(df.count() / (group_limit * _BUCKET_SHARE)))
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     full = df.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > group_limit).select("bucket")
@@ -54,21 +58,75 @@ def find_hot_keys(
     hot_df = write_stage(
         rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > group_limit), "hot-keys"
     )
-    largest = hot_df.agg(F.max("n")).first()[0]
-    if largest is None:
+    if hot_df.isEmpty():
         return None
+    busy = df.join(broadcast_if_small(hot_df.select(*keys)), keys)
+    measured = _bounds(busy, hot_df, keys, order[0], group_limit)
+    crowded = _crowded(busy, keys, order, group_limit)
+    found = measured.join(broadcast_if_small(crowded), keys, "left")
+    places = F.coalesce(F.transform("crowded", lambda c: c["at"]), F.array().cast(measured.schema["bounds"].dataType))
+    return write_stage(
+        found.select(*keys, F.array_sort(F.array_union("bounds", places)).alias("bounds"), "crowded"), "hot-bounds"
+    )
+
+
+def _bounds(rows: DataFrame, counts: DataFrame, keys: list[str], order: str, group_limit: int) -> DataFrame:
+    """`keys, bounds`: as many cuts per key as its count `n` in `counts` asks for, two to a limit."""
+    largest = counts.agg(F.max("n")).first()[0]
     pieces = 2 * math.ceil(largest / group_limit)
     fractions = [i / pieces for i in range(1, pieces)]
-    measured = (
-        df.join(broadcast_if_small(hot_df.select(*keys)), keys)
-        .groupBy(*keys)
-        .agg(F.percentile_approx(order, fractions, max(10000, 10 * pieces)).alias("bounds"))
-        .join(broadcast_if_small(hot_df), keys)
-    )
-    # keep only as many bounds per key as its own size asks for
+    quantiles = F.percentile_approx(order, fractions, max(10000, 10 * pieces))
+    measured = rows.groupBy(*keys).agg(quantiles.alias("bounds")).join(broadcast_if_small(counts), keys)
     step = F.greatest(F.lit(1), F.floor(F.lit(pieces * group_limit / 2) / F.col("n"))).cast("int")
-    bounds = F.array_distinct(F.filter("bounds", lambda b, i: (i + 1) % step == 0))
-    return write_stage(measured.select(*keys, bounds.alias("bounds")), "hot-bounds")
+    return measured.select(*keys, F.array_distinct(F.filter("bounds", lambda b, i: (i + 1) % step == 0)).alias("bounds"))
+
+
+def _crowded(rows: DataFrame, keys: list[str], order: list[str], group_limit: int) -> DataFrame:
+    """`keys, crowded`: per key its positions with more rows than the limit, how they are cut and into how many parts full ties go."""
+
+    def too_full(table: DataFrame, by: list[str], name: str) -> DataFrame:
+        counts = table.groupBy(*by).agg(F.count("*").alias("n")).filter(F.col("n") > group_limit)
+        return write_stage(counts, name)
+
+    at = [*keys, order[0]]
+    places = too_full(rows, at, "crowded")
+    parts = F.ceil(F.max("n") / group_limit).cast("int")
+    if len(order) == 1:
+        cut = places.groupBy(*at).agg(parts.alias("parts"))
+        shape = F.struct(F.col(order[0]).alias("at"), "parts")
+    else:
+        second = order[1]
+        kind = rows.schema[second].dataType.simpleString()
+        none = F.array().cast(f"array<{kind}>")
+        inside = rows.join(broadcast_if_small(places.select(*at)), at)
+        tied = too_full(inside, [*at, second], "ties").groupBy(*at).agg(F.collect_list(second).alias("ties"), parts.alias("parts"))
+        bounds = places.select(*at) if places.isEmpty() else _bounds(inside, places, at, second, group_limit)
+        bounds = bounds if "bounds" in bounds.columns else bounds.withColumn("bounds", none)
+        cut = bounds.join(tied, at, "left").withColumn("ties", F.coalesce("ties", none))
+        shape = F.struct(
+            F.col(order[0]).alias("at"), F.array_sort(F.array_union("bounds", "ties")).alias("inner"), "ties",
+            F.coalesce("parts", F.lit(1)).alias("parts"),
+        )
+    return cut.groupBy(*keys).agg(F.collect_list(shape).alias("crowded"))
+
+
+def _slices(df: DataFrame, order: list[str], hot: DataFrame) -> tuple[Column, Column]:
+    """Which slice of its key a row is in (ascending with the order), and which part of the slice, if its rows are full ties.
+
+    A crowded position is the upper end of its slice, so its rows come after the others there; the same holds for ties within it.
+    """
+    below = F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col(order[0]))), F.lit(0))
+    if "crowded" not in hot.columns:
+        return F.struct(below.alias("s")), F.lit(0)
+    crowd = F.try_element_at(F.filter("crowded", lambda c: c["at"] == F.col(order[0])), F.lit(1))
+    inside, tie = F.lit(0), crowd.isNotNull()
+    if len(order) > 1:
+        inside = F.coalesce(F.size(F.filter(crowd["inner"], lambda b: b < F.col(order[1]))), F.lit(0))
+        tie = F.coalesce(F.array_contains(crowd["ties"], F.col(order[1])), F.lit(False))
+    # Maps cannot be hashed; rows that agree in all else share a part.
+    told = [F.col(f"`{f.name}`") for f in df.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    part = F.when(tie, F.pmod(F.xxhash64(*told), crowd["parts"])).otherwise(0)
+    return F.struct(below.alias("s"), crowd.isNotNull().alias("c"), inside.alias("i"), tie.alias("t")), part
 
 
 def before(
@@ -81,7 +139,7 @@ def before(
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per entry of `last`, its latest non-NULL value over strictly earlier rows of the same keys, and per
-    entry of `largest` its maximum over them. `order[0]` must be the column `hot` was measured on."""
+    entry of `largest` its maximum over them. `hot` must have been measured on `order`."""
     keys, order = list(keys), list(order)
     last, largest = dict(last or {}), dict(largest or {})
 
@@ -93,10 +151,10 @@ def before(
     if hot is None:
         return df.withColumns(running(keys))
 
-    tagged = df.join(broadcast_if_small(hot), keys, "left").withColumn(
-        "_slice", F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col(order[0]))), F.lit(0))
-    )
-    solved = tagged.withColumns(running([*keys, "_slice"]))
+    tagged = df.join(broadcast_if_small(hot), keys, "left")
+    at, part = _slices(df, order, hot)
+    tagged = tagged.withColumns({"_slice": at, "_part": part})
+    solved = tagged.withColumns(running([*keys, "_slice", "_part"]))
 
     position = F.struct(*order)
     at_end = [
@@ -114,4 +172,4 @@ def before(
     joined = solved.join(broadcast_if_small(write_stage(carried, "carried")), [*keys, "_slice"], "left")
     merged = {name: F.coalesce(name, f"_in_{name}") for name in last}
     merged |= {name: F.greatest(name, f"_in_{name}") for name in largest}
-    return joined.withColumns(merged).drop("_slice", "bounds", *[f"_in_{n}" for n in merged])
+    return joined.withColumns(merged).drop("_slice", "_part", *[c for c in hot.columns if c not in keys], *[f"_in_{n}" for n in merged])

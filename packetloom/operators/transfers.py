@@ -28,7 +28,7 @@ def stitch_transfers(
     With `ttl_seconds`, an open older than that at the close no longer counts.
     """
     events = records.filter(F.col("rec_type").isin(OPEN, CLOSE))
-    hot = find_hot_keys(events.select(*FILE_KEY, "arrival_seq"), FILE_KEY, "arrival_seq", group_limit)
+    hot = find_hot_keys(events.select(*FILE_KEY, *ORDER), FILE_KEY, ORDER, group_limit)
     # A close only has to say that it was there, so it carries no fields.
     state = F.struct("rec_type", *[F.when(F.col("rec_type") == OPEN, F.col(c)).alias(c) for c in OPEN_FIELDS])
     linked = before(events, FILE_KEY, ORDER, last={"opened": state}, hot=hot)
@@ -60,13 +60,27 @@ def given_up_transfers(
     was known before it), and keeps the position of its open, which tells it apart from any other.
     """
     events = records.filter(F.col("rec_type").isin(OPEN, CLOSE))
-    hot = find_hot_keys(events.select(*FILE_KEY, "arrival_seq"), FILE_KEY, "arrival_seq", group_limit)
+    hot = find_hot_keys(events.select(*FILE_KEY, *ORDER), FILE_KEY, ORDER, group_limit)
     fields = [F.when(F.col("rec_type") == OPEN, F.col(c)).alias(c) for c in ("addr", *OPEN_FIELDS)]
     state = F.struct("rec_type", *fields, F.col("arrival_seq").alias("open_seq"), F.col("rec_idx").alias("open_idx"))
     linked = before(events.select(*FILE_KEY, *ORDER, "rec_type", "addr", *OPEN_FIELDS), FILE_KEY, ORDER, last={"opened": state}, hot=hot)
     late = linked.filter((F.col("opened.rec_type") == OPEN) & (F.col("t_beg") - F.col("opened.t_beg") > ttl_seconds))
+    return _ended_at_ttl(late.select(*FILE_KEY, *ORDER, "opened.*"), records, ttl_seconds, group_limit)
+
+
+def overdue_transfers(
+    records: DataFrame, clock: int, ttl_seconds: int = TTL_SECONDS, group_limit: int | None = GROUP_LIMIT
+) -> DataFrame:
+    """Opens that nothing followed, and older than the TTL at `clock` (epoch seconds): given up as `given_up_transfers` does, but they come
+    after everything that has arrived."""
+    old = pending_opens(records, clock).filter(F.lit(clock) - F.col("t_beg") > ttl_seconds).drop("progress")
+    placed = old.withColumns({"arrival_seq": F.lit(END_OF_TIME), "rec_idx": F.lit(0)})
+    return _ended_at_ttl(placed, records, ttl_seconds, group_limit)
+
+
+def _ended_at_ttl(opens: DataFrame, records: DataFrame, ttl_seconds: int, group_limit: int | None) -> DataFrame:
     moved = attach_progress(records, group_limit, ttl_seconds)
-    rows = late.select(*FILE_KEY, *ORDER, "opened.*").join(moved, [*FILE_KEY, "open_seq", "open_idx"])
+    rows = opens.join(moved, [*FILE_KEY, "open_seq", "open_idx"])
     end = F.col("t_beg") + ttl_seconds
     return rows.withColumns(
         {
@@ -90,9 +104,9 @@ def attach_progress(
     """Per open the latest progress record that came while it was pending; progress without an open is ignored, and so is, with
     `within_seconds`, progress that came later than that."""
     hot = find_hot_keys(
-        records.filter(F.col("rec_type").isin(OPEN, CLOSE, PROGRESS)).select(*FILE_KEY, "arrival_seq"),
+        records.filter(F.col("rec_type").isin(OPEN, CLOSE, PROGRESS)).select(*FILE_KEY, *ORDER),
         FILE_KEY,
-        "arrival_seq",
+        ORDER,
         group_limit,
     )
     event = F.struct("rec_type", "t_beg", F.col("arrival_seq").alias("open_seq"), F.col("rec_idx").alias("open_idx"))
@@ -138,6 +152,23 @@ def pending_opens(records: DataFrame, as_of: int) -> DataFrame:
     )
 
 
+def pending_records(records: DataFrame, since: int | None = None) -> DataFrame:
+    """The records of opens that nothing has followed, and of each one's latest progress: all a later part of a feed needs of this
+    one. With `since` (epoch seconds), opens from before are left out."""
+    position = F.struct(*ORDER)
+    whole = F.struct(*records.columns)
+    is_event, is_progress = F.col("rec_type").isin(OPEN, CLOSE), F.col("rec_type") == PROGRESS
+    latest = records.filter(is_event | is_progress).groupBy(*FILE_KEY).agg(
+        F.max_by(whole, F.when(is_event, position)).alias("opened"), F.max_by(whole, F.when(is_progress, position)).alias("moved")
+    )
+    pending = latest.filter(F.col("opened.rec_type") == OPEN)
+    if since is not None:
+        pending = pending.filter(F.col("opened.t_beg") >= since)
+    place = {n: F.struct(f"{n}.arrival_seq", f"{n}.rec_idx") for n in ("opened", "moved")}
+    both = F.when(place["moved"] > place["opened"], F.array("opened", "moved")).otherwise(F.array("opened"))
+    return pending.select(F.inline(both))
+
+
 def expire_transfers(records: DataFrame, as_of: int, ttl_seconds: int = TTL_SECONDS) -> DataFrame:
     """Transfers given up at `as_of`: pending for longer than the TTL and with progress to report.
 
