@@ -27,7 +27,10 @@ OPS_FIELDS = [
     ("wrMin", 4),
     ("wrMax", 4),
 ]
-_WALK = "struct<pos:int,recs:array<binary>,bad:boolean>"
+#: A walk gathers its positions in pieces of this many, so that appending copies no long array.
+_PIECE = 64
+_WALK = "struct<pos:int,pieces:array<array<int>>,bad:boolean>"
+_PART = "struct<pos:int,at:array<int>,bad:boolean>"
 
 
 def _needed(kind: Column, flag: Column, size: Column) -> Column:
@@ -42,9 +45,13 @@ def _needed(kind: Column, flag: Column, size: Column) -> Column:
 
 
 def _walked(framed: DataFrame) -> DataFrame:
-    """Walk the announced number of records; `walk.bad` tells that a record did not fit and the walk stopped there."""
+    """Walk the announced number of records; `walk.bad` tells that a record did not fit and the walk stopped there.
+
+    The walk itself only notes positions; `recs` cuts the records out once it is done.
+    """
     body = F.col("body")
     length = F.octet_length(body)
+    total = uint(body, 7, 2).cast("int")
 
     def step(acc: Column, _: Column) -> Column:
         pos = acc["pos"]
@@ -52,30 +59,39 @@ def _walked(framed: DataFrame) -> DataFrame:
         cut = F.coalesce(pos - 1 + _needed(kind, flag, size) > length, F.lit(True))
         nameless = (kind == OPEN) & (flag == HAS_NAME) & (size < 20)
         legacy = (kind == TIME) & (size == 16)
-        bad = acc["bad"] | cut | (size == 0) | nameless | legacy
-        # A record may be read past its own size, as far as its fixed part reaches.
-        record = F.substring(body, pos, F.greatest(size, F.lit(80)).cast("int"))
-        return F.when(bad, F.struct(pos.alias("pos"), acc["recs"].alias("recs"), F.lit(True).alias("bad"))).otherwise(
-            F.struct(
-                (pos + size).cast("int").alias("pos"),
-                F.array_append(acc["recs"], record).alias("recs"),
-                F.lit(False).alias("bad"),
-            )
+        bad = cut | (size == 0) | nameless | legacy
+        onward = F.struct((pos + size).cast("int").alias("pos"), F.array_append(acc["at"], pos).alias("at"), F.lit(False).alias("bad"))
+        stopped = F.struct(pos.alias("pos"), acc["at"].alias("at"), F.lit(True).alias("bad"))
+        return F.when(acc["bad"], acc).when(bad, stopped).otherwise(onward)
+
+    def piece(acc: Column, first: Column) -> Column:
+        empty = F.struct(acc["pos"].alias("pos"), F.array().cast("array<int>").alias("at"), acc["bad"].alias("bad")).cast(_PART)
+        part = F.aggregate(F.sequence(first, F.least(first + (_PIECE - 1), total)), empty, step)
+        # One field more, so that the part is walked once and not once per field.
+        whole = F.aggregate(
+            F.array(part), acc,
+            lambda a, p: F.struct(p["pos"].alias("pos"), F.array_append(a["pieces"], p["at"]).alias("pieces"), p["bad"].alias("bad")),
         )
+        return F.when(acc["bad"], acc).otherwise(whole)
 
-    total = uint(body, 7, 2).cast("int")
     start = F.struct(
         (uint(body, 3, 2) + 1).cast("int").alias("pos"),
-        F.array().cast("array<binary>").alias("recs"),
+        F.array().cast("array<array<int>>").alias("pieces"),
         F.lit(False).alias("bad"),
     ).cast(_WALK)
-    walk = F.when(
-        _readable(),
-        F.when(total > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(total, F.lit(1))), start, step)).otherwise(start),
-    )
+    firsts = F.sequence(F.lit(1), F.greatest(total, F.lit(1)), F.lit(_PIECE))
+    walk = F.when(_readable(), F.when(total > 0, F.aggregate(firsts, start, piece)).otherwise(start))
     return _timed(framed).withColumn("walk", walk)
 
 
+def _records() -> Column:
+    """The bytes of the records walked. A record may be read past its own size, as far as its fixed part reaches."""
+    body = F.col("body")
+    return F.transform(
+        F.flatten("walk.pieces"), lambda pos: F.substring(body, pos, F.greatest(uint(body, pos + 2, 2), F.lit(80)).cast("int"))
+    )
+
+
 def _readable() -> Column:
     """A packet that begins with a time record of the present form."""
     body = F.col("body")
@@ -106,7 +122,7 @@ def explode_fstream(framed: DataFrame) -> DataFrame:
     """One row per record, with the event time of its packet and its place in it (`rec_idx`)."""
     columns = ["sid", "addr", "arrival_ts", "arrival_seq", "t_beg"]
     # The outer form, because Spark would put a filter on the array below a plain one and walk every packet twice.
-    spread = _walked(framed).select(*columns, F.posexplode_outer("walk.recs").alias("rec_idx", "rec"))
+    spread = _walked(framed).select(*columns, F.posexplode_outer(_records()).alias("rec_idx", "rec"))
     return spread.filter("rec IS NOT NULL")
 
 

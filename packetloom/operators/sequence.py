@@ -25,11 +25,26 @@ def judge(pseq: Column, last_pseq: Column) -> dict[str, Column]:
     }
 
 
-def sequence_gaps(framed: DataFrame, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
-    """Per packet: is it the first of its stream and code, what was expected, what is missing."""
+def sequence_gaps(framed: DataFrame, group_limit: int | None = GROUP_LIMIT, last: DataFrame | None = None) -> DataFrame:
+    """Per packet: is it the first of its stream and code, what was expected, what is missing.
+
+    `last` (as of `last_numbers`) has the numbers that earlier parts of the feed ended with.
+    """
     headers = framed.select(*KEY, "addr", "arrival_seq", "pseq")
+    if last is not None:
+        headers = headers.withColumn("carried", F.lit(False)).unionByName(last.withColumn("carried", F.lit(True)), allowMissingColumns=True)
     hot = find_hot_keys(headers.select(*KEY, "arrival_seq"), KEY, "arrival_seq", group_limit)
     linked = before(headers, KEY, ["arrival_seq"], last={"last_pseq": F.col("pseq")}, hot=hot)
+    if last is not None:
+        linked = linked.filter("NOT carried").drop("carried")
     return linked.withColumns(
         {"is_first": F.col("last_pseq").isNull(), **judge(F.col("pseq"), F.col("last_pseq"))}
     ).drop("last_pseq")
+
+
+def last_numbers(framed: DataFrame, last: DataFrame | None = None) -> DataFrame:
+    """The latest packet's number per stream and code; one row per key, combined before the shuffle."""
+    headers = framed.select(*KEY, "arrival_seq", "pseq")
+    headers = headers if last is None else headers.unionByName(last)
+    latest = headers.groupBy(*KEY).agg(F.max_by(F.struct("arrival_seq", "pseq"), "arrival_seq").alias("last"))
+    return latest.select(*KEY, "last.*")

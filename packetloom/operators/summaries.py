@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from packetloom.functions.binary import text
 from packetloom.functions.paths import utc_iso
 from packetloom.operators.ordered import GROUP_LIMIT, before, find_hot_keys
+from packetloom.sources.stage import write_stage
 
 KEY = ["addr", "pid"]
 # Fixed value: only this program reports.
@@ -60,6 +61,7 @@ CURRENT = {
     "sgen_as": ("sgen", "as"),
 }
 COUNTERS = RESTARTING | PLAIN
+SECTIONS = ["info", "link", "proc", "xrootd", "sched", "sgen"]
 BASICS = ["type", "server_ip", "pid", "version", "timestamp", "tos", "cstart", "site"]
 
 
@@ -68,11 +70,12 @@ def _section(name: str) -> Column:
     return F.try_element_at(F.filter("report.stats", lambda s: s["_id"] == name), F.lit(-1))
 
 
+def _text(section: str, path: str) -> str:
+    return ".".join(f"`{part}`" for part in (f"s_{section}", *path.split(".")))
+
+
 def _number(section: str, path: str) -> Column:
-    value = F.col(f"s_{section}")
-    for step in path.split("."):
-        value = value[step]
-    return F.trim(value).try_cast("bigint")
+    return F.expr(f"try_cast(trim({_text(section, path)}) AS bigint)")
 
 
 def parse_reports(packets: DataFrame) -> DataFrame:
@@ -86,19 +89,15 @@ def parse_reports(packets: DataFrame) -> DataFrame:
 def _typed(packets: DataFrame) -> DataFrame:
     r = "report."
     numbers = {name: F.trim(F.col(f"{r}_{name}")).try_cast("bigint") for name in ("tos", "tod", "pid")}
-    return parse_reports(packets).withColumns(numbers)
+    return parse_reports(packets).withColumns(numbers | {f"s_{name}": _section(name) for name in SECTIONS})
 
 
 def _is_usable() -> Column:
     """Header numbers are there, and every counter that is there (in a report with a site) can be read."""
-    there = F.col("tos").isNotNull() & F.col("tod").isNotNull() & F.col("pid").isNotNull()
-    unreadable = F.lit(False)
-    for section, path in COUNTERS.values():
-        value = _section(section)
-        for step in path.split("."):
-            value = value[step]
-        unreadable = unreadable | (value.isNotNull() & F.trim(value).try_cast("bigint").isNull())
-    return there & ~(F.col("report._site").isNotNull() & unreadable)
+    unreadable = " OR ".join(
+        f"({_text(*at)} IS NOT NULL AND try_cast(trim({_text(*at)}) AS bigint) IS NULL)" for at in COUNTERS.values()
+    )
+    return F.expr(f"tos IS NOT NULL AND tod IS NOT NULL AND pid IS NOT NULL AND NOT (report._site IS NOT NULL AND ({unreadable}))")
 
 
 def bad_summaries(packets: DataFrame) -> DataFrame:
@@ -127,7 +126,7 @@ def summary_fields(packets: DataFrame) -> DataFrame:
         utc_iso(F.col("tos")).alias("tos"),
         utc_iso(F.col("tod")).alias("cstart"),
         F.coalesce("report._site", F.lit(UNKNOWN_SITE)).alias("site"),
-        *[F.when(has_site, _section(s)).alias(f"s_{s}") for s in ("info", "link", "proc", "xrootd", "sched", "sgen")],
+        *[F.when(has_site, F.col(f"s_{s}")).alias(f"s_{s}") for s in SECTIONS],
     )
     current = {name: _number(*at) for name, at in CURRENT.items()}
     counters = [F.coalesce(_number(*at), F.lit(0)).alias(name) for name, at in COUNTERS.items()]
@@ -166,8 +165,10 @@ def _on_time(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
 def difference(counters: Column, earlier: Column) -> dict[str, Column]:
     deltas = {}
     for name in COUNTERS:
-        delta = counters[name] - earlier[name]
-        deltas[name] = F.when(delta < 0, counters[name]).otherwise(delta) if name in RESTARTING else delta
+        now = counters[name]
+        delta = now - earlier[name]
+        # Negative differences are those of a counter that began anew.
+        deltas[name] = F.when(delta < 0, now).otherwise(delta) if name in RESTARTING else delta
     return deltas
 
 
@@ -191,3 +192,21 @@ def summary_records(summaries: DataFrame, group_limit: int | None = GROUP_LIMIT)
     hot = _hot_processes(rows, group_limit)
     basic = summaries.filter("NOT has_site").drop("counters")
     return _deltas(_on_time(rows, hot), hot).unionByName(basic, allowMissingColumns=True)
+
+
+def summary_step(
+    summaries: DataFrame, last: DataFrame | None = None, group_limit: int | None = GROUP_LIMIT
+) -> tuple[DataFrame, DataFrame]:
+    """`summary_records` of one part of a feed, and the last accepted report per process for the next part.
+
+    `last` is what the part before left. Such a report comes first of its process, so it is compared with and never published again.
+    """
+    rows = summaries.filter("has_site")
+    if last is not None:
+        rows = rows.unionByName(last.withColumn("has_site", F.lit(True)), allowMissingColumns=True)
+    hot = _hot_processes(rows, group_limit)
+    accepted = write_stage(_on_time(rows, hot), "accepted-reports")
+    basic = summaries.filter("NOT has_site").drop("counters")
+    kept = F.struct("arrival_seq", "tod", "counters")
+    latest = accepted.groupBy(*KEY).agg(F.max_by(kept, "arrival_seq").alias("last")).select(*KEY, "last.*")
+    return _deltas(accepted, hot).unionByName(basic, allowMissingColumns=True), latest

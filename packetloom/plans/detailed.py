@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.operators import framing, fstream, gstream, lookups, mapping, routing, summaries, transfers
+from packetloom.operators import framing, fstream, gstream, lookups, mapping, routing, summaries, sweeps, transfers
 from packetloom.operators.ordered import GROUP_LIMIT, limit_for
 from packetloom.operators.records import transfer_records
 from packetloom.operators.transfers import TTL_SECONDS
@@ -52,10 +52,15 @@ def transfers_from(
     group_limit: int | None = GROUP_LIMIT,
     honor_disconnect: bool = False,
     give_up: bool = True,
+    sweep_seconds: int | None = None,
+    arrivals: DataFrame | None = None,
 ) -> DataFrame:
     """One published record per close and per transfer given up: opens older than the TTL when their close or their next open comes (then
     that close belongs to no open) and, with `as_of`, those still pending then. `give_up=False` matches closes however late they are.
 
+    With `sweep_seconds`, transfers are given up by sweeps that far apart, driven by `arrivals` (by default the packets of `records` and
+    `maps`); then `as_of` only ends the feed.
+
     `records` and `maps` are read by several steps, so both should be written tables.
     """
     # A lookup sees at most one row per record and one per map message.
@@ -63,13 +68,19 @@ def transfers_from(
     if as_of is not None:
         until = F.col("arrival_ts") <= F.timestamp_seconds(F.lit(as_of))
         records, maps = records.filter(until), maps.filter(until)
+    gone = fstream.disconnects(records) if honor_disconnect else None
+    if sweep_seconds is not None:
+        seen = ["arrival_ts", "arrival_seq"]
+        arrivals = records.select(*seen).unionByName(maps.select(*seen)) if arrivals is None else arrivals
+        ended = sweeps.swept_transfers(records, arrivals, ttl_seconds or TTL_SECONDS, sweep_seconds, group_limit)
+        enriched = enrich_transfers(ended, maps, ttl_seconds, group_limit, gone)
+        return transfer_records(lookups.resolve_host(enriched, hosts))
     sweep = give_up and ttl_seconds is not None
     ended = transfers.stitch_transfers(records, ttl_seconds if sweep else None, group_limit)
     if sweep:
         ended = ended.unionByName(transfers.given_up_transfers(records, ttl_seconds, group_limit))
     if as_of is not None:
         ended = ended.unionByName(transfers.expire_transfers(records, as_of, ttl_seconds or TTL_SECONDS))
-    gone = fstream.disconnects(records) if honor_disconnect else None
     enriched = enrich_transfers(ended, maps, ttl_seconds, group_limit, gone)
     return transfer_records(lookups.resolve_host(enriched, hosts))
 
@@ -91,8 +102,12 @@ def detailed_output(
     records: DataFrame, lines: DataFrame, now_ms=None, host: str = "", exchanges: dict[str, str] = routing.EXCHANGES
 ) -> DataFrame:
     """Everything the detailed packets lead to, routed."""
+    return routing.route_transfers(records, now_ms, host, exchanges).unionByName(event_output(lines, now_ms, host, exchanges))
+
+
+def event_output(lines: DataFrame, now_ms=None, host: str = "", exchanges: dict[str, str] = routing.EXCHANGES) -> DataFrame:
+    """Cache, copy and TCP events, routed."""
     parts = [
-        routing.route_transfers(records, now_ms, host, exchanges),
         routing.route_cache(gstream.cache_events(lines), now_ms, host, exchanges),
         routing.route_copies(gstream.copy_events(lines), now_ms, host, exchanges),
         routing.route_tcp(gstream.tcp_events(lines), exchanges),
@@ -105,12 +120,15 @@ def dead_letters(packets: DataFrame, reports: DataFrame | None = None, pushed: D
 
     `packets` is framed and written by kind first, so that each reader opens its own kind only.
     """
-    framed = stage_packets(packets)
-    parts = [
-        framing.bad_headers(packets), fstream.bad_fstream(framed), mapping.bad_maps(framed), gstream.bad_gstream(framed)
-    ]
+    parts = [bad_packets(packets, stage_packets(packets))]
     if reports is not None:
         parts.append(summaries.bad_summaries(reports))
     if pushed is not None:
         parts.append(bad_envelopes(pushed))
     return reduce(DataFrame.unionByName, parts)
+
+
+def bad_packets(packets: DataFrame, framed: DataFrame) -> DataFrame:
+    """Detailed packets, and lines of them, that could not be read."""
+    parts = [framing.bad_headers(packets), fstream.bad_fstream(framed), mapping.bad_maps(framed), gstream.bad_gstream(framed)]
+    return reduce(DataFrame.unionByName, parts)

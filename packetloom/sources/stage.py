@@ -46,8 +46,12 @@ def stage_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _open_scopes.pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

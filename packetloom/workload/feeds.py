@@ -234,6 +234,16 @@ def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def host_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of servers 0 to 5 that change every 30,000 seconds, from n * 1000 seconds after the start on."""
+    n, d = F.col("n_nationkey").cast("bigint"), F.col("d")
+    rows = table(spark, sf_dir, "nation").filter("n_nationkey <= 5").withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(6))))
+    return rows.select(
+        _text("10.0.0.", n).alias("addr"), _text("xrd", n, "-", d, ".site", n, ".org").alias("hostname"),
+        F.timestamp_seconds(F.lit(T0) + n * 1000 + d * 30000).alias("valid_from"),
+    )
+
+
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their number `rn` within (user_id % 4, event_type), counted in blocks of ids of bounded size."""
     ev = spread(table(spark, sf_dir, "events")).select(

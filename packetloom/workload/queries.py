@@ -6,20 +6,22 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from packetloom.functions import fields as rules
 from packetloom.functions.paths import logical_dirname
 from packetloom.operators import framing, fstream, gstream, lookups, mapping, metrics, records, routing, sequence
 from packetloom.operators import summaries as reports
-from packetloom.operators import transfers
+from packetloom.operators import sweeps, transfers
 from packetloom.operators.routing import route_transfers
 from packetloom.plans import detailed, summary
 from packetloom.sources.packets import stream_packets, unwrap_pushed
 from packetloom.sources.sinks import stream_routed, write_routed
 from packetloom.sources.stage import new_folder
-from packetloom.streaming import streams
+from packetloom.streaming import batches, gauges, outputs, streams
 from packetloom.workload import feeds
 
 AS_OF = 1700150000
@@ -188,12 +190,32 @@ def hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     return longs(ended.select(*TRANSFERS_SHOWN))
 
 
+def hot_keys_expired(spark: SparkSession, sf: str) -> DataFrame:
+    """Transfers given up at one moment, which all have the same place in the feed, looked up with a limit that their keys exceed there."""
+    until = F.col("arrival_ts") <= F.timestamp_seconds(F.lit(AS_OF))
+    rows, entries = feeds.records(spark, sf).filter(until), feeds.maps(spark, sf).filter(until)
+    ended = detailed.enrich_transfers(transfers.expire_transfers(rows, AS_OF), entries, group_limit=2)
+    return longs(records.transfer_records(lookups.resolve_host(ended, feeds.hosts(spark, sf))).select(*TRANSFERS_SHOWN))
+
+
 def transfers_swept(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job over all packets, with opens given up at the end of their time."""
     rows = detailed.transfers_from(feeds.records(spark, sf), feeds.maps(spark, sf), feeds.hosts(spark, sf))
     return longs(rows.select(*TRANSFERS_SHOWN))
 
 
+def sweep_times(spark: SparkSession, sf: str) -> DataFrame:
+    """When a collector that reads the whole feed sweeps, and the packet that makes it."""
+    rows = sweeps.sweep_times(feeds.packets(spark, sf, "transfer"))
+    return rows.select(F.floor(F.col("t") / 1000000).alias("sweep_time"), F.col("seq").alias("arrival_seq"))
+
+
+def sweep_transfers(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes and transfers given up, when opens are dropped by sweeps every five minutes."""
+    rows = sweeps.swept_transfers(feeds.records(spark, sf), feeds.packets(spark, sf, "transfer"))
+    return longs(rows.select(*GIVEN_UP))
+
+
 def expired(spark: SparkSession, sf: str) -> DataFrame:
     rows = transfers.expire_transfers(feeds.records(spark, sf), AS_OF)
     return longs(rows.select("file_id", "has_close", "user_id", "open_time", "close_time", "open_name", "read", "readv"))
@@ -240,6 +262,12 @@ def host(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("file_id", F.col("t_beg").alias("close_time"), "addr", "server_hostname")
 
 
+def host_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Host names that change, each kept for a day after it was looked up."""
+    rows = lookups.resolve_host_asof(fstream.closes(feeds.records(spark, sf)), feeds.host_names(spark, sf))
+    return rows.select("file_id", F.col("t_beg").alias("close_time"), "addr", "server_hostname")
+
+
 def disconnects(spark: SparkSession, sf: str) -> DataFrame:
     """With disconnects honoured: who is still known at each close."""
     recs = feeds.records(spark, sf)
@@ -464,7 +492,10 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 def _laid_down(spark: SparkSession, sf: str, feed: str, batches: int) -> tuple[str, int]:
     """The whole feed as files, arrival range by arrival range; the folder and the files of a range."""
-    packets = feeds.packets(spark, sf, feed)
+    return _laid_out(spark, feeds.packets(spark, sf, feed), feed, batches)
+
+
+def _laid_out(spark: SparkSession, packets: DataFrame, feed: str, batches: int) -> tuple[str, int]:
     files = max(1, spark.sparkContext.defaultParallelism)
     path = new_folder(spark, f"stream-{feed}-in")
     cuts = packets.approxQuantile("arrival_seq", [i / batches for i in range(1, batches)], 0.01)
@@ -530,14 +561,72 @@ def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(sorted(totals.items()), "metric string, value long")
 
 
+class Interrupted(Exception):
+    """Raised between two writes of a micro-batch."""
+
+
+def _interrupted(start: Callable[[Callable[[str, int], None]], StreamingQuery], at: tuple[str, int] | None) -> None:
+    """Run the query that `start` makes to its end; with `at`, it fails after that write of that micro-batch and is started again."""
+    stops = [] if at is None else [at]
+
+    def written(name: str, number: int) -> None:
+        if (name, number) in stops:
+            stops.remove((name, number))
+            raise Interrupted(name)
+
+    while True:
+        try:
+            start(written).awaitTermination()
+            break
+        except StreamingQueryException:
+            if at is None or stops:
+                raise
+            at = None
+    if stops:
+        raise AssertionError(f"no write {at}")
+
+
+def _steps(
+    spark: SparkSession, sf: str, feed: str, step: batches.Step, size: int = 2, at: tuple[str, int] | None = None
+) -> DataFrame:
+    """What a stepwise streaming job wrote over the whole feed; with `at`, it fails in the middle of a micro-batch and goes on."""
+    path, files = _laid_down(spark, sf, feed, size)
+    out, checkpoint = (new_folder(spark, f"steps-{feed}-{part}") for part in ("out", "checkpoint"))
+
+    def start(written: Callable[[str, int], None]) -> StreamingQuery:
+        stream = stream_packets(spark, path, max_files_per_trigger=files)
+        return batches.write_steps(stream, step, out, checkpoint, written).trigger(availableNow=True).start()
+
+    _interrupted(start, at)
+    return spark.read.parquet(out).drop("batch")
+
+
+SEQUENCES_SHOWN = ["arrival_seq", "pseq", "is_first", "expected", "missing", "reordered"]
+
+
 def stream_sequence(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stream(spark, sf, "sequence", streams.stream_sequence)
-    return rows.select("arrival_seq", "pseq", "is_first", "expected", "missing", "reordered")
+    return _steps(spark, sf, "sequence", batches.sequence_step()).select(*SEQUENCES_SHOWN)
+
+
+def stream_sequence_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequence checks in micro-batches, with a limit so small that every (stream, code) is cut into slices."""
+    return _steps(spark, sf, "sequence", batches.sequence_step(group_limit=20)).select(*SEQUENCES_SHOWN)
+
+
+def stream_sequence_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    return _stream(spark, sf, "sequence", streams.stream_sequence).select(*SEQUENCES_SHOWN)
+
+
+REPORTS_SHOWN = ["arrival_seq", "addr", "pid", "timestamp", "site", "link_num", *reports.COUNTERS]
 
 
 def stream_summaries(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stream(spark, sf, "summary", streams.stream_summaries)
-    return rows.select("arrival_seq", "addr", "pid", "timestamp", "site", "link_num", *reports.COUNTERS)
+    """Counter differences in micro-batches, one of which fails half-way."""
+    return _steps(spark, sf, "summary", batches.summary_step(), size=3, at=("output", 1)).select(*REPORTS_SHOWN)
+
+
+def stream_summaries_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    return _stream(spark, sf, "summary", streams.stream_summaries).select(*REPORTS_SHOWN)
 
 
 STREAM_SHOWN = [
@@ -554,6 +643,18 @@ def stream_transfers(spark: SparkSession, sf: str) -> DataFrame:
     return longs(rows.selectExpr(*STREAM_SHOWN))
 
 
+def stream_transfers_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Transfers in micro-batches of the batch operators, with a limit so small that busy keys are cut."""
+    step = batches.transfer_step(feeds.hosts(spark, sf), expire=False, group_limit=500)
+    return longs(_steps(spark, sf, "transfer", step).selectExpr(*STREAM_SHOWN))
+
+
+def stream_expiry_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Closes of micro-batches that carry on only what is young enough, one of which fails half-way."""
+    rows = _steps(spark, sf, "transfer", batches.transfer_step(feeds.hosts(spark, sf)), size=3, at=("output", 1))
+    return longs(rows.filter(F.col("open_seq").isNull()).selectExpr(*STREAM_SHOWN))
+
+
 def stream_expiry(spark: SparkSession, sf: str) -> DataFrame:
     """Closes of the whole streaming job with all state ending by the event clock, in three micro-batches."""
     hosts = feeds.hosts(spark, sf)
@@ -561,6 +662,38 @@ def stream_expiry(spark: SparkSession, sf: str) -> DataFrame:
     return longs(rows.filter(F.col("open_seq").isNull()).selectExpr(*STREAM_SHOWN))
 
 
+def stream_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Transfers, events and dead letters of one stream that stops between two writes of its second micro-batch and goes on."""
+    all_packets = _all(feeds.packets(spark, sf, "transfer"), feeds.packets(spark, sf, "gstream"), feeds.broken(spark, sf)[0])
+    path, files = _laid_out(spark, all_packets, "outputs", 2)
+    out, checkpoint = (new_folder(spark, f"outputs-{part}") for part in ("out", "checkpoint"))
+
+    def start(written: Callable[[str, int], None]) -> StreamingQuery:
+        packets = stream_packets(spark, path, max_files_per_trigger=files)
+        found = outputs.detailed_outputs(packets, feeds.hosts(spark, sf), F.lit(0), "collector", salts=2, expire=False)
+        return outputs.write_outputs(found, out, checkpoint, written).trigger(availableNow=True).start()
+
+    with _rocksdb(spark):
+        _interrupted(start, ("transfers", 1))
+    routed = [outputs.read_output(spark, out, name).select(F.lit(name).alias("output"), F.concat_ws("/", "exchange", "routing_key").alias("kind"))
+              for name in ("transfers", "events")]
+    dead = outputs.read_output(spark, out, "dead_letters").select(F.lit("dead_letters").alias("output"), F.col("reason").alias("kind"))
+    return _all(*routed, dead).groupBy("output", "kind").agg(F.count("*").alias("n"))
+
+
+def stream_state_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """As q_state_sizes, from the state a stream holds after the packets until then."""
+    until = F.col("arrival_ts") <= F.timestamp_seconds(F.lit(AS_OF))
+    path, files = _laid_out(spark, feeds.packets(spark, sf, "transfer").filter(until), "gauges", 2)
+    out, checkpoint = (new_folder(spark, f"gauges-{part}") for part in ("out", "checkpoint"))
+    with _rocksdb(spark):
+        packets = stream_packets(spark, path, max_files_per_trigger=files)
+        stream = streams.stream_transfers(packets, feeds.hosts(spark, sf), expire=False, salts=2)
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return gauges.stream_state_sizes(spark, checkpoint, AS_OF)
+
+
 def stream_given_up(spark: SparkSession, sf: str) -> DataFrame:
     """As q_given_up, from a stream in three micro-batches; of files that were closed, as the others depend on when the stream ends."""
 
@@ -596,9 +729,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_progress": progress,
     "q_given_up": given_up,
     "q_hot_keys": hot_keys,
+    "q_hot_keys_expired": hot_keys_expired,
     "q_transfers_swept": transfers_swept,
     "q_wlcg_documents": wlcg_documents,
     "q_dead_letters": dead,
+    "q_sweep_times": sweep_times,
+    "q_sweep_transfers": sweep_transfers,
     "q_expired": expired,
     "q_dict_asof": dict_asof,
     "q_path_fallback": path_fallback,
@@ -606,6 +742,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_user_lease": user_lease,
     "q_server": server,
     "q_host": host,
+    "q_host_asof": host_asof,
     "q_disconnects": disconnects,
     "q_first_seen": first_seen,
     "q_times": times,
@@ -631,10 +768,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_idle": idle,
     "q_routed_sink": routed_sink,
     "q_stream_sequence": stream_sequence,
+    "q_stream_sequence_hot": stream_sequence_hot,
+    "q_stream_sequence_keyed": stream_sequence_keyed,
     "q_stream_summaries": stream_summaries,
+    "q_stream_summaries_keyed": stream_summaries_keyed,
     "q_stream_transfers": stream_transfers,
+    "q_stream_transfers_steps": stream_transfers_steps,
+    "q_stream_expiry_steps": stream_expiry_steps,
     "q_stream_given_up": stream_given_up,
     "q_stream_expiry": stream_expiry,
     "q_stream_routed": stream_routed_files,
     "q_stream_metrics": stream_metrics,
+    "q_stream_outputs": stream_outputs,
+    "q_stream_state_sizes": stream_state_sizes,
 }

@@ -302,6 +302,20 @@ pk AS (
     UNION ALL SELECT {_seq('1600000000', 0, 'srv')}, srv, '=', srv, 1600000000
     FROM (SELECT CAST(n_nationkey AS BIGINT) AS srv FROM nation WHERE n_nationkey <= 6))"""
 
+# Sweeps of a collector: each the first packet more than five minutes after the one before.
+_SWEEPS = f"""{PACKETS},
+arr AS (SELECT t, min(arrival_seq) AS seq FROM pk GROUP BY t),
+sw(t) AS (SELECT min(t) FROM arr UNION ALL SELECT min(arr.t) FROM sw JOIN arr ON arr.t > sw.t + 300 GROUP BY sw.t),
+sweep AS (SELECT arr.* FROM arr SEMI JOIN (SELECT t FROM sw WHERE t > (SELECT min(t) FROM arr)) USING (t))"""
+_SWEEP_TRANSFERS = f"""WITH RECURSIVE {ORDERS}, {CLOSES}, {_SWEEPS},
+old AS (SELECT o.*, s.t AS swept, s.seq AS swept_seq FROM (SELECT * FROM o WHERE has_open) o ASOF LEFT JOIN sweep s ON t_open + {TTL} < s.t),
+gone AS (SELECT * FROM old WHERE swept IS NOT NULL AND (NOT has_close OR swept_seq < {_seq('t_close', 6, 'k')}))
+    SELECT cl.file_id, matched AND gone.k IS NULL AS is_open_known, CASE WHEN matched AND gone.k IS NULL THEN cl.t_open ELSE t END AS open_time,
+           t AS close_time, cl.rd AS read, cl.rv AS readv
+    FROM cl LEFT JOIN gone USING (k)
+    UNION ALL
+    SELECT file_id, TRUE, t_open, swept, k * 10, k FROM gone WHERE has_xfr"""
+
 _STATS_WHEN_OPS = ", ".join(f"CASE WHEN has_ops THEN {v} END AS {n}" for n, v in STATS.items())
 
 
@@ -399,8 +413,12 @@ ORACLE: dict[str, str] = {
         FROM o WHERE has_xfr AND has_open""",
     "q_given_up": _GIVEN_UP,
     "q_stream_given_up": _GIVEN_UP,
+    "q_sweep_times": f"""WITH RECURSIVE {ORDERS}, {_SWEEPS}
+        SELECT t AS sweep_time, seq AS arrival_seq FROM sweep""",
+    "q_sweep_transfers": _SWEEP_TRANSFERS,
     "q_transfers_swept": f"""{_SWEPT}{_TRANSFERS}""",
     "q_hot_keys": f"""{_AT}{_TRANSFERS}""",
+    "q_hot_keys_expired": f"""{_AT}{_TRANSFERS} WHERE seq = 9223372036854775807""",
     "q_wlcg_documents": f"""{_PUB}
         SELECT coalesce(site, '') AS site_name, TRUE AS fallback, coalesce(user_dn, '') AS user_dn,
                coalesce(host, '') AS client_host,
@@ -454,6 +472,15 @@ ORACLE: dict[str, str] = {
         FROM cl""",
     "q_host": f"""{_BASE}
         SELECT file_id, t AS close_time, '10.0.0.' || srv AS addr, {_HOSTNAME} AS server_hostname FROM cl""",
+    "q_host_asof": f"""WITH RECURSIVE {ORDERS}, {CLOSES},
+        looked(srv, t) AS (
+            SELECT srv, min(t) FROM cl GROUP BY 1
+            UNION ALL SELECT l.srv, min(c.t) FROM looked l JOIN cl c ON c.srv = l.srv AND c.t > l.t + 86400 GROUP BY l.srv, l.t),
+        named AS (SELECT *, least(6, floor((t - {T0} - srv * 1000) / 30000)) AS d FROM looked)
+        SELECT c.file_id, c.t AS close_time, '10.0.0.' || c.srv AS addr,
+               CASE WHEN c.srv < 6 AND n.d >= 0 THEN 'xrd' || c.srv || '-' || CAST(n.d AS BIGINT) || '.site' || c.srv || '.org'
+                    ELSE '10.0.0.' || c.srv END AS server_hostname
+        FROM cl c ASOF JOIN named n ON c.srv = n.srv AND c.t >= n.t""",
     "q_disconnects": f"""{_BASE}, {ENTRIES.replace('ent AS (', 'ent0 AS (')},
         ent AS (SELECT * FROM ent0 UNION ALL
                 SELECT srv, uid, {_seq('t_close + 1', 7, 'k')}, t_close + 1, NULL, NULL FROM o WHERE k % 50 = 0), {_found()}
@@ -571,14 +598,29 @@ ORACLE: dict[str, str] = {
 
 ORACLE |= {
     "q_stream_sequence": ORACLE["q_sequence"],
+    "q_stream_sequence_hot": ORACLE["q_sequence"],
+    "q_stream_sequence_keyed": ORACLE["q_sequence"],
     "q_stream_summaries": ORACLE["q_summary_deltas"],
+    "q_stream_summaries_keyed": ORACLE["q_summary_deltas"],
     "q_stream_expiry": f"""{_PUB.replace('has_open AS matched', f'has_open AND t_close - t_open <= {TTL} AS matched')}{_STREAMED}""",
     "q_stream_transfers": f"""{_PUB}{_STREAMED}""",
+    "q_stream_transfers_steps": f"""{_PUB}{_STREAMED}""",
     "q_stream_routed": f"""{_PUB}
         SELECT CASE WHEN is_wlcg THEN 'xrd.wlcg_format' ELSE 'xrd.detailed' END AS exchange, 'file-close' AS routing_key,
                count(*) AS n FROM pub GROUP BY 1, 2""",
+    "q_stream_outputs": f"""{_PUB}, {EVENTS}
+        SELECT 'transfers' AS output, CASE WHEN is_wlcg THEN 'xrd.wlcg_format' ELSE 'xrd.detailed' END || '/file-close' AS kind,
+               count(*) AS n FROM pub GROUP BY 1, 2
+        UNION ALL SELECT 'events', CASE WHEN {_CACHE_WLCG} THEN 'xrd.cache.wlcg' ELSE 'xrd.cache.stash' END || '/file-close', count(*)
+        FROM ev WHERE is_cache GROUP BY 1, 2
+        UNION ALL SELECT 'events', 'xrd.tcp_exchange/tcp-event', count(*) FROM ev WHERE NOT is_cache
+        UNION ALL SELECT 'events', CASE WHEN {_COPY_WLCG} THEN 'xrd.tpc.wlcg' ELSE 'xrd.tpc' END || '/tpc', count(*) FROM pages GROUP BY 1, 2
+        UNION ALL SELECT 'dead_letters', ['header', 'map header', 'time record', 'event header', 'identity'][event_id % 8 + 1], count(*)
+        FROM events WHERE event_id % 8 < 5 GROUP BY 1, 2""",
+    "q_stream_state_sizes": ORACLE["q_state_sizes"],
     "q_stream_metrics": f"""WITH {SEQUENCES}
         SELECT 'packets' AS metric, count(*) AS value FROM sg
         UNION ALL SELECT 'missing_packets', CAST(sum(missing) AS BIGINT) FROM sg
         UNION ALL SELECT 'reordered_packets', CAST(sum(reordered) AS BIGINT) FROM sg""",
 }
+ORACLE["q_stream_expiry_steps"] = ORACLE["q_stream_expiry"]
