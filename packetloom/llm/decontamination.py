@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import staged, words
-from packetloom.llm.shingles import KEY, gram_hash, grams, key_of, keyed, word_count
+from packetloom.llm.shingles import KEY, gram_hash, gram_text, grams, key_of, keyed, word_count
 from packetloom.operators.joins import broadcast_if_small
 
 WINDOW = 10
@@ -60,7 +60,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle
             gram_hash(*[F.get("gram", F.lit(j)) for j in range(size)]).alias("h"), F.concat_ws(" ", "gram").alias("name")
         )
         found = grams(docs, size).join(broadcast_if_small(own), "h")
-        found = found.filter(F.concat_ws(" ", F.slice("words", F.col("pos") + 1, size)) == F.col("name"))
+        found = found.filter(gram_text(size) == F.col("name"))
         met.append(found.select(*KEY, "n_words", "pos", "name"))
     if not met:
         none = docs.select(*KEY, F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("win")).filter("false")

@@ -112,7 +112,7 @@ def best_stretch(lines: Column, length: Column) -> Column:
 def spans(docs: DataFrame) -> DataFrame:
     """`doc, text_hash, template, label, phrase, length, votes, begin, end` for merged diagonals of `docs` (as made by `keyed`)."""
     found = grams(docs, GRAM).join(F.broadcast(templates(docs.sparkSession)), "h")
-    found = found.filter((F.get("words", F.col("pos")) == F.col("first")) & (F.get("words", F.col("pos") + 1) == F.col("second")))
+    found = found.filter((F.col("gram.w0") == F.col("first")) & (F.col("gram.w1") == F.col("second")))
     place = [*KEY, "template", "label", "phrase", "length"]
     # Repeated rows vote for the same places, which count once.
     votes = found.groupBy(*place, (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.collect_set("at").alias("ats"))

@@ -30,7 +30,15 @@ def gram_hash(*parts: Column) -> Column:
 
 
 def grams(docs: DataFrame, size: int) -> DataFrame:
-    """`doc, text_hash, words, n_words, pos, h`: one row per run of `size` words of `docs` (as made by `keyed`)."""
-    listed = docs.select(*KEY, words(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
-    hashes = F.transform(F.sequence(F.lit(0), F.col("n_words") - size), lambda i: gram_hash(*[F.get("words", i + j) for j in range(size)]))
-    return listed.filter(F.col("n_words") >= size).select(*KEY, "words", "n_words", F.posexplode(hashes).alias("pos", "h"))
+    """`doc, text_hash, n_words, pos, gram, h`: one row per run of `size` words of `docs` (as made by `keyed`).
+
+    `gram` holds the words of its run only: a generator copies what stands beside it into each of its rows.
+    """
+    listed = docs.select(*KEY, words(F.col("text")).alias("words")).withColumn("n_words", F.size("words")).filter(F.col("n_words") >= size)
+    runs = F.arrays_zip(*[F.slice("words", j + 1, F.col("n_words") - (size - 1)).alias(f"w{j}") for j in range(size)])
+    rows = listed.select(*KEY, "n_words", F.posexplode(runs).alias("pos", "gram"))
+    return rows.withColumn("h", gram_hash(*[F.col("gram")[f"w{j}"] for j in range(size)]))
+
+
+def gram_text(size: int) -> Column:
+    return F.concat_ws(" ", *[F.col("gram")[f"w{j}"] for j in range(size)])
