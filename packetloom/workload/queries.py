@@ -399,6 +399,12 @@ def tcp_events(spark: SparkSession, sf: str) -> DataFrame:
     return longs(rows.select("arrival_seq", "line_idx", "from", "hostname", *values))
 
 
+def event_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Cache, copy and TCP documents as they are sent, but for their ids."""
+    sent = detailed.event_output(_lines(spark, sf), F.lit(0), "collector")
+    return sent.withColumn("value", F.regexp_replace("value", '"_id":"[-0-9a-f]{36}",', ""))
+
+
 def vo_path(spark: SparkSession, sf: str) -> DataFrame:
     rows = gstream.cache_events(_lines(spark, sf))
     return rows.groupBy("vo", logical_dirname(F.col("file_path")).alias("logical_dirname"), "is_wlcg").agg(
@@ -758,6 +764,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_cache_events": cache_events,
     "q_tpc_events": copy_events,
     "q_tcp_events": tcp_events,
+    "q_event_documents": event_documents,
     "q_vo_path": vo_path,
     "q_sequence": sequence_gaps,
     "q_summary_fields": summary_fields,

@@ -331,6 +331,44 @@ SELECT coalesce(site, 'unknown') AS site, coalesce(vo, 'none') AS vo, logical_di
        CAST(sum(t - open_time) AS BIGINT) AS seconds
 FROM pub GROUP BY 1, 2, 3"""
 
+def _document(fields: dict[str, str]) -> str:
+    """SQL for a JSON document of these fields, each an expression of its JSON text, or NULL if it is left out."""
+    parts = ", ".join(f"""'"{name}":' || ({value})""" for name, value in fields.items())
+    return f"'{{' || concat_ws(',', {parts}) || '}}'"
+
+
+def _quoted(value: str) -> str:
+    return f"""'"' || ({value}) || '"'"""
+
+
+def _meta(kind: str, is_wlcg: str) -> str:
+    known = f'{{"host":"collector","producer":"cms-xrootd-cache","timestamp":0,"type":"{kind}","type_prefix":"raw"}}'
+    return f"CASE WHEN {is_wlcg} THEN '{known}' END"
+
+
+_CACHE_DOCUMENT = _document({
+    "file_path": _quoted("lfn"), "block_size": "'1048576'", "numbers_blocks": "user_id", "numbers_blocks_done": "user_id // 2", "access_count": "kk",
+    "attach_time": "ts", "detach_time": "ts + kk", "bytes_hit_cache": "amount", "bytes_miss_cache": "amount * 2", "bytes_bypass_cache": "amount * 3",
+    "bytes_to_disk": "amount * 4", "bytes_by_prefetch": "amount * 5", "numbers_checksum_errors": "CASE WHEN e % 3 = 0 THEN e % 5 END",
+    "remotes_origin": """CASE WHEN e % 2 = 1 THEN '["r1"]' ELSE '""' END""", "sid": _quoted(_sid("srv")), "server_ip": _quoted("'10.0.0.' || srv"),
+    "server_hostname": _quoted(_HOSTNAME), "site": _quoted(_SITE), "vo": _quoted(_VO), "bytes_read_by_remote": "amount * 7",
+    "bytes_explicit_remote_read": "amount * 2", "metadata": _meta("metric", _CACHE_WLCG),
+})
+_COPY_DOCUMENT = _document({
+    "tpc_protocol": """'"https"'""", "client": _quoted("'c' || page_id"), "source": _quoted("url"),
+    "destination": _quoted("CASE WHEN page_id % 3 = 0 THEN 'root://h:1094//store/' || page_id ELSE 'davs://h/data/' || page_id END"),
+    "size": "length(html)",
+    "xeq": _document({
+        "begin_transfer": _quoted("'b' || page_id"), "end_transfer": _quoted("'e' || page_id"),
+        "flow_direction": _quoted("CASE WHEN page_id % 2 = 0 THEN 'pull' ELSE 'push' END"), "ip_version": "page_id % 2 * 2 + 4",
+        "return_code": "page_id % 3", "used_streams": "page_id % 4 + 1",
+    }),
+    "metadata": _meta("tpc", _COPY_WLCG),
+})
+_TCP_DOCUMENT = _document({
+    "event_type": _quoted("event_type"), "value": "amount", "user_id": "user_id", "from": _quoted("'10.0.0.' || srv"), "hostname": _quoted(_HOSTNAME),
+})
+
 ORACLE: dict[str, str] = {
     "q_flagship": _FLAGSHIP,
     "q_pushed_unwrap": """
@@ -547,6 +585,11 @@ ORACLE: dict[str, str] = {
     "q_tcp_events": f"""WITH {EVENTS}
         SELECT arrival_seq, line_idx, '10.0.0.' || srv AS "from", {_HOSTNAME} AS hostname, event_type, amount AS value, user_id
         FROM ev WHERE NOT is_cache""",
+    "q_event_documents": f"""WITH {EVENTS}
+        SELECT CASE WHEN {_CACHE_WLCG} THEN 'xrd.cache.wlcg' ELSE 'xrd.cache.stash' END AS exchange, 'file-close' AS routing_key,
+               {_CACHE_DOCUMENT} AS value FROM ev WHERE is_cache
+        UNION ALL SELECT CASE WHEN {_COPY_WLCG} THEN 'xrd.tpc.wlcg' ELSE 'xrd.tpc' END, 'tpc', {_COPY_DOCUMENT} FROM pages
+        UNION ALL SELECT 'xrd.tcp_exchange', 'tcp-event', {_TCP_DOCUMENT} FROM ev WHERE NOT is_cache""",
     "q_vo_path": f"""WITH {EVENTS}
         SELECT {_VO} AS vo, {_logical('lfn', 'lfn')} AS logical_dirname, {_CACHE_WLCG} AS is_wlcg, count(*) AS n
         FROM ev WHERE is_cache GROUP BY 1, 2, 3""",
