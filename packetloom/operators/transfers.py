@@ -68,6 +68,46 @@ def given_up_transfers(
     return _ended_at_ttl(late.select(*FILE_KEY, *ORDER, "opened.*"), records, ttl_seconds, group_limit)
 
 
+def ended_transfers(
+    records: DataFrame, ttl_seconds: int = TTL_SECONDS, group_limit: int | None = GROUP_LIMIT
+) -> DataFrame:
+    """What `stitch_transfers` with a TTL and `given_up_transfers` give together, with opens, closes and progress looked at in one order, so
+    that the file key is shuffled once."""
+    kept = records.filter(F.col("rec_type").isin(OPEN, CLOSE, PROGRESS))
+    hot = find_hot_keys(kept.select(*FILE_KEY, *ORDER), FILE_KEY, ORDER, group_limit)
+    is_open, is_progress = F.col("rec_type") == OPEN, F.col("rec_type") == PROGRESS
+    shown = [F.when(is_open, F.col(c)).alias(c) for c in ("addr", *OPEN_FIELDS)]
+    event = F.struct("rec_type", *shown, F.col("arrival_seq").alias("open_seq"), F.col("rec_idx").alias("open_idx"))
+    seen = before(kept, FILE_KEY, ORDER, last={"opened": F.when(~is_progress, event)}, hot=hot)
+    pending = F.coalesce(F.col("opened.rec_type") == OPEN, F.lit(False))
+    in_time = pending & (F.col("t_beg") - F.col("opened.t_beg") <= ttl_seconds)
+    progress = F.struct("read", "readv", "write", F.struct("opened.open_seq", "opened.open_idx").alias("of"))
+    linked = before(seen, FILE_KEY, ORDER, last={"moved": F.when(is_progress & in_time, progress)}, hot=hot)
+    # A close belongs to its open or to none; what comes too late ends the open before it, if that moved anything.
+    own = F.col("moved.of") == F.struct("opened.open_seq", "opened.open_idx")
+    late = ~is_progress & pending & ~in_time & F.coalesce(own, F.lit(False))
+    known = F.col("rec_type").isin(CLOSE) & in_time
+    opened = {c: F.when(known, F.col(f"opened.{c}")) for c in OPEN_FIELDS}
+    none = {"open_seq": F.lit(None).cast("bigint"), "open_idx": F.lit(None).cast("int")}
+    close = F.struct(
+        F.col("addr"), F.col("arrival_ts"), known.alias("known"), F.coalesce(opened["user_id"], F.lit(0)).alias("user_id"),
+        F.coalesce(opened["t_beg"], F.col("t_beg")).alias("open_time"), F.col("t_beg").alias("close_time"),
+        opened["file_name"].alias("open_name"), opened["file_size"].alias("file_size"), F.col("read"), F.col("readv"), F.col("write"), F.col("ops"),
+        *[v.alias(n) for n, v in none.items()],
+    )
+    end = F.col("opened.t_beg") + ttl_seconds
+    gone = F.struct(
+        F.col("opened.addr").alias("addr"), F.timestamp_seconds(end).alias("arrival_ts"), F.lit(True).alias("known"),
+        F.col("opened.user_id").alias("user_id"), F.col("opened.t_beg").alias("open_time"), end.alias("close_time"),
+        F.col("opened.file_name").alias("open_name"), F.col("opened.file_size").alias("file_size"), F.col("moved.read").alias("read"),
+        F.col("moved.readv").alias("readv"), F.col("moved.write").alias("write"), F.lit(None).cast(records.schema["ops"].dataType).alias("ops"),
+        F.col("opened.open_seq").alias("open_seq"), F.col("opened.open_idx").alias("open_idx"),
+    )
+    rows = F.array_compact(F.array(F.when(F.col("rec_type") == CLOSE, close), F.when(late, gone)))
+    spread = linked.filter((F.col("rec_type") == CLOSE) | late).select(*FILE_KEY, *ORDER, F.inline(rows))
+    return spread.withColumns({"has_close": F.col("known"), "is_open_known": F.col("known")}).select(*COLUMNS)
+
+
 def overdue_transfers(
     records: DataFrame, clock: int, ttl_seconds: int = TTL_SECONDS, group_limit: int | None = GROUP_LIMIT
 ) -> DataFrame:

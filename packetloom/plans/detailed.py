@@ -76,9 +76,10 @@ def transfers_from(
         enriched = enrich_transfers(ended, maps, ttl_seconds, group_limit, gone)
         return transfer_records(lookups.resolve_host(enriched, hosts))
     sweep = give_up and ttl_seconds is not None
-    ended = transfers.stitch_transfers(records, ttl_seconds if sweep else None, group_limit)
     if sweep:
-        ended = ended.unionByName(transfers.given_up_transfers(records, ttl_seconds, group_limit))
+        ended = transfers.ended_transfers(records, ttl_seconds, group_limit)
+    else:
+        ended = transfers.stitch_transfers(records, None, group_limit)
     if as_of is not None:
         ended = ended.unionByName(transfers.expire_transfers(records, as_of, ttl_seconds or TTL_SECONDS))
     enriched = enrich_transfers(ended, maps, ttl_seconds, group_limit, gone)
@@ -86,8 +87,8 @@ def transfers_from(
 
 
 def transfers_of(packets: DataFrame, hosts: DataFrame, as_of: int | None = None, **options) -> DataFrame:
-    """From raw packets: payloads are read once, then everything runs on typed tables."""
-    framed = stage_packets(packets)
+    """From raw packets: payloads are read for records and for map messages, then everything runs on typed tables."""
+    framed = framing.frame_packets(packets)
     return transfers_from(stage_records(framed), stage_maps(framed), hosts, as_of, **options)
 
 

@@ -126,6 +126,25 @@ def test_sweeps(spark, seed, limit):
     assert times == want
 
 
+@pytest.mark.parametrize("seed, limit", [(5, None), (6, 25)])
+def test_one_order_ends_the_same_transfers(spark, seed, limit):
+    rng = random.Random(seed)
+    t, rows, kinds = 0, [], {"c": 0, "o": 1, "x": 3}
+    for seq in range(1, 600):
+        t += rng.choice([0, 1, 30, 300])
+        for idx in range(rng.randrange(1, 3)):
+            k, b = rng.choice("oxxc"), int(T0.timestamp()) + t - rng.randrange(3)
+            rows.append(("s", "a", T0 + timedelta(seconds=t), seq, b, idx, kinds[k], rng.randrange(30), Decimal(9), rng.randrange(5), f"/n{seq}",
+                         Decimal(seq), Decimal(idx), Decimal(1), (seq,) if k == "c" else None))
+    schema = """sid string, addr string, arrival_ts timestamp, arrival_seq bigint, t_beg bigint, rec_idx int, rec_type bigint, file_id bigint,
+        file_size decimal(20,0), user_id bigint, file_name string, read decimal(20,0), readv decimal(20,0), write decimal(20,0), ops struct<read:bigint>"""
+    records = spark.createDataFrame(rows, schema).repartition(4)
+    apart = transfers.stitch_transfers(records, 3600).unionByName(transfers.given_up_transfers(records, 3600))
+    one = transfers.ended_transfers(records, 3600, limit)
+    assert one.columns == apart.columns and sorted(map(repr, one.collect())) == sorted(map(repr, apart.collect()))
+    assert one.filter("open_seq IS NOT NULL").count() > 5
+
+
 def test_sweeps_of_an_empty_feed(spark):
     feed = spark.createDataFrame([], "arrival_ts timestamp, arrival_seq bigint")
     assert sweeps.sweep_times(feed).count() == 0
