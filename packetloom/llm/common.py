@@ -75,11 +75,32 @@ def over_texts(
     return df.select(*needed).mapInArrow(run, ", ".join([*kept, schema]))
 
 
-def hashed_share(most: int, total: int, *cols: str) -> Column:
-    """True for about `most` of `total` rows (all, if they are no more), chosen by a hash of `cols`: unlike a sorted limit, no task
-    sends more than its share of them."""
-    share = min(1.0, most / max(total, 1))
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) < int(share * (1 << 30))
+def hashed_share(rows: DataFrame, most: int, *cols: str) -> DataFrame:
+    """About `most` of `rows` (all, if they are no more), chosen by a hash of `cols`: unlike a sorted limit, no task sends more than its
+    share of them, and at least one row is chosen. Rows that agree in `cols` are chosen together, so these should tell rows apart."""
+    h = F.pmod(F.xxhash64(*cols), F.lit(1 << 30))
+    total, least = rows.agg(F.count("*"), F.min(h)).first()
+    if total <= most:
+        return rows
+    return rows.filter((h < int(most / total * (1 << 30))) | (h == least))
+
+
+def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], total: int, share: int = 1000) -> DataFrame:
+    """`rows` joined with `table`, which has one row per key and, in `n`, about how many of the `total` rows have it.
+
+    Keys with over a `share`-th of the rows (at most `share` of them) are broadcast, so their rows stay where they are; the others are
+    joined by shuffle, in which no key is large. `rows` and `table` are read twice: written tables are best.
+    """
+    is_hot = F.col("n") * share > total
+    hot = F.broadcast(table.filter(is_hot))
+    others = rows.join(F.broadcast(table.filter(is_hot).select(*keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(others.join(table.filter(~is_hot), keys))
+
+
+def dealt(pairs: DataFrame, count: int, *keys: str) -> DataFrame:
+    """`pairs` (`count` rows of much work and few bytes) dealt to tasks by `keys`: to every core, and no more than 32 to a task."""
+    cores = pairs.sparkSession.sparkContext.defaultParallelism
+    return pairs.repartition(max(1, min(count, cores), -(-count // 32)), *keys)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -98,11 +119,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = now
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = staged(large, name)
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), name)
+        met = join_spread(both, low, ["a"], 2 * now[0])
+        large = staged(met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+        low = staged(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), name)
+        met = join_spread(large, low, ["a"], large.count())
+        small = met.filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = staged(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), name)
 
 

@@ -6,12 +6,14 @@ bits as the vectors have dimensions; several rotations from different starts giv
 Hamming table per piece, and vectors that agree in a piece are candidates, which the original vectors decide.
 
 The length of a piece follows the number of vectors, so buckets stay small, and the number of tables follows from it and from the recall
-asked for: at cosine c a bit differs with chance arccos(c) / pi. Nothing caps a bucket: a full one is cut into blocks and every
+asked for: at cosine c a bit differs with chance arccos(c) / pi. That takes bits to be independent, so the recall is measured on the
+sample's near pairs too, and tables are added until it is reached. Vectors of one length that are no more than `EXACT` are one bucket, which finds
+all their links. Nothing caps a bucket: a full one is cut into blocks and every
 pair of blocks is compared as one matrix product that gives counts per vector and a spanning forest, never all pairs. A pair met in
 several tables counts in the first only.
 
-Defined cases: vectors that are NULL, zero, or hold NULL or non-finite components link with nothing and are components of their own; so
-are vectors of another length than most. Equal vectors are one class with a size. Repeated rows are vectors like any other. A NULL id takes part, but names a
+Defined cases: vectors that are NULL, zero, or hold NULL or non-finite components link with nothing and are components of their own; vectors
+link with those of their own length only. Equal vectors are one class with a size. Repeated rows are vectors like any other. A NULL id takes part, but names a
 component only if it has no other. An empty table gives no rows.
 """
 
@@ -19,19 +21,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import components, hashed_share, local_forest, staged
+from packetloom.llm.common import components, dealt, hashed_share, join_spread, local_forest, staged
 
 COSINE = 0.95
 RECALL = 0.97
 #: About so many vectors the rotations are learned from.
 SAMPLE = 4096
 BUCKET_MEAN = 8
+#: Up to so many vectors of a length are compared without tables.
+EXACT = 4096
+#: Tables at most.
+TABLES = 256
 BLOCK = 512
 
 
@@ -139,32 +146,34 @@ def compare(pairs: DataFrame, dim: int, tables: int, cosine: float) -> DataFrame
     return pairs.mapInArrow(run, "class long, links long, root long")
 
 
-def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE, block: int = BLOCK
-) -> DataFrame:
-    """`vec_id, n_links, component_id, kept` for every row of `vectors` (vec_id, embedding)."""
-    spark = vectors.sparkSession
-    rows = vectors.select("vec_id", F.when(usable(F.col("embedding")), F.col("embedding")).alias("vector"))
-    lengths = rows.filter("vector IS NOT NULL").groupBy(F.size("vector").alias("dim")).count()
-    most = lengths.orderBy(F.desc("count"), "dim").first()
-    lonely = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if most is None:
-        return lonely.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
-    dim = most.dim
-    fits = F.coalesce(F.size("vector") == dim, F.lit(False)) & F.col("vector").isNotNull()
-    lonely = lonely.filter(~fits)
-    # Equal vectors are one class; its name is a hash of the components, told apart by the vector itself on joining.
-    keyed = rows.filter(fits).withColumn("class", F.xxhash64("vector"))
-    classes = staged(
-        keyed.groupBy("class", "vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("rep")), "vector-classes"
-    )
-    n_classes = classes.count()
-    some = sorted(classes.filter(hashed_share(sample, n_classes, "class")).select("class", "vector").collect())
-    some = some or classes.select("class", "vector").limit(sample).collect()
-    bits, tables = plan_tables(n_classes, dim, cosine, recall)
-    rotations = learn_rotations(np.array([r.vector for r in some], dtype=np.float64), math.ceil(tables / (dim // bits)))
-    coded = staged(encode(classes.select("class", "vector", "n"), rotations, bits, tables, dim), "vector-codes")
-
+def learn_tables(sample: np.ndarray, vectors: int, cosine: float, recall: float) -> tuple[list, int, int]:
+    """Rotations, bits per piece and number of tables: as planned, and more until the near pairs of the sample are found."""
+    dim = sample.shape[1]
+    bits, tables = plan_tables(vectors, dim, cosine, recall)
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    rows = [np.nonzero(np.triu(unit[i : i + BLOCK] @ unit.T >= cosine, i + 1)) for i in range(0, len(unit), BLOCK)]
+    a = np.concatenate([r + i * BLOCK for i, (r, _) in enumerate(rows)])
+    b = np.concatenate([c for _, c in rows])
+    while True:
+        rotations = learn_rotations(sample, math.ceil(tables / (dim // bits)))
+        codes = codes_of(sample, rotations, bits, tables)
+        met = np.zeros(len(a), dtype=bool)
+        for k in range(codes.shape[1]):
+            met |= codes[a, k] == codes[b, k]
+        if not len(a) or met.mean() >= recall or tables >= TABLES:
+            return rotations, bits, tables
+        tables = min(TABLES, tables + max(1, tables // 2))
+
+
+def links_of_length(classes: DataFrame, dim: int, count: int, cosine: float, recall: float, sample: int, block: int) -> DataFrame:
+    """`class, links, root` (see `compare`) for `classes` (class, vector, n) of one length."""
+    if count <= EXACT:
+        tables = 1
+        coded = classes.select("class", "vector", "n", F.array(F.lit(0).cast("long")).alias("codes"))
+    else:
+        some = sorted(hashed_share(classes.select("class", "vector"), sample, "class").collect())
+        rotations, bits, tables = learn_tables(np.array([r.vector for r in some], dtype=np.float64), count, cosine, recall)
+        coded = staged(encode(classes.select("class", "vector", "n"), rotations, bits, tables, dim), "vector-codes")
     buckets = coded.select("class", F.posexplode("codes").alias("at", "code"))
     sizes = buckets.groupBy("at", "code").agg(F.count("*").alias("size")).filter("size > 1")
     part = F.pmod(F.xxhash64("class", "at"), F.ceil(F.col("size") / block)).cast("int")
@@ -177,18 +186,45 @@ def near_vectors(
     )
     own = blocks.select("at", F.lit(True).alias("equal"), "x", F.col("x").alias("y"))
     cut = blocks.filter(F.col("size") > block)
-    others = cut.select("at", "code", F.col("part").alias("other"), F.col("x").alias("y"))
-    crossed = cut.join(others, ["at", "code"]).filter("part < other").select("at", F.lit(False).alias("equal"), "x", "y")
-    found = staged(compare(own.unionByName(crossed), dim, tables, cosine), "vector-links")
+    # Every pair of blocks of a bucket has a key of its own, so the pairs of a full bucket go to many tasks.
+    last = F.ceil(F.col("size") / block).cast("int") - 1
+    left = cut.filter(F.col("part") < last).select("at", "code", F.col("part").alias("i"), F.explode(F.sequence(F.col("part") + 1, last)).alias("j"), "x")
+    right = cut.filter(F.col("part") > 0).select(
+        "at", "code", F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("i"), F.col("part").alias("j"), F.col("x").alias("y")
+    )
+    count = cut.agg(F.sum(last - F.col("part"))).first()[0] or 0
+    crossed = dealt(left.join(right, ["at", "code", "i", "j"]), count, "at", "code", "i", "j").select("at", F.lit(False).alias("equal"), "x", "y")
+    return compare(own.unionByName(crossed), dim, tables, cosine)
+
+
+def near_vectors(
+    vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE, block: int = BLOCK
+) -> DataFrame:
+    """`vec_id, n_links, component_id, kept` for every row of `vectors` (vec_id, embedding)."""
+    rows = vectors.select("vec_id", F.when(usable(F.col("embedding")), F.col("embedding")).alias("vector"))
+    lonely = rows.filter("vector IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    # Equal vectors are one class; its name is a hash of the components and of their number.
+    keyed = rows.filter("vector IS NOT NULL").withColumn("class", F.xxhash64(F.size("vector"), "vector"))
+    classes = staged(
+        keyed.groupBy("class", "vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("rep"), F.first(F.size("vector")).alias("dim")),
+        "vector-classes",
+    )
+    lengths = sorted(classes.groupBy("dim").agg(F.count("*").alias("classes"), F.sum("n").alias("rows")).collect())
+    none = vectors.sparkSession.createDataFrame([], "class long, links long, root long")
+    own = [links_of_length(classes.filter(F.col("dim") == r.dim), r.dim, r.classes, cosine, recall, sample, block) for r in lengths]
+    found = staged(reduce(DataFrame.unionByName, own, none), "vector-links")
 
     roots = components(found.filter("class <> root").select(F.col("class").alias("a"), F.col("root").alias("b")), "vector-components")
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))
-    named = (
+    named = staged(
         classes.select("class", "n", "rep").join(counts, "class", "left")
         .join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .select("class", "rep", F.coalesce("root", "class").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+        .select("class", "n", "rep", F.coalesce("root", "class").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")),
+        "vector-roots",
     )
-    lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    linked = keyed.select("vec_id", "class").join(named.join(lowest, "root"), "class").select("vec_id", "n_links", "component_id")
-    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
-    return linked.unionByName(lonely).withColumn("kept", kept)
+    lowest = staged(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "vector-lowest")
+    labelled = join_spread(named.drop("n"), lowest, ["root"], sum(r.classes for r in lengths)).drop("n")
+    labelled = staged(labelled.join(named.select("class", "n"), "class"), "vector-labelled")
+    linked = join_spread(keyed.select("vec_id", "class"), labelled, ["class"], sum(r["rows"] for r in lengths))
+    done = linked.select("vec_id", "n_links", "component_id").unionByName(lonely)
+    return done.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import over_texts, staged
+from packetloom.llm.common import join_spread, over_texts, staged
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -40,8 +40,6 @@ BITS_PER_KEY = 8
 SEGMENT_BITS = 1 << 15
 #: Bits a task gathers before it sends them on.
 GATHERED = 1 << 22
-#: A key with more than this share of all suspects is joined by broadcast.
-HOT_SHARE = 1000
 
 
 def line_keys(text: str | None) -> tuple[list[bytes], list[bytes]]:
@@ -166,9 +164,7 @@ def repeated(found: DataFrame, min_docs: int, max_bits: int) -> DataFrame:
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "r1", "r2"))
     counts = found.groupBy("lo", "hi").agg(F.count("*").alias("n"), first.alias("first")).filter(F.col("n") >= min_docs)
     counts = staged(counts.select("lo", "hi", "n", F.col("first.r1").alias("f1"), F.col("first.r2").alias("f2")), "repeated-lines")
-    hot = F.col("n") > found.count() // HOT_SHARE
-    met = found.join(F.broadcast(counts.filter(hot)), ["lo", "hi"])
-    met = met.unionByName(found.join(counts.filter(~hot), ["lo", "hi"]))
+    met = join_spread(found, counts, ["lo", "hi"], found.count())
     here = (F.col("r1") == F.col("f1")) & (F.col("r2") == F.col("f2"))
     return met.groupBy("r1", "r2").agg(F.collect_set(F.struct("lo", "hi", here.alias("here"))).alias("drop"))
 

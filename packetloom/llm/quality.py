@@ -1,41 +1,44 @@
 """Quality classifier by co-training.
 
-Two classifiers look at a document from two sides: its words and signs (text view), and what is known about the page without reading it, its
-source, language, size and layout (metadata view). Both start from the labelled rows. In every round each one
-labels the unlabelled rows it is surest about, and the other one learns from these. In the end the two are calibrated on labelled rows
-that neither has seen, combined by a third small model, and all documents are scored.
+Two classifiers look at a document from two sides: its words and signs (text view), and what is known about the page without its words: source,
+language, size and layout, which counts kinds of characters (metadata view). Both start from the labelled rows. In every round each one scores
+all unlabelled rows, in Spark, labels those it is surest about, and the other one learns from these. In the end the two are calibrated on
+labelled rows that neither has seen, combined by a third small model, and all documents are scored.
 
-What is bounded: about `LABELLED` labelled and `UNLABELLED` unlabelled documents, chosen by a hash of the id, are used for fitting, and
-`WORDS` words are features, those whose presence tells the labels apart most clearly in the labelled sample. The three models are
-small and are fitted on the driver from that sample. Scores are made for every document, from its whole text.
+What is bounded: about `LABELLED` labelled documents, chosen by a hash, are used for fitting, `WORDS` words are features, those whose presence
+tells the labels apart most clearly in the labelled sample, and a view gives away `GIVEN` rows in the first round, twice as many in the
+second, and so on. The three models are small and are fitted on the driver from these rows; the pool the rows are chosen from is every
+unlabelled document. Scores are made for every document, from its whole text.
 
 A document is good if its label says quality 1 and toxic 0 (a missing toxic mark counts as 0, a missing quality leaves the row out; of several
 labels of a document the worst counts).
 
-Defined cases: a NULL text is empty, NULL metadata is a value of its own; repeated rows score alike; without labels of both kinds nothing can be
+Defined cases: a NULL text is empty, NULL metadata is a value of its own; repeated rows score alike and are given away together; of rows that are
+equally sure a hash decides; words of any length count; without labels of both kinds nothing can be
 learned and every document has the score 1 and is kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.llm.common import hashed_share, over_texts, staged
 
 LABELLED = 20_000
-UNLABELLED = 5_000
 WORDS = 600
 #: Standard errors from which on a word tells the labels apart; rare words of a few documents do not reach it.
 CLEAR = 4.0
 ROUNDS = 3
-#: Pseudo-labels a classifier gives away per round, as a share of the unlabelled sample, and how sure it has to be.
-GIVEN = 0.1
+#: Pseudo-labels a classifier gives away in the first round (twice as many in the second, and so on), and how sure it has to be.
+GIVEN = 500
 SURE = 0.95
 THRESHOLD = 0.5
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
@@ -47,11 +50,12 @@ _LAYOUT = ("chars", "lines", "line_length", "upper", "digits", "signs", "distinc
 
 def tokens(text: str | None) -> set[str]:
     """Words in lower case, the beginnings of longer words, and runs of signs."""
-    whole = {t for t in _TOKEN.findall((text or "").lower()) if len(t) <= 40}
+    whole = set(_TOKEN.findall((text or "").lower()))
     return whole | {t[:_STEM] + "-" for t in whole if len(t) > _STEM}
 
 
 def layout(text: str | None) -> list[float]:
+    """Size, shape and kinds of characters of a page; no word of it is known by name."""
     text = text or ""
     n = len(text) or 1
     words = text.split()
@@ -146,49 +150,96 @@ def meta_features(measures: list, langs: list, sources: list, edges: np.ndarray)
     return x
 
 
+class Features:
+    """Features of rows, as Spark holds them: places of the vocabulary, measures of the layout, language and source."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
+        self.schema = "present array<int>, measures array<double>"
+
+    def read(self, texts: list[str | None]) -> dict[str, object]:
+        x = text_features(texts, self.vocabulary)
+        present = pa.array([np.flatnonzero(r).astype(np.int32) for r in x], pa.list_(pa.int32()))
+        return {"present": present, "measures": pa.array([layout(t) for t in texts], pa.list_(pa.float64()))}
+
+    def views(self, present: list, measures: list, langs: list, sources: list, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = np.zeros((len(present), len(self.vocabulary) + 1), dtype=np.uint8)
+        for i, places in enumerate(present):
+            x[i, places] = 1
+        return x, meta_features(measures, langs, sources, edges)
+
+
+def surest(pool: DataFrame, features: Features, edges: np.ndarray, weights: np.ndarray, view: int, most: dict[int, int]) -> list:
+    """The rows of `pool` that one view is surest about, at most `most` per label and at least `SURE`, as (row, label).
+
+    All rows are scored where they are. Counts of rows by rounded sureness tell from where on they are few enough; of rows that are equally
+    sure a share is chosen by a hash.
+    """
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = features.views(*(batch.column(c).to_pylist() for c in ("present", "measures", "lang", "source")), edges)
+            p = predict(x[view], weights)
+            level = pa.array(np.minimum(np.floor(np.maximum(p, 1 - p) * 10_000), 9_999).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((p >= 0.5).astype(np.int32)), level], [*batch.schema.names, "label", "level"])
+
+    scored = pool.mapInArrow(score, f"{_ddl(pool)}, label int, level int").filter(F.col("level") >= int(SURE * 10_000))
+    chosen = []
+    levels = scored.groupBy("label", "level").count().orderBy("label", F.desc("level")).collect()  # at most 500 levels a label
+    share = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    picked = F.lit(False)
+    for label, room in most.items():
+        for row in levels:
+            if row.label == label and room > 0:
+                part = min(1.0, room / row["count"])
+                picked = picked | ((F.col("label") == label) & (F.col("level") == row.level) & (share < part))
+                room -= row["count"]
+    chosen = scored.filter(picked).drop("level").collect()
+    return [(r, r.label) for r in sorted(chosen, key=lambda r: (r.row, r.present))]
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def co_train(
-    x: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS
+    x: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: DataFrame, features: Features, edges: np.ndarray, rounds: int = ROUNDS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of both views. Each learns from the labels and from what the other one was surest about."""
-    given: list[dict[int, float]] = [{}, {}]  # for each view the pool rows labelled by the other
-    weights: list[np.ndarray] = []
-    for k in range(rounds + 1):
+    """Weights of both views. Each learns from the labels and from the rows of `pool` that the other one was surest about, by far more
+    rows in each round. The pool is scored whole; what is given away is bounded by `GIVEN` rows per round, view and label."""
+    given: list[list] = [[], []]  # for each view the pool rows labelled by the other
+
+    def fitted() -> list[np.ndarray]:
         weights = []
         for view in (0, 1):
-            rows = list(given[view])
-            weights.append(
-                fit_logistic(np.vstack([x[view], pool[view][rows]]), np.concatenate([y, [given[view][r] for r in rows]]))
-            )
-        if k == rounds or not len(pool[0]):
-            break
-        for view in (0, 1):
-            p = predict(pool[view], weights[view])
-            other = given[1 - view]
-            for sure, label in ((p, 1.0), (1 - p, 0.0)):
-                share = np.mean(y == label)
-                best = np.argsort(-sure, kind="stable")[: int(GIVEN * share * len(p))]
-                other.update((int(r), label) for r in best if sure[r] >= SURE)
+            rows = [r for r, _ in given[view]]
+            more = features.views([r.present for r in rows], [r.measures for r in rows], [r.lang for r in rows], [r.source for r in rows], edges)
+            labels = np.array([label for _, label in given[view]], dtype=np.float64)
+            weights.append(fit_logistic(np.vstack([x[view], more[view]]), np.concatenate([y, labels])))
+        return weights
+
+    weights = fitted()
+    for k in range(rounds):
+        most = {label: max(1, int(GIVEN * (k + 1) * np.mean(y == label))) for label in (0, 1)}
+        given = [surest(pool, features, edges, weights[1 - view], 1 - view, most) for view in (0, 1)]
+        weights = fitted()
     return weights[0], weights[1]
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model | None:
     """A model from `docs` (doc_id, text, lang, source) and `labels` (doc_id, quality, toxic); None without labels of both kinds."""
     good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")
     marked = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(good).alias("good"))
-    here = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    ids = staged(here.join(marked, "doc_id", "left"), "quality-ids")
-    known, unknown = ids.filter("good IS NOT NULL"), ids.filter("good IS NULL")
-    some = [rows.filter(hashed_share(most, rows.count(), "doc_id")) for rows, most in ((known, labelled), (unknown, unlabelled))]
-    chosen = staged(some[0].unionByName(some[1]), "quality-chosen")
-    # A bounded number of ids.
-    sample = staged(docs.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen), "doc_id"), "quality-sample")
+    marked = staged(marked, "quality-labels")
+    known = hashed_share(docs.select("doc_id").join(marked, "doc_id").distinct(), labelled, "doc_id")
+    chosen = staged(known, "quality-chosen")
+    # A bounded number of ids; of rows that share one, as many as there are ids in all.
+    sample = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen), "doc_id")
+    sample = staged(hashed_share(staged(sample.distinct(), "quality-rows"), labelled, "doc_id", "text"), "quality-sample")
     sizes = {r.good: r.n for r in sample.groupBy("good").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
-    found = over_texts(
-        sample.filter("good IS NOT NULL"), "words array<string>", lambda texts: {"words": [sorted(tokens(t)) for t in texts]}, ["good"]
-    )
+    found = over_texts(sample, "words array<string>", lambda texts: {"words": [sorted(tokens(t)) for t in texts]}, ["good"])
     seen = found.select("good", F.explode("words").alias("word"))
     share = F.col("n") / (sizes[0] + sizes[1])
     # How far the share of good documents among those with the word is from the share among all, in standard errors.
@@ -196,30 +247,27 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     apart = F.abs(F.col("ones") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base) + 1)
     counted = seen.groupBy("word").agg(F.count("*").alias("n"), F.sum("good").alias("ones"))
     picked = counted.filter((apart >= CLEAR) & (share < 0.9)).orderBy(F.desc(apart), "word").limit(WORDS).collect()
-    vocabulary = {r.word: i for i, r in enumerate(picked)}
-
-    def read(texts: list[str | None]) -> dict[str, object]:
-        x = text_features(texts, vocabulary)
-        return {"present": [np.flatnonzero(r).tolist() for r in x], "measures": [layout(t) for t in texts]}
-
-    kept = ["doc_id", "good", "lang", "source"]
-    rows = over_texts(sample, "present array<long>, measures array<double>", read, kept).orderBy(*order, "good").collect()
-    x_text = np.zeros((len(rows), len(vocabulary) + 1), dtype=np.uint8)
-    for i, r in enumerate(rows):
-        x_text[i, r.present] = 1
-    measures = np.array([r.measures for r in rows])
-    edges = np.quantile(measures, np.arange(1, _BINS) / _BINS, axis=0).T
-    x_meta = meta_features(measures, [r.lang for r in rows], [r.source for r in rows], edges)
-    y = np.array([-1.0 if r.good is None else float(r.good) for r in rows])
-    apart_rows = np.array([crc32(str(r.doc_id).encode()) % 4 == 0 for r in rows])  # for calibration
-    fit, tune, pool = (y >= 0) & ~apart_rows, (y >= 0) & apart_rows, y < 0
+    features = Features({r.word: i for i, r in enumerate(picked)})
+
+    rows = over_texts(sample, features.schema, features.read, ["doc_id", "good", "lang", "source"]).collect()
+    rows.sort(key=lambda r: (crc32(str(r.doc_id).encode()), r.doc_id, r.present, r.measures))
+    edges = np.quantile(np.array([r.measures for r in rows]), np.arange(1, _BINS) / _BINS, axis=0).T
+    x = features.views([r.present for r in rows], [r.measures for r in rows], [r.lang for r in rows], [r.source for r in rows], edges)
+    y = np.array([float(r.good) for r in rows])
+    tune = np.array([crc32(str(r.doc_id).encode()) % 4 == 0 for r in rows])  # for calibration
+    fit = ~tune
     if len(set(y[fit])) < 2 or len(set(y[tune])) < 2:
-        fit = tune = y >= 0
-    w_text, w_meta = co_train((x_text[fit], x_meta[fit]), y[fit], (x_text[pool], x_meta[pool]))
-    raw = [logit(predict(x[tune], w))[:, None] for x, w in ((x_text, w_text), (x_meta, w_meta))]
+        fit = tune = np.ones(len(y), bool)
+    pool = None
+    if rounds:
+        ids = docs.select("doc_id", "text", "lang", "source", F.xxhash64("doc_id", "text", "lang", "source").alias("row"))
+        read = over_texts(ids, features.schema, features.read, ["doc_id", "row", "lang", "source"])
+        pool = staged(read.join(marked, "doc_id", "left_anti").drop("doc_id"), "quality-pool")
+    w_text, w_meta = co_train((x[0][fit], x[1][fit]), y[fit], pool, features, edges, rounds)
+    raw = [logit(predict(view[tune], w))[:, None] for view, w in ((x[0], w_text), (x[1], w_meta))]
     scales = [fit_logistic(r, y[tune], ridge=1e-3) for r in raw]
     views = np.stack([logit(predict(r, s)) for r, s in zip(raw, scales)], axis=1)
-    return Model(vocabulary, edges, w_text, w_meta, scales[0], scales[1], fit_logistic(views, y[tune], ridge=1e-2))
+    return Model(features.vocabulary, edges, w_text, w_meta, scales[0], scales[1], fit_logistic(views, y[tune], ridge=1e-2))
 
 
 def _scored(docs: DataFrame, model: Model, keep: list[str], made: dict[str, str], threshold: float) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import components, local_forest, over_texts, staged
+from packetloom.llm.common import components, dealt, join_spread, local_forest, over_texts, staged
 
 BITS = 64
 RADIUS = 4
@@ -141,8 +141,12 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_
     trees = staged(trees, "bk-trees")
     alone = trees.filter(F.col("n") <= shard_nodes).select("tree", F.col("tree").alias("queries"))
     cut = trees.filter(F.col("n") > shard_nodes)
-    others = cut.select("choice", "key", F.col("shard").alias("other"), F.col("tree").alias("queries"))
-    pairs = cut.join(others, ["choice", "key"]).filter("shard <= other").select("tree", "queries")
+    # Every pair of trees of a bucket has a key of its own, so the pairs of a full bucket go to many tasks.
+    last = F.ceil(F.col("n") / shard_nodes).cast("int") - 1
+    held = cut.select("choice", "key", F.col("shard").alias("i"), F.explode(F.sequence(F.col("shard"), last)).alias("j"), "tree")
+    asked = cut.select("choice", "key", F.explode(F.sequence(F.lit(0), F.col("shard"))).alias("i"), F.col("shard").alias("j"), F.col("tree").alias("queries"))
+    count = cut.agg(F.sum(last - F.col("shard") + 1)).first()[0] or 0
+    pairs = dealt(held.join(asked, ["choice", "key", "i", "j"]), count, "choice", "key", "i", "j").select("tree", "queries")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -166,12 +170,14 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, shard_nodes: int = SHARD_
 def _linked(docs: DataFrame, radius: int, shingle: int, shard_nodes: int) -> DataFrame:
     """`doc_id, text_hash, fp, root, component_id` for every row of `docs`; root names a component where ids repeat."""
     marked = staged(fingerprints(docs, shingle), "fingerprints")
-    nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-nodes")
+    nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("docs")), "fingerprint-nodes")
     roots = components(near_links(nodes, radius, shard_nodes), "simhash-links")
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "root", "component_id")
-    return marked.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "rep", "docs", F.coalesce("root", "fp").alias("root"))
+    rooted = staged(rooted, "simhash-roots")
+    lowest = staged(rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "simhash-lowest")
+    named = join_spread(rooted, lowest, ["root"], rooted.count())
+    named = staged(named.select("fp", "root", "component_id", F.col("docs").alias("n")), "simhash-named")
+    return join_spread(marked, named, ["fp"], marked.count()).select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, shard_nodes: int = SHARD_NODES) -> DataFrame:
