@@ -61,11 +61,22 @@ whole AS (SELECT doc_id, label, phrase, diagonal AS first, 1.0 AS share FROM lin
 step AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, t ORDER BY diagonal) > {licenses.NEAR} THEN 1 ELSE 0 END AS fresh
          FROM line WHERE NOT phrase),
 grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, t ORDER BY diagonal) AS g FROM step),
-merged AS (SELECT doc_id, label, n, len(list_distinct(flatten(list(js)))) AS votes,
+merged AS (SELECT doc_id, t, label, n, g, len(list_distinct(flatten(list(js)))) AS votes,
                   max(diagonal + list_max(js) + 2) - min(diagonal + list_min(js)) AS span
            FROM grouped GROUP BY doc_id, t, label, n, g),
+-- groups that cover their template but spread too far: their best stretch, from any vote on
+wide AS (SELECT doc_id, t, label, n, g FROM merged WHERE span > {licenses.STRETCH} * n AND votes >= {licenses.COVERED} * (n - 1)),
+spot AS (SELECT wide.*, diagonal + j AS pos, j FROM (SELECT doc_id, t, g, diagonal, unnest(js) AS j FROM grouped) JOIN wide USING (doc_id, t, g)),
+stretch AS (
+    SELECT x.doc_id, x.t, x.label, x.n, x.g, x.pos, count(DISTINCT y.j) AS votes, max(y.pos - x.pos) + 2 AS span
+    FROM spot x JOIN spot y ON x.doc_id = y.doc_id AND x.t = y.t AND x.g = y.g
+         AND y.pos BETWEEN x.pos AND x.pos + CAST(floor({licenses.STRETCH} * x.n) AS INT) - {licenses.GRAM}
+    GROUP BY ALL),
+best AS (SELECT * FROM stretch QUALIFY row_number() OVER (PARTITION BY doc_id, t, g ORDER BY votes DESC, pos DESC, span DESC) = 1),
+tight AS (SELECT doc_id, label, n, votes, span FROM merged ANTI JOIN wide USING (doc_id, t, g)
+          UNION ALL SELECT doc_id, label, n, votes, span FROM best),
 found AS (SELECT * FROM whole UNION ALL
-          SELECT doc_id, label, FALSE, NULL, votes / (n - 1) FROM merged
+          SELECT doc_id, label, FALSE, NULL, votes / (n - 1) FROM tight
           WHERE votes / (n - 1) >= {licenses.COVERED} AND span <= {licenses.STRETCH} * n),
 marks AS (SELECT doc_id, count(first) AS n_base, min(first) AS first_word, max(first) AS last_word,
                  array_to_string(list_sort(list(DISTINCT label) FILTER (phrase)), ',') AS base_labels,

@@ -8,11 +8,13 @@ import string
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
 from packetloom.llm import decontamination, gru, licenses, lm, pages, quality
 from packetloom.llm.common import table
+from packetloom.llm.oracle import ORACLE
 from tests.conftest import SF
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -71,7 +73,13 @@ def test_stray_pairs_do_not_hide_a_template(spark):
         (1, "Code licensed under MIT, text licensed under CC BY-NC 4.0"), (2, "licensed under x " * 300 + "licensed under CC BY-NC 4.0 " + "y licensed under " * 300),
         (3, "permission notice or fee this software " * 20 + edited + " and this software without fee" * 20), (4, "licensed under x " * 300 + "by z nc q 4.0"),
     ]
-    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.labels, r.score) for r in found.collect()}
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cols = ", ".join(found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(duck.execute(f"SELECT {cols} FROM ({ORACLE['op3_license_scan']})").fetchall())
     assert got[1] == got[2] == ("cc-by-nc", 1.0) and got[3][0] == "isc" and 0.75 <= got[3][1] < 1 and got[4] == ("", 0.0)
 
 
@@ -167,13 +175,30 @@ def test_state_is_carried_across_windows_and_lanes_do_not_matter():
     assert abs(whole[0] - sum(gru.score(values, shape, [docs[0][i : i + 32]])[0] for i in range(0, 200, 32))) > 1e-3
 
 
+def test_gradients_against_differences():
+    shape = gru.Shape(40, 3)
+    values = gru.start_values(shape, np.ones(40), np.ones(3)).astype(np.float64) * 2
+    docs = [np.array([0, 3, 41, 5, 1, 39], dtype=np.int32), np.array([2, 42], dtype=np.int32)]
+    (x, y, _, first), = gru.Lanes(docs, 8, 43).windows()
+    loss = lambda flat: -gru.score(flat.astype(np.float32), shape, docs).sum() * np.log(10)
+    grad = np.zeros(shape.size, dtype=np.float32)
+    p, g = shape.views(values.astype(np.float32)), shape.views(grad)
+    used, rows, _ = gru.gradient(p, g, shape, x, y, first, np.zeros((2, gru.HIDDEN), np.float32), np.float32(1))
+    g["wx"][used] = rows
+    rng = np.random.default_rng(2)
+    for at in [*np.argsort(-np.abs(grad))[:40], *rng.integers(0, shape.size, 40)]:
+        step = np.zeros_like(values)
+        step[at] = 0.02
+        assert abs((loss(values + step) - loss(values - step)) / 0.04 - grad[at]) < 0.02 + 0.02 * abs(grad[at])
+
+
 def test_gradient_of_the_network():
     shape = gru.Shape(6, 2)
     values = gru.start_values(shape, np.ones(6), np.ones(2)) * 3
     docs = [np.array([0, 3, 7, 5, 1], dtype=np.int32), np.array([2, 6], dtype=np.int32)]
-    trained = values
+    trained, seen = values, None
     for _ in range(30):
-        trained = gru.train(trained, shape, docs, rate=0.05)
+        trained, seen = gru.train(trained, shape, docs, seen, rate=0.05)
     assert gru.score(trained, shape, docs).sum() > gru.score(values, shape, docs).sum() + 1
 
 
@@ -246,7 +271,8 @@ def test_page_text(spark):
 
 
 def test_pages_without_marked_articles():
-    scores = pages.learn_scores([PAGE] * 5)
+    inside, outside = pages.count_names(PAGE)
+    scores = pages.scores_of({n: 5 * c for n, c in inside.items()}, {n: 5 * c for n, c in outside.items()})
     page = (
         "<body><div id='menu'><ul><li><a href=x>Home</a></li></ul></div><div class='content'><h2>Title here</h2><p>Text of the page is here.</p>"
         "<div class='advert'>Buy now</div><p>And it goes on for a while.</p></div><div class=sidebar>foo bar baz</div></body>"
