@@ -13,7 +13,7 @@ unlabelled document. Scores are made for every document, from its whole text.
 A document is good if its label says quality 1 and toxic 0 (a missing toxic mark counts as 0, a missing quality leaves the row out; of several
 labels of a document the worst counts).
 
-Defined cases: a NULL text is empty, NULL metadata is a value of its own; repeated rows score alike and are given away together; of rows that are
+Defined cases: a NULL text is empty, NULL metadata is a value of its own; repeated rows score alike and are given away once; of rows that are
 equally sure a hash decides; words of any length count; without labels of both kinds nothing can be
 learned and every document has the score 1 and is kept; an empty table gives no rows.
 """
@@ -184,17 +184,17 @@ def surest(pool: DataFrame, features: Features, edges: np.ndarray, weights: np.n
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((p >= 0.5).astype(np.int32)), level], [*batch.schema.names, "label", "level"])
 
     scored = pool.mapInArrow(score, f"{_ddl(pool)}, label int, level int").filter(F.col("level") >= int(SURE * 10_000))
-    chosen = []
     levels = scored.groupBy("label", "level").count().orderBy("label", F.desc("level")).collect()  # at most 500 levels a label
     share = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     picked = F.lit(False)
     for label, room in most.items():
+        cut, part = 10_000, 0.0  # levels above `cut` are taken whole, of its own rows a part
         for row in levels:
             if row.label == label and room > 0:
-                part = min(1.0, room / row["count"])
-                picked = picked | ((F.col("label") == label) & (F.col("level") == row.level) & (share < part))
+                cut, part = row.level, min(1.0, room / row["count"])
                 room -= row["count"]
-    chosen = scored.filter(picked).drop("level").collect()
+        picked = picked | ((F.col("label") == label) & ((F.col("level") > cut) | ((F.col("level") == cut) & (share < part))))
+    chosen = scored.filter(picked).drop("level").dropDuplicates(["row"]).collect()  # copies teach once
     return [(r, r.label) for r in sorted(chosen, key=lambda r: (r.row, r.present))]
 
 

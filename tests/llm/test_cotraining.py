@@ -10,15 +10,15 @@ from packetloom.llm import quality
 DOCS = "doc_id long, text string, lang string, source string"
 
 
-def corpus(n, seed=3):
-    """Good and bad documents, told apart by words and, independently, by their source; each side is wrong at times."""
+def corpus(n, sources=12, seed=3):
+    """Good and bad documents, told apart by words and, independently, by their source; either side is wrong at times."""
     rng = random.Random(seed)
     rows, truth = [], {}
     for i in range(n):
         good = rng.random() < 0.6
-        kind = "fine" if good != (rng.random() < 0.05) else "poor"
-        source = f"{'s' if good != (rng.random() < 0.05) else 't'}{rng.randrange(12)}"
-        words = [f"{kind}{'abcdefgh'[rng.randrange(8)]}" for _ in range(3)] + [f"w{'xyzuv'[rng.randrange(5)]}" for _ in range(8)]
+        kind = "fine" if good != (rng.random() < 0.02) else "poor"
+        source = f"{'s' if good != (rng.random() < 0.02) else 't'}{rng.randrange(sources)}"
+        words = [f"{kind}{'abcd'[rng.randrange(4)]}" for _ in range(3)] + [f"w{'xyzuv'[rng.randrange(5)]}" for _ in range(8)]
         rng.shuffle(words)
         rows.append((i, " ".join(words), "en", source))
         truth[i] = good
@@ -26,24 +26,24 @@ def corpus(n, seed=3):
 
 
 def test_the_exchange_helps(spark):
-    rows, truth = corpus(3000)
+    """Few labels leave most sources unseen; the text view's pseudo-labels teach the metadata view about them."""
+    rows, truth = corpus(4000, sources=25)
     docs = spark.createDataFrame(rows, DOCS).repartition(4)
-    labels = spark.createDataFrame([(i, int(truth[i]), 0) for i in range(60)], "doc_id long, quality int, toxic int")
-    found = {}
+    labels = spark.createDataFrame([(i, int(truth[i]), 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    rest, found = rows[100:], {}
+    right = np.array([truth[r[0]] for r in rest])
     for rounds in (0, 3):
         model = quality.train(docs, labels, rounds=rounds)
-        rest = rows[60:]
         scored = model.score(*model.features([r[1] for r in rest], [r[2] for r in rest], [r[3] for r in rest]))
-        right = np.array([truth[r[0]] for r in rest])
         found[rounds] = [float(((p >= 0.5) == right).mean()) for p in scored]
     text, meta, both = zip(found[0], found[3])
-    assert meta[1] > meta[0] + 0.02 and both[1] >= both[0] - 0.002 and text[1] >= text[0] - 0.01
+    assert meta[1] > meta[0] + 0.02 and both[1] > both[0] - 0.005 and text[1] > text[0] - 0.01, found
 
 
 def test_the_surest_of_all_rows_are_given(spark, monkeypatch):
     monkeypatch.setattr(quality, "SURE", 0.5)
     rows, _ = corpus(500)
-    features = quality.Features({f"{k}{c}": i for i, (k, c) in enumerate((k, c) for k in ("fine", "poor") for c in "abcdefgh")})
+    features = quality.Features({f"{k}{c}": i for i, (k, c) in enumerate((k, c) for k in ("fine", "poor") for c in "abcd")})
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     measures = np.array([quality.layout(r[1]) for r in rows])
     edges = np.quantile(measures, np.arange(1, 10) / 10, axis=0).T
