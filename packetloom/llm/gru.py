@@ -44,105 +44,132 @@ def start_values(shape: Shape, word_counts: np.ndarray, rare_counts: np.ndarray)
     """Small random weights; the biases say what the counts say, so an untrained network is a unigram model."""
     flat = np.random.default_rng(7).normal(0, 0.1, shape.size).astype(np.float32)
     p = shape.views(flat)
-    padded = np.full(shape.frequent * CLASS_SIZE, -30.0)
-    padded[: shape.words] = np.log(word_counts + 0.5)
+    total = float(word_counts.sum() + rare_counts.sum() + 1)
+    padded = np.full(shape.frequent * CLASS_SIZE, -60.0)
+    padded[: shape.words] = np.log((word_counts + 0.5) / total)
     by_class = np.add.reduceat(np.concatenate([word_counts, np.zeros(len(padded) - shape.words)]), np.arange(0, len(padded), CLASS_SIZE)) \
         if shape.words else np.zeros(0)
     p["bw"][:] = padded
-    p["bc"][:] = np.log(np.concatenate([by_class, rare_counts]) + 0.5)
+    p["bc"][:] = np.log((np.concatenate([by_class, rare_counts]) + 0.5) / total)
     p["wc"][:] *= 0.1
     p["ww"][:] *= 0.1
     return flat
 
 
-def lanes(docs: list[np.ndarray], width: int) -> list[list[int]]:
-    """Documents dealt to lanes of about equal length, the longest lane first."""
-    heap = [(0, k) for k in range(min(width, max(1, len(docs))))]
-    out: list[list[int]] = [[] for _ in heap]
-    total = [0] * len(heap)
-    for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
-        n, k = heapq.heappop(heap)
-        out[k].append(i)
-        total[k] = n + len(docs[i])
-        heapq.heappush(heap, (total[k], k))
-    return [out[k] for k in sorted(range(len(out)), key=lambda k: -total[k])]
-
-
-def windows(docs: list[np.ndarray], width: int, start: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Inputs, targets (-1: none), document numbers and starts of documents, lane by place, window after window.
-
-    The input is the token before the target, at the start of a document the number `start`.
-    """
-    targets, inputs, numbers, starts = [], [], [], []
-    for lane in lanes(docs, width):
-        own = [docs[i] for i in lane]
-        targets.append(np.concatenate(own) if own else np.zeros(0, np.int32))
-        inputs.append(np.concatenate([np.concatenate(([start], d[:-1])) for d in own]).astype(np.int32) if own else targets[-1])
-        numbers.append(np.repeat(lane, [len(d) for d in own]).astype(np.int64))
-        first = np.zeros(len(targets[-1]), dtype=bool)
-        first[np.cumsum([0, *[len(d) for d in own[:-1]]])] = bool(own)
-        starts.append(first)
-    longest = len(targets[0]) if targets else 0
-    for at in range(0, longest, WINDOW):
-        active = sum(len(t) > at for t in targets)
-        span = min(WINDOW, longest - at)
-        x = np.zeros((active, span), dtype=np.int32)
-        y, n, f = np.full_like(x, -1), np.zeros((active, span), dtype=np.int64), np.zeros((active, span), dtype=bool)
-        for k in range(active):
-            part = targets[k][at : at + span]
-            m = len(part)
-            y[k, :m], x[k, :m], n[k, :m], f[k, :m] = part, inputs[k][at : at + m], numbers[k][at : at + m], starts[k][at : at + m]
-        yield x, y, n, f
+class Lanes:
+    """Documents dealt to lanes of about equal length, in the order they come in, as one array with the longest lane first."""
+
+    def __init__(self, docs: list[np.ndarray], width: int, start: int):
+        heap = [(0, k) for k in range(min(width, max(1, len(docs))))]
+        dealt: list[list[int]] = [[] for _ in heap]
+        total = [0] * len(heap)
+        for i, doc in enumerate(docs):
+            n, k = heapq.heappop(heap)
+            dealt[k].append(i)
+            total[k] = n + len(doc)
+            heapq.heappush(heap, (total[k], k))
+        order = sorted(range(len(dealt)), key=lambda k: -total[k])
+        numbers = [i for k in order for i in dealt[k]]
+        sizes = np.array([len(docs[i]) for i in numbers], dtype=np.int64)
+        self.targets = np.concatenate([docs[i] for i in numbers]).astype(np.int32) if numbers else np.zeros(0, np.int32)
+        self.documents = np.repeat(np.array(numbers, dtype=np.int32), sizes)
+        self.first = np.zeros(len(self.targets), dtype=bool)
+        self.first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        self.inputs = np.concatenate(([start], self.targets[:-1])).astype(np.int32) if numbers else self.targets
+        self.inputs[self.first] = start
+        self.sizes = np.array([total[k] for k in order], dtype=np.int64)
+        self.at = np.cumsum(self.sizes) - self.sizes
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Inputs, targets (-1: none), document numbers and starts of documents, place by lane, window after window."""
+        for at in range(0, int(self.sizes.max(initial=0)), WINDOW):
+            active = int(np.count_nonzero(self.sizes > at))
+            span = np.arange(at, min(at + WINDOW, int(self.sizes[0])))[:, None]
+            there = span < self.sizes[:active]
+            place = np.where(there, span + self.at[:active], 0)
+            yield self.inputs[place], np.where(there, self.targets[place], -1), self.documents[place], self.first[place] & there
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """In place; exponentials are faster than tanh here."""
+    np.negative(x, out=x)
+    np.exp(np.minimum(x, 80, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def forward(p: dict, x: np.ndarray, first: np.ndarray, h: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """States after each place (places, lanes, HIDDEN) and the last one."""
     hid = HIDDEN
-    out = np.empty((x.shape[1], len(x), hid), dtype=np.float32)
+    out = np.empty((*x.shape, hid), dtype=np.float32)
     u, wx = p["u"], p["wx"]
-    for t in range(x.shape[1]):
-        if first[:, t].any():
-            h = h * ~first[:, t, None]
-        g = wx[x[:, t]]
+    for t in range(len(x)):
+        if first[t].any():
+            h = h * ~first[t, :, None]
+        g = wx[x[t]]
         hu = h @ u
-        zr = _sigmoid(g[:, : 2 * hid] + hu[:, : 2 * hid])
-        n = np.tanh(g[:, 2 * hid :] + zr[:, hid:] * hu[:, 2 * hid :])
+        g[:, : 2 * hid] += hu[:, : 2 * hid]
+        zr = _sigmoid(g[:, : 2 * hid].copy())
+        n = zr[:, hid:] * hu[:, 2 * hid :]
+        n += g[:, 2 * hid :]
+        n *= 2
+        n = _sigmoid(n)  # tanh(a) = 2 sigmoid(2 a) - 1
+        n *= 2
+        n -= 1
         if trace is not None:
             trace.append((h, zr, n, hu[:, 2 * hid :]))
-        h = n + zr[:, :hid] * (h - n)
-        out[t] = h
+        h = np.subtract(h, n, out=out[t])
+        h *= zr[:, :hid]
+        h += n
     return out, h
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 def class_of(shape: Shape, y: np.ndarray) -> np.ndarray:
     return np.where(y < shape.words, y // CLASS_SIZE, shape.frequent + y - shape.words)
 
 
-def by_class(shape: Shape, y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the frequent words of each class."""
-    places = np.flatnonzero(y < shape.words)
-    of = y[places] // CLASS_SIZE
-    order = np.argsort(of, kind="stable")
-    found, at = np.unique(of[order], return_index=True)
-    for k, part in zip(found.tolist(), np.split(places[order], at[1:])):
-        yield k, part
+def softmax(x: np.ndarray) -> np.ndarray:
+    """Over rows, in place. Biases are logarithms of shares, so only a bound on large values is needed, no maximum per row."""
+    np.exp(np.clip(x, -80, 60, out=x), out=x)
+    x /= (x @ np.ones(x.shape[1], dtype=x.dtype))[:, None]
+    return x
+
+
+class Words:
+    """The frequent words among targets, sorted by class, so that each class is one slice."""
+
+    def __init__(self, shape: Shape, y: np.ndarray):
+        places = np.flatnonzero(y < shape.words)
+        of = (y[places] // CLASS_SIZE).astype(np.int16)
+        order = np.argsort(of, kind="stable")
+        self.places, self.rank = places[order], y[places[order]] % CLASS_SIZE
+        edges = np.searchsorted(of[order], np.arange(shape.frequent + 1))
+        self.slices = [(k, slice(i, j), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)) for k, (i, j) in enumerate(zip(edges, edges[1:])) if j > i]
+
+    def shares(self, p: dict, states: np.ndarray) -> np.ndarray:
+        """Probabilities of all words of each one's class; `states` are those of the places."""
+        out = np.empty((len(states), CLASS_SIZE), dtype=np.float32)
+        for _, rows, cols in self.slices:
+            np.matmul(states[rows], p["ww"][:, cols], out=out[rows])
+            out[rows] += p["bw"][cols]
+        return softmax(out)
+
+
+#: Rows of the class layer worked on at a time, so that they stay in the processor's cache.
+CHUNK = 1024
 
 
 def log_probs(p: dict, shape: Shape, states: np.ndarray, y: np.ndarray) -> np.ndarray:
     """log10 of the probability of each target (of its class, for rarer words)."""
-    out = _log_softmax(states @ p["wc"] + p["bc"])[np.arange(len(y)), class_of(shape, y)]
-    for k, part in by_class(shape, y):
-        cols = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-        out[part] += _log_softmax(states[part] @ p["ww"][:, cols] + p["bw"][cols])[np.arange(len(part)), y[part] % CLASS_SIZE]
+    found = np.empty(len(y), dtype=np.float32)
+    of = class_of(shape, y)
+    for i in range(0, len(y), CHUNK):
+        part = softmax(states[i : i + CHUNK] @ p["wc"] + p["bc"])
+        found[i : i + CHUNK] = part[np.arange(len(part)), of[i : i + CHUNK]]
+    words = Words(shape, y)
+    shares = words.shares(p, states[words.places])
+    out = np.log(np.maximum(found, 1e-37)).astype(np.float64)
+    out[words.places] += np.log(np.maximum(shares[np.arange(len(shares)), words.rank], 1e-37))
     return out / _LN10
 
 
@@ -151,68 +178,101 @@ def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], width: int = 2
     p = shape.views(flat)
     total = np.zeros(len(docs))
     h = np.zeros((min(width, max(1, len(docs))), HIDDEN), dtype=np.float32)
-    for x, y, number, first in windows(docs, width, shape.words + shape.rare):
-        states, last = forward(p, x, first, h[: len(x)])
-        h = last
-        there = y.T >= 0
-        found = log_probs(p, shape, states[there], y.T[there])
-        total += np.bincount(number.T[there], weights=found, minlength=len(docs))
+    for x, y, number, first in Lanes(docs, width, shape.words + shape.rare).windows():
+        states, h = forward(p, x, first, h[: x.shape[1]])
+        there = y >= 0
+        found = log_probs(p, shape, states[there], y[there])
+        total += np.bincount(number[there], weights=found, minlength=len(docs))
     return total
 
 
-def train(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], width: int = 32, rate: float = 0.2) -> np.ndarray:
-    """One pass of truncated backpropagation with Adagrad; gradients end at the window, the state does not."""
-    flat = flat.copy()
-    p = shape.views(flat)
-    grad = np.zeros_like(flat)
-    g = shape.views(grad)
-    seen = np.full_like(flat, 1e-2)
+#: In training, longer documents are cut into pieces of this many tokens, which begin with an empty state: else lanes of unequal length would be
+#: worked on one by one. Scoring never does that.
+PIECE = 2048
+#: First value of Adagrad's sums of squares. Gradients are means over a window of all lanes, so their squares are small.
+SEEN = 1e-6
+
+
+def gradient(p: dict, g: dict, shape: Shape, x: np.ndarray, y: np.ndarray, first: np.ndarray, h: np.ndarray, scale: np.float32) -> tuple:
+    """Fills `g` but for the input rows. Returns the input rows used, their gradients, and the last state."""
     hid = HIDDEN
-    h = np.zeros((min(width, max(1, len(docs))), hid), dtype=np.float32)
-    for x, y, _, first in windows(docs, width, shape.words + shape.rare):
-        trace: list = []
-        states, last = forward(p, x, first, h[: len(x)], trace)
-        h = last
-        there = y.T >= 0
-        s, target = states[there], y.T[there]
-        grad[:] = 0
-        scale = np.float32(1.0 / len(target))
-        # Output layers.
-        d = np.exp(_log_softmax(s @ p["wc"] + p["bc"]))
-        d[np.arange(len(target)), class_of(shape, target)] -= 1
+    trace: list = []
+    states, last = forward(p, x, first, h, trace)
+    there = y >= 0
+    s, target = states[there], y[there]
+    of = class_of(shape, target)
+    ds = np.empty_like(s)
+    for part in (g["wc"], g["bc"], g["ww"], g["bw"]):
+        part[:] = 0
+    for i in range(0, len(target), CHUNK):
+        rows = slice(i, i + CHUNK)
+        d = softmax(s[rows] @ p["wc"] + p["bc"])
+        d[np.arange(len(d)), of[rows]] -= 1
         d *= scale
-        g["wc"] += s.T @ d
-        g["bc"] += d.sum(axis=0)
-        ds = d @ p["wc"].T
-        for k, part in by_class(shape, target):
-            cols = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-            d = np.exp(_log_softmax(s[part] @ p["ww"][:, cols] + p["bw"][cols]))
-            d[np.arange(len(part)), target[part] % CLASS_SIZE] -= 1
-            d *= scale
-            g["ww"][:, cols] += s[part].T @ d
-            g["bw"][cols] += d.sum(axis=0)
-            ds[part] += d @ p["ww"][:, cols].T
-        d_states = np.zeros_like(states)
-        d_states[there] = ds
-        # Back through the window.
-        back = np.zeros((len(x), hid), dtype=np.float32)
-        all_gates = np.empty((x.shape[1], len(x), 3 * hid), dtype=np.float32)
-        for t in range(x.shape[1] - 1, -1, -1):
-            before, zr, n, hu = trace[t]
-            z, r = zr[:, :hid], zr[:, hid:]
-            dh = back + d_states[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * hu * r * (1 - r)
-            all_gates[t] = np.concatenate([dz, dr, dn], axis=1)
-            through = np.concatenate([dz, dr, dn * r], axis=1)
-            g["u"] += before.T @ through
-            back = (dh * z + through @ p["u"].T) * ~first[:, t, None]
-        flat_x = x.T.reshape(-1)
-        order = np.argsort(flat_x, kind="stable")
-        used, at = np.unique(flat_x[order], return_index=True)
-        g["wx"][used] += np.add.reduceat(all_gates.reshape(-1, 3 * hid)[order], at)
-        np.clip(grad, -1, 1, out=grad)
-        seen += grad * grad
-        flat -= rate * grad / np.sqrt(seen)
-    return flat
+        g["wc"] += s[rows].T @ d
+        g["bc"] += np.ones(len(d), dtype=np.float32) @ d
+        np.matmul(d, p["wc"].T, out=ds[rows])
+    words = Words(shape, target)
+    ws = s[words.places]
+    d = words.shares(p, ws)
+    d[np.arange(len(d)), words.rank] -= 1
+    d *= scale
+    back = np.empty_like(ws)
+    for _, rows, cols in words.slices:
+        g["ww"][:, cols] = ws[rows].T @ d[rows]
+        g["bw"][cols] = d[rows].sum(axis=0)
+        np.matmul(d[rows], p["ww"][:, cols].T, out=back[rows])
+    ds[words.places] += back
+    d_states = np.zeros_like(states)
+    d_states[there] = ds
+    # Back through the window; gradients end there, the state does not.
+    gates = np.empty((*x.shape, 3 * hid), dtype=np.float32)
+    through = np.empty_like(gates)
+    before = np.empty_like(states)
+    back = np.zeros((x.shape[1], hid), dtype=np.float32)
+    ut = np.ascontiguousarray(p["u"].T)
+    for t in range(len(x) - 1, -1, -1):
+        before[t], zr, n, hu = trace[t]
+        z, r = zr[:, :hid], zr[:, hid:]
+        back += d_states[t]
+        a, b = gates[t], through[t]
+        dn = np.multiply(back, 1 - z, out=a[:, 2 * hid :])
+        dn *= 1 - n * n
+        np.multiply(back, before[t] - n, out=a[:, :hid])
+        np.multiply(dn, hu, out=a[:, hid : 2 * hid])
+        a[:, : 2 * hid] *= zr * (1 - zr)
+        b[:, : 2 * hid] = a[:, : 2 * hid]
+        np.multiply(dn, r, out=b[:, 2 * hid :])
+        back *= z
+        back += b @ ut
+        if first[t].any():
+            back[first[t]] = 0
+    g["u"][:] = before.reshape(-1, hid).T @ through.reshape(-1, 3 * hid)
+    flat_x = x.reshape(-1).astype(np.int16 if shape.words + shape.rare < 1 << 15 else np.int32)
+    order = np.argsort(flat_x, kind="stable")
+    used, at = np.unique(flat_x[order], return_index=True)
+    return used, np.add.reduceat(gates.reshape(-1, 3 * hid)[order], at), last
+
+
+def train(
+    flat: np.ndarray, shape: Shape, docs: list[np.ndarray], seen: np.ndarray | None = None, width: int = 256, rate: float = 0.2
+) -> tuple[np.ndarray, np.ndarray]:
+    """One pass of truncated backpropagation with Adagrad over the documents, in their order. Returns the values and the sums of squared
+    gradients, `seen`, from which another pass goes on."""
+    docs = [doc[i : i + PIECE] for doc in docs for i in range(0, len(doc), PIECE)]
+    flat = flat.copy()
+    seen = np.full_like(flat, SEEN) if seen is None else seen.copy()
+    grad = np.zeros_like(flat)
+    p, g, sums = shape.views(flat), shape.views(grad), shape.views(seen)
+    dense = slice(int(np.prod(shape.parts["wx"])), None)  # all but the input rows, of which a window uses some only
+    width = min(width, max(1, len(docs)))
+    scale = np.float32(1.0 / (width * WINDOW))
+    h = np.zeros((width, HIDDEN), dtype=np.float32)
+    for x, y, _, first in Lanes(docs, width, shape.words + shape.rare).windows():
+        used, rows, h = gradient(p, g, shape, x, y, first, h[: x.shape[1]], scale)
+        sums["wx"][used] += rows * rows
+        p["wx"][used] -= rate * rows / np.sqrt(sums["wx"][used])
+        step = grad[dense]
+        seen[dense] += step * step
+        flat[dense] -= rate * step / np.sqrt(seen[dense])
+    return flat, seen

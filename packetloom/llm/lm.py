@@ -6,8 +6,8 @@ share of the counts, an unseen one half a count. So each word of any text has a
 base treats them.
 
 Training: documents of the training folds run through truncated backpropagation, another part of them in each round (`PART`) and all of them once,
-where they lie, each task from the same values, and the values are averaged, weighted by tokens, in groups until few are left. What is learned
-from grows with the table; the network does not.
+where they lie, each task from the same values and sums of squared gradients; both are averaged, weighted by tokens, in groups until few are
+left, and the next round goes on from them. What is learned from grows with the table; the network does not.
 
 Scoring: one pass gives a document's tokens their network scores and looks up the counts of the `WARM` most frequent words, which
 every task holds (at most 64 bytes a word, so the table is bounded). Other words go by a join on the word with all counts. No
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -99,8 +100,7 @@ class Model:
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """A text's places in the table of warm words (-1: not there), its tokens, and its other words."""
         words = split(text)
-        get = self.number.get
-        at = np.array([get(w, -1) for w in words], dtype=np.int64)
+        at = np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         cold = np.flatnonzero(at < 0)
         others = [words[i] for i in cold.tolist()]
         tokens = self.token[at]
@@ -111,51 +111,51 @@ class Model:
 def fit(docs: DataFrame, model: Model, rounds: int = ROUNDS, part: int = PART) -> np.ndarray:
     """The network's values after `rounds` passes over a `part`-th of the training documents each, one part after the other."""
     spark = docs.sparkSession
-    values = model.values
+    # Values and sums of squared gradients, one after the other.
+    state = np.concatenate([model.values, np.full_like(model.values, gru.SEEN)])
     draw = F.pmod(F.floor(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) / 5), F.lit(part))
     for k in range(rounds):
-        model.values = values
-        held = spark.sparkContext.broadcast(model)
+        held = spark.sparkContext.broadcast((model, state))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = held.value
-            values, weight = own.values, 0
+            own, (values, seen) = held.value[0], np.split(held.value[1], 2)
+            weight = 0
             for batch in batches:
                 tokens = [own.read(t.as_py())[1] for t in batch.column("text")]
                 if tokens:
-                    values = gru.train(values, own.shape, tokens)
+                    values, seen = gru.train(values, own.shape, tokens, seen)
                     weight += sum(map(len, tokens))
             if weight:
-                yield _values_row(values, weight)
+                yield _state_row(np.concatenate([values, seen]), weight)
 
-        trained = docs.filter(draw == k % part).select("text").mapInArrow(run, "values binary, weight long")
-        values = average(trained, values)
+        trained = docs.filter(draw == k % part).select("text").mapInArrow(run, "state binary, weight long")
+        state = average(trained, state)
         held.destroy()  # what was trained is written by now
-    return values
+    return np.split(state, 2)[0]
 
 
-def _values_row(values: np.ndarray, weight: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([values.astype(np.float32).tobytes()], pa.binary()), pa.array([weight], pa.int64())], ["values", "weight"])
+def _state_row(state: np.ndarray, weight: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([state.astype(np.float32).tobytes()], pa.binary()), pa.array([weight], pa.int64())], ["state", "weight"])
 
 
 def average(rows: DataFrame, otherwise: np.ndarray, group: int = 16) -> np.ndarray:
-    """The weighted mean of the rows' values, by groups, so that neither a task nor the driver holds more than a group."""
+    """The weighted mean of the rows' states, by groups, so that neither a task nor the driver holds more than a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, weight = 0.0, 0
         for batch in batches:
-            for values, w in zip(batch.column("values"), batch.column("weight")):
-                total = total + np.frombuffer(values.as_py(), dtype=np.float32).astype(np.float64) * w.as_py()
+            for state, w in zip(batch.column("state"), batch.column("weight")):
+                total = total + np.frombuffer(state.as_py(), dtype=np.float32).astype(np.float64) * w.as_py()
                 weight += w.as_py()
         if weight:
-            yield _values_row(total / weight, weight)
+            yield _state_row(total / weight, weight)
 
-    rows = staged(rows, "network-values")
+    rows = staged(rows, "network-states")
     n = rows.count()
     while n > group:
-        rows = staged(rows.repartition(math.ceil(n / group)).mapInArrow(run, "values binary, weight long"), "network-values")
+        rows = staged(rows.repartition(math.ceil(n / group)).mapInArrow(run, "state binary, weight long"), "network-states")
         n = rows.count()
-    found = [(np.frombuffer(r["values"], dtype=np.float32).astype(np.float64), r["weight"]) for r in rows.collect()]
+    found = [(np.frombuffer(r["state"], dtype=np.float32).astype(np.float64), r["weight"]) for r in rows.collect()]
     if not found:
         return otherwise
     return (sum(v * w for v, w in found) / sum(w for _, w in found)).astype(np.float32)
@@ -219,7 +219,7 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     schema = "n_tokens long, warm long, base double, model double, cold array<binary>, times array<long>"
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    scored = staged(over_texts(keyed, schema, run, ["doc_id", "text_hash"], chars=8_000_000), "network-scores")
+    scored = staged(over_texts(keyed, schema, run, ["doc_id", "text_hash"], chars=32_000_000), "network-scores")
     key = ["doc_id", "text_hash"]
     others = scored.select(*key, F.explode(F.arrays_zip("cold", "times")).alias("w")).select(*key, F.col("w.cold").alias("word"), F.col("w.times").alias("n"))
     found = others.join(counts.select("word", "c"), "word", "left")
