@@ -85,12 +85,20 @@ def hashed_share(rows: DataFrame, most: int, *cols: str) -> DataFrame:
     return rows.filter((h < int(most / total * (1 << 30))) | (h == least))
 
 
-def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], total: int, share: int = 1000) -> DataFrame:
+#: Up to so many rows one task can take whatever their keys are.
+ONE_TASK = 1_000_000
+
+
+def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], total: int, share: int = 1000, one_task: int = ONE_TASK) -> DataFrame:
     """`rows` joined with `table`, which has one row per key and, in `n`, about how many of the `total` rows have it.
 
     Keys with over a `share`-th of the rows (at most `share` of them) are broadcast, so their rows stay where they are; the others are
-    joined by shuffle, in which no key is large. `rows` and `table` are read twice: written tables are best.
+    joined by shuffle, in which no key is large. Where no more than `one_task` rows are joined, no key can be too large. Otherwise `rows` and
+    `table` are written first, as both are read twice.
     """
+    if total <= one_task:
+        return rows.join(table, keys)
+    rows, table = staged(rows, "spread-rows"), staged(table, "spread-keys")
     is_hot = F.col("n") * share > total
     hot = F.broadcast(table.filter(is_hot))
     others = rows.join(F.broadcast(table.filter(is_hot).select(*keys)), keys, "left_anti")
@@ -119,11 +127,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = now
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")), name)
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
         met = join_spread(both, low, ["a"], 2 * now[0])
         large = staged(met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
-        low = staged(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), name)
-        met = join_spread(large, low, ["a"], large.count())
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        met = join_spread(large, low, ["a"], 2 * now[0])
         small = met.filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = staged(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), name)
 

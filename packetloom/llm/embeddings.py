@@ -222,9 +222,9 @@ def near_vectors(
         .select("class", "n", "rep", F.coalesce("root", "class").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")),
         "vector-roots",
     )
-    lowest = staged(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "vector-lowest")
-    labelled = join_spread(named.drop("n"), lowest, ["root"], sum(r.classes for r in lengths)).drop("n")
-    labelled = staged(labelled.join(named.select("class", "n"), "class"), "vector-labelled")
+    lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
+    labelled = join_spread(named.withColumnRenamed("n", "copies"), lowest, ["root"], sum(r.classes for r in lengths))
+    labelled = labelled.drop("n").withColumnRenamed("copies", "n")
     linked = join_spread(keyed.select("vec_id", "class"), labelled, ["class"], sum(r["rows"] for r in lengths))
     done = linked.select("vec_id", "n_links", "component_id").unionByName(lonely)
     return done.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -173,10 +173,8 @@ def _linked(docs: DataFrame, radius: int, shingle: int, shard_nodes: int) -> Dat
     nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("docs")), "fingerprint-nodes")
     roots = components(near_links(nodes, radius, shard_nodes), "simhash-links")
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "rep", "docs", F.coalesce("root", "fp").alias("root"))
-    rooted = staged(rooted, "simhash-roots")
-    lowest = staged(rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")), "simhash-lowest")
-    named = join_spread(rooted, lowest, ["root"], rooted.count())
-    named = staged(named.select("fp", "root", "component_id", F.col("docs").alias("n")), "simhash-named")
+    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
+    named = join_spread(rooted, lowest, ["root"], nodes.count()).select("fp", "root", "component_id", F.col("docs").alias("n"))
     return join_spread(marked, named, ["fp"], marked.count()).select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
