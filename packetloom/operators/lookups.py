@@ -9,6 +9,7 @@ from packetloom.operators.joins import broadcast_if_small
 from packetloom.operators.ordered import GROUP_LIMIT, before, find_hot_keys
 from packetloom.operators.spacing import TIMES_LIMIT, hot_times, times_apart
 from packetloom.operators.transfers import TTL_SECONDS
+from packetloom.sources.stage import write_stage
 
 DICT_KEY = ["sid", "dict_id"]
 USER_KEY = ["sid", "ident"]
@@ -34,8 +35,11 @@ def _asof(
 ) -> DataFrame:
     """Probes with the latest earlier non-NULL `values` of `states`: union, then one pass per key in arrival order.
 
-    `writers` has the same keys as `states` and is cheaper to count.
+    `writers` has the same keys as `states` and is cheaper to count. Where hot keys are searched for, probes are written first, so that
+    what leads to them runs once and not again for every count.
     """
+    if group_limit is not None:
+        probes = write_stage(probes, "probes")
     probe_cols = [c for c in probes.columns if c not in (*keys, *ORDER)]
     both = probes.select(*keys, *ORDER, F.struct(*probe_cols).alias("probe")).unionByName(
         states.select(*keys, "arrival_seq", F.lit(-1).alias("rec_idx"), *values), allowMissingColumns=True

@@ -21,6 +21,10 @@ from packetloom.sources.stage import write_stage
 GROUP_LIMIT = 4_000_000
 #: Buckets of the first count hold this share of `group_limit` on average, so a full one tells of a hot key at any size.
 _BUCKET_SHARE = 1 / 64
+#: Cuts of a key that one pass of quantiles gives; between them, finer cuts are counted off.
+_COARSE_CUTS = 1000
+#: Steps of a search by halving, from the largest down; they reach any place of an array.
+_HALVING = [2**i for i in range(30, -1, -1)]
 
 
 def limit_for(group_limit: int | None, *tables: DataFrame) -> int | None:
@@ -54,13 +58,15 @@ def find_hot_keys(
     full = write_stage(full, "full-buckets")
     if full.isEmpty():
         return None
-    rows = df.withColumn("bucket", bucket).join(broadcast_if_small(full), "bucket")
+    # Several counts follow: they read keys and positions of the full buckets, not what leads to them.
+    rows = df.select(*keys, *order).withColumn("bucket", bucket).join(broadcast_if_small(full), "bucket").drop("bucket")
+    rows = write_stage(rows, "full-bucket-rows")
     hot_df = write_stage(
         rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > group_limit), "hot-keys"
     )
     if hot_df.isEmpty():
         return None
-    busy = df.join(broadcast_if_small(hot_df.select(*keys)), keys)
+    busy = rows.join(broadcast_if_small(hot_df.select(*keys)), keys)
     measured = _bounds(busy, hot_df, keys, order[0], group_limit)
     crowded = _crowded(busy, keys, order, group_limit)
     found = measured.join(broadcast_if_small(crowded), keys, "left")
@@ -70,15 +76,41 @@ def find_hot_keys(
     )
 
 
+def _rank(bounds: Column, value: Column, field: str | None = None) -> Column:
+    """How many of the ascending `bounds` (or their `field`) are below `value`; halving looks at 31 of them, however many there are."""
+
+    def step(at: Column, ahead: Column) -> Column:
+        bound = F.get(bounds, at + ahead - 1)
+        return F.when((bound if field is None else bound[field]) < value, at + ahead).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(n) for n in _HALVING]), F.lit(0), step)
+
+
 def _bounds(rows: DataFrame, counts: DataFrame, keys: list[str], order: str, group_limit: int) -> DataFrame:
-    """`keys, bounds`: as many cuts per key as its count `n` in `counts` asks for, two to a limit."""
+    """`keys, bounds`: as many cuts per key as its count `n` in `counts` asks for, two to a limit.
+
+    Quantiles give up to `_COARSE_CUTS` of them. If the largest key needs more, the rows between these are numbered, and every
+    half limit there is a cut.
+    """
     largest = counts.agg(F.max("n")).first()[0]
-    pieces = 2 * math.ceil(largest / group_limit)
+    wanted = 2 * math.ceil(largest / group_limit)
+    pieces = min(wanted, _COARSE_CUTS)
     fractions = [i / pieces for i in range(1, pieces)]
     quantiles = F.percentile_approx(order, fractions, max(10000, 10 * pieces))
     measured = rows.groupBy(*keys).agg(quantiles.alias("bounds")).join(broadcast_if_small(counts), keys)
     step = F.greatest(F.lit(1), F.floor(F.lit(pieces * group_limit / 2) / F.col("n"))).cast("int")
-    return measured.select(*keys, F.array_distinct(F.filter("bounds", lambda b, i: (i + 1) % step == 0)).alias("bounds"))
+    cuts = measured.select(*keys, F.array_distinct(F.filter("bounds", lambda b, i: (i + 1) % step == 0)).alias("bounds"))
+    if wanted == pieces:
+        return cuts
+    cuts = write_stage(cuts, "coarse-bounds")
+    blocks = rows.select(*keys, order).join(broadcast_if_small(cuts), keys).select(
+        *keys, order, _rank(F.col("bounds"), F.col(order)).alias("block")
+    )
+    numbered = blocks.withColumn("rn", F.row_number().over(Window.partitionBy(*keys, "block").orderBy(order)))
+    fine = numbered.filter(F.col("rn") % max(1, group_limit // 2) == 0).groupBy(*keys).agg(F.collect_set(order).alias("fine"))
+    both = cuts.join(fine, keys, "left")
+    union = F.array_sort(F.array_union("bounds", F.coalesce("fine", F.array().cast(cuts.schema["bounds"].dataType))))
+    return both.select(*keys, union.alias("bounds"))
 
 
 def _crowded(rows: DataFrame, keys: list[str], order: list[str], group_limit: int) -> DataFrame:
@@ -99,7 +131,7 @@ def _crowded(rows: DataFrame, keys: list[str], order: list[str], group_limit: in
         kind = rows.schema[second].dataType.simpleString()
         none = F.array().cast(f"array<{kind}>")
         inside = rows.join(broadcast_if_small(places.select(*at)), at)
-        tied = too_full(inside, [*at, second], "ties").groupBy(*at).agg(F.collect_list(second).alias("ties"), parts.alias("parts"))
+        tied = too_full(inside, [*at, second], "ties").groupBy(*at).agg(F.array_sort(F.collect_list(second)).alias("ties"), parts.alias("parts"))
         bounds = places.select(*at) if places.isEmpty() else _bounds(inside, places, at, second, group_limit)
         bounds = bounds if "bounds" in bounds.columns else bounds.withColumn("bounds", none)
         cut = bounds.join(tied, at, "left").withColumn("ties", F.coalesce("ties", none))
@@ -107,7 +139,7 @@ def _crowded(rows: DataFrame, keys: list[str], order: list[str], group_limit: in
             F.col(order[0]).alias("at"), F.array_sort(F.array_union("bounds", "ties")).alias("inner"), "ties",
             F.coalesce("parts", F.lit(1)).alias("parts"),
         )
-    return cut.groupBy(*keys).agg(F.collect_list(shape).alias("crowded"))
+    return cut.groupBy(*keys).agg(F.array_sort(F.collect_list(shape)).alias("crowded"))
 
 
 def _slices(df: DataFrame, order: list[str], hot: DataFrame) -> tuple[Column, Column]:
@@ -115,14 +147,16 @@ def _slices(df: DataFrame, order: list[str], hot: DataFrame) -> tuple[Column, Co
 
     A crowded position is the upper end of its slice, so its rows come after the others there; the same holds for ties within it.
     """
-    below = F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col(order[0]))), F.lit(0))
+    below = F.when(F.col("bounds").isNull(), 0).otherwise(_rank(F.col("bounds"), F.col(order[0])))
     if "crowded" not in hot.columns:
         return F.struct(below.alias("s")), F.lit(0)
-    crowd = F.try_element_at(F.filter("crowded", lambda c: c["at"] == F.col(order[0])), F.lit(1))
+    near = F.when(F.size("crowded") > 0, F.get("crowded", _rank(F.col("crowded"), F.col(order[0]), "at")))
+    crowd = F.when(near["at"] == F.col(order[0]), near)
     inside, tie = F.lit(0), crowd.isNotNull()
     if len(order) > 1:
-        inside = F.coalesce(F.size(F.filter(crowd["inner"], lambda b: b < F.col(order[1]))), F.lit(0))
-        tie = F.coalesce(F.array_contains(crowd["ties"], F.col(order[1])), F.lit(False))
+        inside = F.when(crowd.isNull(), 0).otherwise(_rank(crowd["inner"], F.col(order[1])))
+        tied = F.get(crowd["ties"], _rank(crowd["ties"], F.col(order[1])))
+        tie = F.when(crowd.isNull(), False).otherwise(F.coalesce(tied == F.col(order[1]), F.lit(False)))
     # Maps cannot be hashed; rows that agree in all else share a part.
     told = [F.col(f"`{f.name}`") for f in df.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
     part = F.when(tie, F.pmod(F.xxhash64(*told), crowd["parts"])).otherwise(0)
@@ -151,16 +185,17 @@ def before(
     if hot is None:
         return df.withColumns(running(keys))
 
-    tagged = df.join(broadcast_if_small(hot), keys, "left")
     at, part = _slices(df, order, hot)
-    tagged = tagged.withColumns({"_slice": at, "_part": part})
+    tagged = df.join(broadcast_if_small(hot), keys, "left").withColumns({"_slice": at, "_part": part, "_cut": F.col("bounds").isNotNull()})
+    # The bounds stay behind: a row goes on with the number of its slice. Both passes read what was written.
+    tagged = write_stage(tagged.drop(*[c for c in hot.columns if c not in keys]), "sliced")
     solved = tagged.withColumns(running([*keys, "_slice", "_part"]))
 
     position = F.struct(*order)
     at_end = [
         F.max_by(value, F.when(value.isNotNull(), position)).alias(name) for name, value in last.items()
     ] + [F.max(value).alias(name) for name, value in largest.items()]
-    ends = tagged.filter("bounds IS NOT NULL").groupBy(*keys, "_slice").agg(*at_end)
+    ends = tagged.filter("_cut").groupBy(*keys, "_slice").agg(*at_end)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
         *keys,
@@ -172,4 +207,4 @@ def before(
     joined = solved.join(broadcast_if_small(write_stage(carried, "carried")), [*keys, "_slice"], "left")
     merged = {name: F.coalesce(name, f"_in_{name}") for name in last}
     merged |= {name: F.greatest(name, f"_in_{name}") for name in largest}
-    return joined.withColumns(merged).drop("_slice", "_part", *[c for c in hot.columns if c not in keys], *[f"_in_{n}" for n in merged])
+    return joined.withColumns(merged).drop("_slice", "_part", "_cut", *[f"_in_{n}" for n in merged])
