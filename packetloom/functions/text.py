@@ -28,6 +28,9 @@ STAGING_FIELDS = ["tod", "sz", "tm", "op", "rc"]
 # protocol / user . pid : sid @ host, cut at the first '/', the last '@', the first ':' and the last '.' before it.
 _IDENT = r"(?s)^([^/]*)/(?:([^:]*)\.)?([^:.]*):(.*)@([^@]*)$"
 
+# The usual form, which needs no search: one ':' and one '@' as far as it matters, and whole numbers that fit.
+_PLAIN_IDENT = r"(?s)^[^/:@]*/[^:@]*\.[0-9]{1,18}:[0-9]{1,18}@[^@]*$"
+
 
 def _integer(value: Column) -> Column:
     """Whole number with optional sign, blanks around and single underscores between digits; else NULL."""
@@ -66,7 +69,21 @@ def parse_user_ident(message: Column) -> Column:
         F.when(pid.isNull(), F.lit(0)).otherwise(F.coalesce(_integer(part(4)), F.lit(0))).alias("sid"),
         part(5).alias("host"),
     )
-    return F.when(whole.rlike(_IDENT), fields)
+    return F.when(message.rlike(_PLAIN_IDENT), _plain_ident(message)).when(whole.rlike(_IDENT), fields)
+
+
+def _plain_ident(message: Column) -> Column:
+    """As `parse_user_ident`, for identities of the usual form: cut by position instead of by a pattern per field."""
+    protocol, process = F.substring_index(message, "/", 1), F.substring_index(message, ":", 1)
+    pid = F.substring_index(process, ".", -1)
+    length = F.char_length(process) - F.char_length(protocol) - F.char_length(pid) - 2
+    return F.struct(
+        protocol.alias("protocol"),
+        F.substring(process, F.char_length(protocol) + 2, length).alias("username"),
+        pid.cast("bigint").alias("pid"),
+        F.substring_index(F.substring_index(message, "@", 1), ":", -1).cast("bigint").alias("sid"),
+        F.substring_index(message, "@", -1).alias("host"),
+    )
 
 
 def _last_value_of(message: Column, key: str, value: str) -> Column:

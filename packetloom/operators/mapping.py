@@ -27,8 +27,10 @@ def decode_map(framed: DataFrame, *extra: str) -> DataFrame:
     """
     info = text(tail(F.col("body"), 5))
     ident = F.substring_index("info", "\n", 1)
-    rest = F.substring(F.col("info"), F.char_length(ident) + 2, F.char_length("info"))
+    rest = F.substring(F.col("info"), F.char_length("ident_text") + 2, F.char_length("info"))
     split = framed.filter(F.col("kind").isin(MAP_KINDS) & (F.octet_length("body") >= 4)).withColumn("info", info)
+    # A column below the generator, which otherwise cuts the line out again wherever its parser looks at it.
+    split = split.withColumn("ident_text", ident)
     return split.select(
         *extra,
         "sid",
@@ -37,10 +39,10 @@ def decode_map(framed: DataFrame, *extra: str) -> DataFrame:
         "arrival_ts",
         "arrival_seq",
         uint(F.col("body"), 1, 4).alias("dict_id"),
-        ident.alias("ident_text"),
+        "ident_text",
         rest.alias("rest"),
         # In a generator of one row, so that filters on the identity do not make Spark parse it again.
-        F.explode_outer(F.array(parse_user_ident(ident))).alias("ident"),
+        F.explode_outer(F.array(parse_user_ident(F.col("ident_text")))).alias("ident"),
     ).withColumn("whole", has_protocol(F.col("ident_text")) | ~has_session(F.col("ident_text")))
 
 

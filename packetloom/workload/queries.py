@@ -128,8 +128,10 @@ def auth(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def server_info(spark: SparkSession, sf: str) -> DataFrame:
-    rows = mapping.server_messages(feeds.maps(spark, sf)).select("sid", "server.*")
-    used = feeds.framed(spark, sf, "transfer").groupBy("sid").agg(F.count("*").alias("packets"))
+    framed = feeds.framed(spark, sf, "transfer")
+    # Servers only: what other messages say is of no use here.
+    rows = mapping.server_messages(mapping.decode_map(framed.filter("kind = 'server'"))).select("sid", "server.*")
+    used = framed.groupBy("sid").agg(F.count("*").alias("packets"))
     return used.join(rows, "sid", "left")
 
 
