@@ -1,8 +1,39 @@
 """What keeps the work of a task from growing with the feed."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from packetloom.functions import text
+from packetloom.operators import ordered, transfers
+from packetloom.operators.fstream import CLOSE, OPEN, PROGRESS
+from packetloom.sources import stage
+from packetloom.workload import feeds
+from tests.conftest import SF
+
+
+def test_many_rows_are_ordered_by_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    rows = spark.range(2000).select((F.col("id") % 50).alias("k"), "id", (F.col("id") * 7 % 100).alias("v"))
+    plain = ordered.before(rows, ["k"], ["id"], last={"p": F.col("v")})
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100)
+    dealt = ordered.before(rows, ["k"], ["id"], last={"p": F.col("v")}, rows=2000)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert sorted(map(tuple, dealt.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_partitioned_stages_keep_files_open_and_restore_the_setting(spark):
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(option)
+    with pytest.raises(ZeroDivisionError), stage.open_files(spark):
+        assert int(spark.conf.get(option)) == stage.OPEN_FILES
+        raise ZeroDivisionError
+    assert spark.conf.get(option) == before
+    # More values than files that stay open.
+    rows = spark.range(1000).select("id", (F.col("id") % 40).cast("string").alias("kind"))
+    read = stage.write_stage(rows, "kinds", partition_by="kind")
+    assert sorted(map(tuple, read.select("id", "kind").collect())) == [(i, str(i % 40)) for i in range(1000)] and spark.conf.get(option) == before
+
 
 IDENTS = [
     "xroot/u1.5:7@n1.unl.edu", "xroot/a.b.07:008@h", "x/a/b.1:2@h:1094", "x/.1:2@h", "x/a.1:2@", "x/a.1:2@h\n", "x/a.1 :2@h", "x/a.-1:2@h",
@@ -21,3 +52,22 @@ def test_identities_cut_by_position_are_those_of_the_patterns(spark, monkeypatch
     assert sum(q for _, _, q in quick) >= 10
     monkeypatch.setattr(text, "_PLAIN_IDENT", "(?!)")
     assert [r[:2] for r in quick] == [r[:2] for r in parsed()]
+
+
+def test_overdue_transfers_have_the_progress_of_an_ordered_pass(spark):
+    pick, rows = random.Random(5), []
+    for at in range(1500):
+        rows.append((f"s{pick.randrange(2)}", pick.randrange(60), at // 2, at % 2, pick.choice([OPEN, CLOSE, PROGRESS, PROGRESS]), 1000 + at * 3, at))
+    seen = spark.createDataFrame(rows, "sid string, file_id long, arrival_seq long, rec_idx int, rec_type long, t_beg long, n long")
+    none = {c: F.lit(None).cast(t) for c, t in feeds.records(spark, SF).dtypes if c not in seen.columns}
+    records = seen.withColumns(none).withColumns(
+        {"arrival_ts": F.timestamp_seconds("t_beg"), **{c: F.col("n").cast("decimal(20,0)") for c in ("read", "readv", "write")}}
+    )
+    clock, ttl = 1000 + 1500 * 3, 900
+    got = transfers.overdue_transfers(records, clock, ttl).select("sid", "file_id", "open_seq", "open_idx", "read", "close_time")
+    old = transfers.pending_opens(records, clock).filter(clock - F.col("t_beg") > ttl).drop("progress")
+    want = old.join(transfers.attach_progress(records, None, ttl), [*transfers.FILE_KEY, "open_seq", "open_idx"])
+    want = want.select("sid", "file_id", "open_seq", "open_idx", "progress.read", F.col("t_beg") + ttl)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 0
+    # One pass over aggregates and a join; nothing is ordered.
+    assert "Window" not in transfers.overdue_transfers(records, clock, ttl)._jdf.queryExecution().optimizedPlan().toString()
