@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from packetloom.functions import text
-from packetloom.operators import ordered, transfers
+from packetloom.operators import fstream, ordered, record_walk, transfers
 from packetloom.operators.fstream import CLOSE, OPEN, PROGRESS
 from packetloom.sources import stage
 from packetloom.workload import feeds
@@ -71,3 +71,43 @@ def test_overdue_transfers_have_the_progress_of_an_ordered_pass(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 0
     # One pass over aggregates and a join; nothing is ordered.
     assert "Window" not in transfers.overdue_transfers(records, clock, ttl)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _odd_packets(pick, n):
+    """Bodies of file-stream packets with records of every kind and form, whole and broken, and random bytes."""
+    def num(value, width):
+        return value.to_bytes(width, "big")
+
+    def record():
+        kind = pick.choice([0, 0, 1, 1, 1, 2, 3, 3, 4, 7, 255])
+        flag = pick.choice([0, 1, 2, 3, 255])
+        size = pick.choice([0, 3, 8, 16, 19, 20, 24, 32, 40, 80, 90])
+        size = size if pick.random() < 0.3 else {0: 80 if flag & 2 else 32, 1: pick.choice([20, 21, 27]) if flag == 1 else 16, 2: 24, 3: 32}.get(kind, 8)
+        name = pick.choice([b"/a\x00\x00", b"/b\x00\n", b"\xff\xfe\x00x", "/ü\x00".encode()])
+        return num(kind, 1) + num(flag, 1) + num(size, 2) + (pick.randbytes(16) + name * 20 + pick.randbytes(80))[: max(size - 4, 0)]
+
+    for i in range(n):
+        if i % 50 == 0:
+            yield None if i % 100 == 0 else pick.randbytes(pick.randrange(60))
+            continue
+        held = [record() for _ in range(pick.choice([0, 1, 1, 2, 5, 70]))]
+        total = max(0, len(held) + pick.choice([0, 0, 0, -1, 1]))
+        first = pick.choice([24, 24, 24, 24, 24, 0, 16, 30, 60000])
+        body = num(pick.choice([2, 2, 2, 2, 2, 1]), 1) + num(0, 1) + num(first, 2) + num(1, 2) + num(total, 2) + pick.randbytes(16) + b"".join(held)
+        yield body if pick.random() < 0.8 else body[: pick.randrange(len(body) + 1)]
+
+
+def test_records_walked_by_whole_batches_are_those_of_the_expressions(spark, monkeypatch):
+    bodies = list(_odd_packets(random.Random(11), 1500))
+    framed = spark.createDataFrame([(f"s{i % 3}", "fstream" if i % 20 else "user", "a", i, b) for i, b in enumerate(bodies)],
+                                   "sid string, kind string, addr string, arrival_seq long, body binary")
+    framed = framed.withColumn("arrival_ts", F.timestamp_seconds("arrival_seq"))
+    plain = framed.transform(fstream.explode_fstream).transform(fstream.decode_records)
+    monkeypatch.setattr(record_walk, "PART_RECORDS", 500)
+    monkeypatch.setattr(fstream, "_walked", None)  # the walk by expressions, which took most of the time of records
+    walked = fstream.fstream_records(framed)
+    assert walked.dtypes == plain.dtypes
+    rows = sorted(map(tuple, plain.collect()), key=lambda r: (r[3], r[5]))
+    assert len(rows) > 2000 and {r[6] for r in rows} >= {0, 1, 2, 3, 4, 7, 255}
+    assert sorted(map(tuple, walked.collect()), key=lambda r: (r[3], r[5])) == rows
+    assert fstream.fstream_records(framed.limit(0)).collect() == []
