@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from packetloom.functions import text
-from packetloom.operators import fstream, ordered, record_walk, transfers
+from packetloom.operators import fstream, ordered, record_walk, report_cuts, summaries, transfers
 from packetloom.operators.fstream import CLOSE, OPEN, PROGRESS
 from packetloom.sources import stage
 from packetloom.workload import feeds
@@ -111,3 +111,49 @@ def test_records_walked_by_whole_batches_are_those_of_the_expressions(spark, mon
     assert len(rows) > 2000 and {r[6] for r in rows} >= {0, 1, 2, 3, 4, 7, 255}
     assert sorted(map(tuple, walked.collect()), key=lambda r: (r[3], r[5])) == rows
     assert fstream.fstream_records(framed.limit(0)).collect() == []
+
+
+def _report(pick, odd):
+    def num():
+        return pick.choice(["0", "17", "-3", "007", "x1", "1.5"]) if pick.random() < 0.1 else str(pick.randrange(5000))
+
+    def leaves(*names):
+        held = [f"<{n}>{num()}</{n}>" for n in names if pick.random() < 0.95]
+        return "".join(held + held[:1] * (pick.random() < 0.1))
+
+    def stats(name, inner):
+        return f'<stats id="{name}">{inner}</stats>'
+
+    sections = [
+        stats("info", "<host>h1.site</host><port>1094</port>"), stats("link", leaves("num", "tot", "in", "out", "ctime", "tmo")),
+        stats("proc", f"<usr><s>{num()}</s><u>1</u></usr><sys>{leaves('s', 'u') or '<s>1</s>'}</sys>"),
+        stats("xrootd", leaves("num") + f"<ops><open>3</open>{leaves('pr', 'rd', 'rv', 'sync', 'wr')}</ops>{leaves('err', 'dly', 'rdr')}"
+              f"<lgn><num>5</num>{leaves('af', 'au', 'ua')}</lgn>"),
+        stats("ofs", "<role>server</role>"), stats("sched", leaves("inq", "threads", "idle")), stats("sgen", leaves("as", "toe")),
+    ]
+    kept = [s for s in sections if pick.random() < 0.9] + ([pick.choice(sections)] if pick.random() < 0.1 else [])
+    site = pick.choice([' site="S1"', ""])
+    whole = f'<statistics tod="{num()}" ver="v5" src="h:1" tos="17" pgm="{pick.choice(["xrootd", "xrootd", "cmsd"])}" pid="{num()}"{site}>{"".join(kept)}</statistics>'
+    changes = [("<tot>", "<tot> "), ("<inq>", "<!-- c --><inq>"), ("h1.site", "h&amp;1"), ("<in>", "<in a='1'>"), ("</stats>", "", 1), ("ver=", "pid='3' ver="),
+               ("server", "sérver"), ("<num>", "<num></num><num>"), ("<as>", "<as><as>1</as>"), ('site="S1"', 'site=""'), ("</statistics>", "</statistics> "),
+               ("<port>1094</port>", "<tot><out>1</out></tot>"), ("<ops>", "<ops>5"), ("<link>", "<lgn>5</lgn>"), ('id="sched"', 'id="sched" b="1"')]
+    return whole.replace(*pick.choice(changes)) if odd else whole
+
+
+def test_reports_cut_by_position_are_those_of_the_parser(spark, monkeypatch):
+    pick = random.Random(3)
+    texts = [_report(pick, i % 3 == 0) for i in range(600)] + ["", "<", "<statistics>", "<statistics></statistics>", '<statistics pgm="xrootd"></statistics>']
+    rows = [(t.encode(), "a", i) for i, t in enumerate(texts)] + [(None, "a", -1), (b"\xff<statistics", "a", -2)]
+    feed = spark.createDataFrame(rows, "payload binary, addr string, arrival_seq long").withColumn("arrival_ts", F.timestamp_seconds("arrival_seq"))
+
+    def read():
+        shown = [sorted(map(repr, df.collect())) for df in (summaries.summary_fields(feed), summaries.bad_summaries(feed))]
+        cut = summaries._cut_reports(feed.select("addr", "arrival_ts", "arrival_seq", "payload")).filter("usual").count()
+        return shown, cut
+
+    monkeypatch.setattr(report_cuts, "LAYOUTS", 50)
+    (quick, cut) = read()
+    monkeypatch.setattr(report_cuts.Cutter, "read", lambda self, report: None)  # nothing is usual
+    (plain, none) = read()
+    assert cut > 350 and none == 0 and len(plain[0]) > 200 and len(plain[1]) > 50
+    assert quick == plain
