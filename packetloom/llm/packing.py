@@ -108,12 +108,20 @@ class WordIds:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids in `kind`, the end id last."""
-        split = [(t or "").encode("utf-8").split() for t in texts]
-        own = self.words
-        fresh = self._learn({w for words in split for w in words if w not in own})
-        if len(own) < _CACHE_WORDS:
-            own.update((w, v) for w, v in fresh.items() if len(w) <= 64)
-        got = [[own[w] if w in own else fresh[w] for w in words] for words in split]
+        own, got, lacking = self.words, [], {}
+        for i, text in enumerate(texts):
+            words = (text or "").encode("utf-8").split()
+            # One look per word, which may lie anywhere in a large store.
+            found = list(map(own.get, words))
+            if None in found:
+                lacking[i] = words
+            got.append(found)
+        if lacking:
+            fresh = self._learn({w for i, words in lacking.items() for w, v in zip(words, got[i]) if v is None})
+            if len(own) < _CACHE_WORDS:
+                own.update((w, v) for w, v in fresh.items() if len(w) <= 64)
+            for i, words in lacking.items():
+                got[i] = [fresh[w] if v is None else v for w, v in zip(words, got[i])]
         return [b"".join(g) + self.end for g in got]
 
 
