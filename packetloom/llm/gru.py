@@ -57,19 +57,20 @@ def start_values(shape: Shape, word_counts: np.ndarray, rare_counts: np.ndarray)
 
 
 class Lanes:
-    """Documents dealt to lanes of about equal length, in the order they come in, as one array with the longest lane first."""
+    """Documents dealt to lanes of about equal length, the longest first, as one array with the longest lane first. Within a lane they keep
+    the order they come in."""
 
     def __init__(self, docs: list[np.ndarray], width: int, start: int):
         heap = [(0, k) for k in range(min(width, max(1, len(docs))))]
         dealt: list[list[int]] = [[] for _ in heap]
         total = [0] * len(heap)
-        for i, doc in enumerate(docs):
-            n, k = heapq.heappop(heap)
+        for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
+            n, k = heap[0]
             dealt[k].append(i)
-            total[k] = n + len(doc)
-            heapq.heappush(heap, (total[k], k))
+            total[k] = n + len(docs[i])
+            heapq.heapreplace(heap, (total[k], k))
         order = sorted(range(len(dealt)), key=lambda k: -total[k])
-        numbers = [i for k in order for i in dealt[k]]
+        numbers = [i for k in order for i in sorted(dealt[k])]
         sizes = np.array([len(docs[i]) for i in numbers], dtype=np.int64)
         self.targets = np.concatenate([docs[i] for i in numbers]).astype(np.int32) if numbers else np.zeros(0, np.int32)
         self.documents = np.repeat(np.array(numbers, dtype=np.int32), sizes)
@@ -98,41 +99,71 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _turned(x: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(x.T)
+
+
 def forward(p: dict, x: np.ndarray, first: np.ndarray, h: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """States after each place (places, lanes, HIDDEN) and the last one."""
-    hid = HIDDEN
-    out = np.empty((*x.shape, hid), dtype=np.float32)
-    u, wx = p["u"], p["wx"]
+    """States after each place (places, HIDDEN, lanes) and the last one (lanes, HIDDEN).
+
+    A place's values lie feature by feature, so that each gate of all lanes is one block of memory.
+    """
+    hid, lanes = HIDDEN, x.shape[1]
+    out = np.empty((len(x), hid, lanes), dtype=np.float32)
+    ut, wt, h = _turned(p["u"]), _turned(p["wx"]), _turned(h)
+    starts = first.any(axis=1)
+    kept = len(x) if trace is not None else 1
+    gates, through = np.empty((kept, 3 * hid, lanes), dtype=np.float32), np.empty((kept, 3 * hid, lanes), dtype=np.float32)
+    before = np.empty_like(out) if trace is not None else None
     for t in range(len(x)):
-        if first[t].any():
-            h = h * ~first[t, :, None]
-        g = wx[x[t]]
-        hu = h @ u
-        g[:, : 2 * hid] += hu[:, : 2 * hid]
-        zr = _sigmoid(g[:, : 2 * hid].copy())
-        n = zr[:, hid:] * hu[:, 2 * hid :]
-        n += g[:, 2 * hid :]
+        if starts[t]:
+            h = h * ~first[t]
+        g, hu = (gates[t], through[t]) if trace is not None else (gates[0], through[0])
+        np.take(wt, x[t], axis=1, out=g, mode="clip")
+        np.matmul(ut, h, out=hu)
+        zr, n = g[: 2 * hid], g[2 * hid :]
+        zr += hu[: 2 * hid]
+        _sigmoid(zr)
+        if trace is not None:
+            before[t] = h
+        own = np.multiply(zr[hid:], hu[2 * hid :], out=out[t])
+        n += own
         n *= 2
-        n = _sigmoid(n)  # tanh(a) = 2 sigmoid(2 a) - 1
+        _sigmoid(n)  # tanh(a) = 2 sigmoid(2 a) - 1
         n *= 2
         n -= 1
-        if trace is not None:
-            trace.append((h, zr, n, hu[:, 2 * hid :]))
-        h = np.subtract(h, n, out=out[t])
-        h *= zr[:, :hid]
+        h = np.subtract(h, n, out=own)
+        h *= zr[:hid]
         h += n
-    return out, h
+    if trace is not None:
+        trace.extend((gates, through[:, 2 * hid :], before))
+    return out, h.T
 
 
 def class_of(shape: Shape, y: np.ndarray) -> np.ndarray:
     return np.where(y < shape.words, y // CLASS_SIZE, shape.frequent + y - shape.words)
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    """Over rows, in place. Biases are logarithms of shares, so only a bound on large values is needed, no maximum per row."""
-    np.exp(np.clip(x, -80, 60, out=x), out=x)
-    x /= (x @ np.ones(x.shape[1], dtype=x.dtype))[:, None]
-    return x
+def output_rows(states: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """The states of places with a target, a row each, and a 1 by which the bias is multiplied."""
+    rows = np.ones((states.shape[0] * states.shape[2], HIDDEN + 1), dtype=np.float32)
+    rows[:, :HIDDEN].reshape(len(states), -1, HIDDEN)[:] = states.transpose(0, 2, 1)
+    return rows if there.all() else rows[there.reshape(-1)]
+
+
+def with_bias(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Weights with the bias as their last row, and whether any state (none exceeds 1) can give values beyond those `exps` takes as they are."""
+    reach = np.abs(weights).sum(axis=0)
+    return np.vstack([weights, bias]), bool(((bias + reach > 60) | (bias - reach < -80)).any())
+
+
+def exps(x: np.ndarray, wide: bool) -> np.ndarray:
+    """In place. Biases are logarithms of shares, so only a bound on large values is needed, no maximum per row."""
+    return np.exp(np.clip(x, -80, 60, out=x) if wide else x, out=x)
+
+
+def row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], dtype=x.dtype)
 
 
 class Words:
@@ -143,33 +174,34 @@ class Words:
         of = (y[places] // CLASS_SIZE).astype(np.int16)
         order = np.argsort(of, kind="stable")
         self.places, self.rank = places[order], y[places[order]] % CLASS_SIZE
-        edges = np.searchsorted(of[order], np.arange(shape.frequent + 1))
+        edges = np.searchsorted(of[order], np.arange(shape.frequent + 1)).tolist()
         self.slices = [(k, slice(i, j), slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)) for k, (i, j) in enumerate(zip(edges, edges[1:])) if j > i]
 
-    def shares(self, p: dict, states: np.ndarray) -> np.ndarray:
-        """Probabilities of all words of each one's class; `states` are those of the places."""
-        out = np.empty((len(states), CLASS_SIZE), dtype=np.float32)
-        for _, rows, cols in self.slices:
-            np.matmul(states[rows], p["ww"][:, cols], out=out[rows])
-            out[rows] += p["bw"][cols]
-        return softmax(out)
+    def exps(self, weights: np.ndarray, wide: bool, rows: np.ndarray) -> np.ndarray:
+        """Of all words of each one's class; `rows` are those of the places."""
+        out = np.empty((len(rows), CLASS_SIZE), dtype=np.float32)
+        for _, part, cols in self.slices:
+            np.matmul(rows[part], weights[:, cols], out=out[part])
+        return exps(out, wide)
 
 
 #: Rows of the class layer worked on at a time, so that they stay in the processor's cache.
-CHUNK = 1024
+CHUNK = 512
 
 
-def log_probs(p: dict, shape: Shape, states: np.ndarray, y: np.ndarray) -> np.ndarray:
+def log_probs(p: dict, shape: Shape, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
     """log10 of the probability of each target (of its class, for rarer words)."""
     found = np.empty(len(y), dtype=np.float32)
     of = class_of(shape, y)
+    weights, wide = with_bias(p["wc"], p["bc"])
     for i in range(0, len(y), CHUNK):
-        part = softmax(states[i : i + CHUNK] @ p["wc"] + p["bc"])
-        found[i : i + CHUNK] = part[np.arange(len(part)), of[i : i + CHUNK]]
+        part = exps(rows[i : i + CHUNK] @ weights, wide)
+        found[i : i + CHUNK] = part[np.arange(len(part)), of[i : i + CHUNK]] / row_sums(part)
     words = Words(shape, y)
-    shares = words.shares(p, states[words.places])
+    shares = words.exps(*with_bias(p["ww"], p["bw"]), rows.take(words.places, axis=0))
+    own = shares[np.arange(len(shares)), words.rank] / row_sums(shares)
     out = np.log(np.maximum(found, 1e-37)).astype(np.float64)
-    out[words.places] += np.log(np.maximum(shares[np.arange(len(shares)), words.rank], 1e-37))
+    out[words.places] += np.log(np.maximum(own, 1e-37))
     return out / _LN10
 
 
@@ -181,7 +213,7 @@ def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], width: int = 2
     for x, y, number, first in Lanes(docs, width, shape.words + shape.rare).windows():
         states, h = forward(p, x, first, h[: x.shape[1]])
         there = y >= 0
-        found = log_probs(p, shape, states[there], y[there])
+        found = log_probs(p, shape, output_rows(states, there), y[there])
         total += np.bincount(number[there], weights=found, minlength=len(docs))
     return total
 
@@ -195,63 +227,68 @@ SEEN = 1e-6
 
 def gradient(p: dict, g: dict, shape: Shape, x: np.ndarray, y: np.ndarray, first: np.ndarray, h: np.ndarray, scale: np.float32) -> tuple:
     """Fills `g` but for the input rows. Returns the input rows used, their gradients, and the last state."""
-    hid = HIDDEN
+    hid, lanes = HIDDEN, x.shape[1]
     trace: list = []
     states, last = forward(p, x, first, h, trace)
     there = y >= 0
-    s, target = states[there], y[there]
+    s, target = output_rows(states, there), y[there]
     of = class_of(shape, target)
-    ds = np.empty_like(s)
-    for part in (g["wc"], g["bc"], g["ww"], g["bw"]):
-        part[:] = 0
+    ds = np.empty((len(s), hid), dtype=np.float32)
+    weights, wide = with_bias(p["wc"], p["bc"])
+    back = _turned(p["wc"])
+    total = np.zeros_like(weights)
     for i in range(0, len(target), CHUNK):
         rows = slice(i, i + CHUNK)
-        d = softmax(s[rows] @ p["wc"] + p["bc"])
-        d[np.arange(len(d)), of[rows]] -= 1
-        d *= scale
-        g["wc"] += s[rows].T @ d
-        g["bc"] += np.ones(len(d), dtype=np.float32) @ d
-        np.matmul(d, p["wc"].T, out=ds[rows])
+        d = exps(s[rows] @ weights, wide)
+        d *= (scale / row_sums(d))[:, None]
+        d[np.arange(len(d)), of[rows]] -= scale
+        total += s[rows].T @ d
+        np.matmul(d, back, out=ds[rows])
+    g["wc"][:], g["bc"][:] = total[:hid], total[hid]
     words = Words(shape, target)
-    ws = s[words.places]
-    d = words.shares(p, ws)
-    d[np.arange(len(d)), words.rank] -= 1
-    d *= scale
-    back = np.empty_like(ws)
+    ws = s.take(words.places, axis=0)
+    weights, wide = with_bias(p["ww"], p["bw"])
+    d = words.exps(weights, wide, ws)
+    d *= (scale / row_sums(d))[:, None]
+    d[np.arange(len(d)), words.rank] -= scale
+    back = np.empty((len(ws), hid), dtype=np.float32)
+    total = np.zeros_like(weights)
     for _, rows, cols in words.slices:
-        g["ww"][:, cols] = ws[rows].T @ d[rows]
-        g["bw"][cols] = d[rows].sum(axis=0)
+        total[:, cols] = ws[rows].T @ d[rows]
         np.matmul(d[rows], p["ww"][:, cols].T, out=back[rows])
+    g["ww"][:], g["bw"][:] = total[:hid], total[hid]
     ds[words.places] += back
-    d_states = np.zeros_like(states)
+    d_states = np.zeros((len(x), lanes, hid), dtype=np.float32)
     d_states[there] = ds
-    # Back through the window; gradients end there, the state does not.
-    gates = np.empty((*x.shape, 3 * hid), dtype=np.float32)
-    through = np.empty_like(gates)
-    before = np.empty_like(states)
-    back = np.zeros((x.shape[1], hid), dtype=np.float32)
-    ut = np.ascontiguousarray(p["u"].T)
+    d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
+    # Back through the window; gradients end there, the state does not. What reaches a state is multiplied by `factor` for each gate.
+    gates, hu, before = trace
+    z, r, n = gates[:, :hid], gates[:, hid : 2 * hid], gates[:, 2 * hid :]
+    factor = np.empty_like(gates)
+    to_new = (1 - z) * (1 - n * n)
+    np.multiply(before - n, z * (1 - z), out=factor[:, :hid])
+    np.multiply(to_new, r, out=factor[:, 2 * hid :])
+    np.multiply(factor[:, 2 * hid :], hu * (1 - r), out=factor[:, hid : 2 * hid])
+    through = factor  # in place, place by place
+    back = np.zeros((hid, lanes), dtype=np.float32)
+    u, starts = np.ascontiguousarray(p["u"]), first.any(axis=1)
     for t in range(len(x) - 1, -1, -1):
-        before[t], zr, n, hu = trace[t]
-        z, r = zr[:, :hid], zr[:, hid:]
         back += d_states[t]
-        a, b = gates[t], through[t]
-        dn = np.multiply(back, 1 - z, out=a[:, 2 * hid :])
-        dn *= 1 - n * n
-        np.multiply(back, before[t] - n, out=a[:, :hid])
-        np.multiply(dn, hu, out=a[:, hid : 2 * hid])
-        a[:, : 2 * hid] *= zr * (1 - zr)
-        b[:, : 2 * hid] = a[:, : 2 * hid]
-        np.multiply(dn, r, out=b[:, 2 * hid :])
-        back *= z
-        back += b @ ut
-        if first[t].any():
-            back[first[t]] = 0
-    g["u"][:] = before.reshape(-1, hid).T @ through.reshape(-1, 3 * hid)
-    flat_x = x.reshape(-1).astype(np.int16 if shape.words + shape.rare < 1 << 15 else np.int32)
-    order = np.argsort(flat_x, kind="stable")
-    used, at = np.unique(flat_x[order], return_index=True)
-    return used, np.add.reduceat(gates.reshape(-1, 3 * hid)[order], at), last
+        d_states[t] = back
+        parts = through[t].reshape(3, hid, lanes)
+        parts *= back
+        back *= z[t]
+        back += u @ through[t]
+        if starts[t]:
+            back *= ~first[t]
+    g["u"][:] = np.matmul(before, through.transpose(0, 2, 1)).sum(axis=0)
+    through[:, 2 * hid :] = to_new * d_states  # from here on those of the gates' sums
+    flat_x = x.reshape(-1)
+    used = np.flatnonzero(np.bincount(flat_x))
+    sums = np.empty((3 * hid, len(p["wx"])))
+    for k in range(3 * hid):
+        sums[k] = np.bincount(flat_x, weights=through[:, k].reshape(-1), minlength=sums.shape[1])
+    return used, sums.T[used].astype(np.float32), last
 
 
 def train(

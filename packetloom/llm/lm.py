@@ -9,9 +9,9 @@ Training: documents of the training folds run through truncated backpropagation,
 where they lie, each task from the same values and sums of squared gradients; both are averaged, weighted by tokens, in groups until few are
 left, and the next round goes on from them. What is learned from grows with the table; the network does not.
 
-Scoring: one pass gives a document's tokens their network scores and looks up the counts of the `WARM` most frequent words, which
-every task holds (at most 64 bytes a word, so the table is bounded). Other words go by a join on the word with all counts. No
-document is cut, sampled or left out.
+Reading: after the counts, one pass turns each document into token numbers of two bytes and looks up the counts of the `WARM` most frequent
+words, which every task holds (at most 64 bytes a word, so the table is bounded); both are written once, and training and scoring read the
+numbers. Other words go by a join on the word with all counts. No document is cut, sampled or left out.
 
 Defined cases: a NULL text is empty and has the end token alone; a NULL id is its own fold's remainder of the empty text and counts as training; repeated
 rows score alike and count twice in training; an empty training set gives counts of zero; an empty table gives no rows.
@@ -39,6 +39,8 @@ WARM = 200_000
 PART = 8
 ROUNDS = PART
 END = b"\n"  # no word holds white space
+#: Numbers of network words and rare classes, as they are written.
+TOKEN = np.dtype("<u2")
 _ENDING = 2
 _COUNTER = 400_000
 
@@ -108,27 +110,63 @@ class Model:
         return at, tokens, others
 
 
+def token_rows(docs: DataFrame, model: Model, name: str = "network-tokens") -> DataFrame:
+    """`doc_id, text_hash, n_tokens, warm, base, beside, cold, times, tokens` per row of `docs`, written once: token numbers, and what is
+    known of a text without the network: its number of warm words, their share of both scores, its other words and how often they occur."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(texts: list[str | None]) -> dict[str, object]:
+        own = held.value
+        n, known, base, beside, cold, tokens = [], [], [], [], [], []
+        for text in texts:
+            at, numbers, others = own.read(text)
+            warm_at = at[at >= 0]
+            n.append(len(at))
+            known.append(len(warm_at))
+            # A word's log10(c + 0.5) is in the base score of all, and in the model's score of words outside the network.
+            base.append(float(own.log_counts[warm_at].sum()))
+            outside = warm_at[warm_at >= own.shape.words]
+            kinds = numbers[numbers >= own.shape.words] - own.shape.words
+            beside.append(float(own.log_counts[outside].sum()) - float(own.rare_total[kinds].sum()))
+            cold.append(Counter(others))
+            tokens.append(numbers.astype(TOKEN).tobytes())
+        return {
+            "n_tokens": np.array(n, dtype=np.int64), "warm": np.array(known, dtype=np.int64), "base": np.array(base), "beside": np.array(beside),
+            "cold": pa.array([list(c) for c in cold], pa.list_(pa.binary())),
+            "times": pa.array([list(c.values()) for c in cold], pa.list_(pa.int64())), "tokens": pa.array(tokens, pa.binary()),
+        }
+
+    schema = "n_tokens long, warm long, base double, beside double, cold array<binary>, times array<long>, tokens binary"
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return staged(over_texts(keyed, schema, run, ["doc_id", "text_hash"], chars=32_000_000), name)
+
+
 def fit(docs: DataFrame, model: Model, rounds: int = ROUNDS, part: int = PART) -> np.ndarray:
     """The network's values after `rounds` passes over a `part`-th of the training documents each, one part after the other."""
-    spark = docs.sparkSession
+    return fit_tokens(token_rows(docs, model), model, rounds, part)
+
+
+def fit_tokens(rows: DataFrame, model: Model, rounds: int = ROUNDS, part: int = PART) -> np.ndarray:
+    """`fit` from rows `doc_id, tokens` (see `token_rows`)."""
+    spark, shape = rows.sparkSession, model.shape
     # Values and sums of squared gradients, one after the other.
     state = np.concatenate([model.values, np.full_like(model.values, gru.SEEN)])
     draw = F.pmod(F.floor(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) / 5), F.lit(part))
     for k in range(rounds):
-        held = spark.sparkContext.broadcast((model, state))
+        held = spark.sparkContext.broadcast(state)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, (values, seen) = held.value[0], np.split(held.value[1], 2)
+            values, seen = np.split(held.value, 2)
             weight = 0
             for batch in batches:
-                tokens = [own.read(t.as_py())[1] for t in batch.column("text")]
+                tokens = [np.frombuffer(t.as_py(), dtype=TOKEN) for t in batch.column("tokens")]
                 if tokens:
-                    values, seen = gru.train(values, own.shape, tokens, seen)
+                    values, seen = gru.train(values, shape, tokens, seen)
                     weight += sum(map(len, tokens))
             if weight:
                 yield _state_row(np.concatenate([values, seen]), weight)
 
-        trained = docs.filter(draw == k % part).select("text").mapInArrow(run, "state binary, weight long")
+        trained = rows.filter(draw == k % part).select("tokens").mapInArrow(run, "state binary, weight long")
         state = average(trained, state)
         held.destroy()  # what was trained is written by now
     return np.split(state, 2)[0]
@@ -191,37 +229,17 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
     frequent = spark.createDataFrame([(bytearray(w),) for w, _, _ in warm[:WORDS]], "word binary")
     rest = counts.join(F.broadcast(frequent), "word", "left_anti").groupBy("kind").agg(F.sum("c"), F.count("*")).collect()
     model = Model(warm, total, distinct, {r[0]: (r[1], r[2]) for r in rest})
-    model.values = fit(training, model)
-    held = spark.sparkContext.broadcast(model)
+    rows = token_rows(docs, model)
+    shape = model.shape
+    values = spark.sparkContext.broadcast(fit_tokens(rows.filter(fold(F.col("doc_id")) != held_out), model))
 
-    def run(texts: list[str | None]) -> dict[str, object]:
-        own = held.value
-        n, known, base, shared, rare, cold, tokens = [], [], [], [], [], [], []
-        for text in texts:
-            at, numbers, others = own.read(text)
-            warm_at = at[at >= 0]
-            n.append(len(at))
-            known.append(len(warm_at))
-            # A word's log10(c + 0.5) is in the base score of all, and in the model's score of words outside the network.
-            base.append(float(own.log_counts[warm_at].sum()))
-            outside = warm_at[warm_at >= own.shape.words]
-            shared.append(float(own.log_counts[outside].sum()))
-            kinds = numbers[numbers >= own.shape.words] - own.shape.words
-            rare.append(float(own.rare_total[kinds].sum()))
-            cold.append(Counter(others))
-            tokens.append(numbers)
-        return {
-            "n_tokens": np.array(n, dtype=np.int64), "warm": np.array(known, dtype=np.int64), "base": np.array(base),
-            "model": gru.score(own.values, own.shape, tokens) + np.array(shared) - np.array(rare),
-            "cold": pa.array([list(c) for c in cold], pa.list_(pa.binary())),
-            "times": pa.array([list(c.values()) for c in cold], pa.list_(pa.int64())),
-        }
+    def run(texts: list[bytes]) -> dict[str, object]:
+        return {"net": gru.score(values.value, shape, [np.frombuffer(t, dtype=TOKEN) for t in texts])}
 
-    schema = "n_tokens long, warm long, base double, model double, cold array<binary>, times array<long>"
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    scored = staged(over_texts(keyed, schema, run, ["doc_id", "text_hash"], chars=32_000_000), "network-scores")
+    known = ["n_tokens", "warm", "base", "beside"]
+    scored = staged(over_texts(rows, "net double", run, ["doc_id", "text_hash", *known], text="tokens", chars=10_000_000), "network-scores")
     key = ["doc_id", "text_hash"]
-    others = scored.select(*key, F.explode(F.arrays_zip("cold", "times")).alias("w")).select(*key, F.col("w.cold").alias("word"), F.col("w.times").alias("n"))
+    others = rows.select(*key, F.explode(F.arrays_zip("cold", "times")).alias("w")).select(*key, F.col("w.cold").alias("word"), F.col("w.times").alias("n"))
     found = others.join(counts.select("word", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     sums = found.groupBy(*key).agg(
@@ -229,8 +247,7 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
     )
     # Repeated rows share a key, and so their sums hold each of them.
     copies = scored.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1")
-    joined = scored.drop("cold", "times")
-    joined = joined.join(sums, same(joined, sums, *key), "left").select(joined["*"], "cold_log", "cold_known")
+    joined = scored.join(sums, same(scored, sums, *key), "left").select(scored["*"], "cold_log", "cold_known")
     joined = joined.join(copies, same(joined, copies, *key), "left").select(joined["*"], F.coalesce("copies", F.lit(1)).alias("copies"))
     rest_log = F.coalesce("cold_log", F.lit(0.0)) / F.col("copies")
     return joined.select(
@@ -238,5 +255,5 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
         (F.col("warm") + F.coalesce("cold_known", F.lit(0)) / F.col("copies")).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + rest_log - F.col("n_tokens") * F.lit(model.base_total)).alias("base_score"),
-        (F.col("model") + rest_log).alias("score"),
+        (F.col("net") + F.col("beside") + rest_log).alias("score"),
     )
