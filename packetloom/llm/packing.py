@@ -45,10 +45,10 @@ _loaded: dict[int, "WordIds"] = {}
 
 
 def id_kind(vocabulary: str) -> str:
-    """Two bytes per id where the vocabulary allows it."""
+    """Two bytes per id where the vocabulary allows it; the largest number is kept free."""
     held = json.loads(vocabulary)
     ids = [*held["model"]["vocab"].values(), *[t["id"] for t in held.get("added_tokens", [])]]
-    return "<u2" if max(ids) < 65536 else "<u4"
+    return "<u2" if max(ids) < 65535 else "<u4"
 
 
 class WordIds:
@@ -59,15 +59,17 @@ class WordIds:
     """
 
     # The vocabulary file's split pattern for lower-case words of the letters below (fixed by the file).
-    PLAIN = re.compile(r"(?:(?!<\|)[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])+")
-    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+    # The space parts words that are joined by one.
+    LETTERS = re.compile(r"[ -~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9 ]+| ")
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.kind = np.dtype(id_kind(vocabulary))
+        self.free = np.iinfo(self.kind).max  # no id; stands between words
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {" ": np.array([self.free], dtype=self.kind).tobytes()}
         pieces = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.kind = np.dtype(id_kind(vocabulary))
         self.last = np.zeros(max(pieces.values()) + 1, dtype=bool)
         self.last[[i for piece, i in pieces.items() if piece.endswith("</w>")]] = True
         self.end = np.array([END_ID], dtype=self.kind).tobytes()
@@ -90,39 +92,52 @@ class WordIds:
                 made.update((p, one.tobytes()) for p, one in zip(group, self._whole(group)))
         return made
 
+    def _plain(self, text: str) -> bool:
+        return "<|" not in text and self.LETTERS.fullmatch(text) is not None
+
+    def _learn_plain(self, words: list[bytes]) -> dict[bytes, bytes]:
+        own = self.parts
+        parts = self.PARTS.findall(b" ".join(words).decode("utf-8").lower())
+        found = list(map(own.get, parts))
+        lacking = [i for i, v in enumerate(found) if v is None]
+        if lacking:
+            fresh = self._learn_parts(list({parts[i] for i in lacking}))
+            if len(own) < _CACHE_PARTS:
+                own.update((p, v) for p, v in fresh.items() if len(p) <= 64)
+            for i in lacking:
+                found[i] = fresh[parts[i]]
+        data, size = b"".join(found), self.kind.itemsize
+        at = np.flatnonzero(np.frombuffer(data, dtype=self.kind) == self.free) * size
+        return {w: data[i:j] for w, i, j in zip(words, [0, *(at + size).tolist()], [*at.tolist(), len(data)])}
+
     def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
-        cut, whole = {}, []
-        for word in new:
-            text = word.decode("utf-8")
-            if self.PLAIN.fullmatch(text):
-                cut[word] = self.PARTS.findall(text.lower())
+        plain, whole, words = [], [], list(new)
+        for group in (words[i : i + 100] for i in range(0, len(words), 100)):
+            if self._plain(b" ".join(group).decode("utf-8")):
+                plain += group
             else:
-                whole.append(word)
-        own = self.parts
-        fresh = self._learn_parts(list({p for parts in cut.values() for p in parts if p not in own}))
-        if len(own) < _CACHE_PARTS:
-            own.update((p, v) for p, v in fresh.items() if len(p) <= 64)
-        known = {w: b"".join([own[p] if p in own else fresh[p] for p in parts]) for w, parts in cut.items()}
+                for word in group:
+                    (plain if self._plain(word.decode("utf-8")) else whole).append(word)
+        known = self._learn_plain(plain) if plain else {}
         known.update((w, one.tobytes()) for w, one in zip(whole, self._whole([w.decode("utf-8") for w in whole])))
         return known
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids in `kind`, the end id last."""
-        own, got, lacking = self.words, [], {}
-        for i, text in enumerate(texts):
-            words = (text or "").encode("utf-8").split()
-            # One look per word, which may lie anywhere in a large store.
-            found = list(map(own.get, words))
-            if None in found:
-                lacking[i] = words
-            got.append(found)
+        own, words, ends = self.words, [], [0]
+        for text in texts:
+            words += (text or "").encode("utf-8").split()
+            ends.append(len(words))
+        # One look per word, which may lie anywhere in a large store.
+        found = list(map(own.get, words))
+        lacking = [i for i, v in enumerate(found) if v is None]
         if lacking:
-            fresh = self._learn({w for i, words in lacking.items() for w, v in zip(words, got[i]) if v is None})
+            fresh = self._learn({words[i] for i in lacking})
             if len(own) < _CACHE_WORDS:
                 own.update((w, v) for w, v in fresh.items() if len(w) <= 64)
-            for i, words in lacking.items():
-                got[i] = [fresh[w] if v is None else v for w, v in zip(words, got[i])]
-        return [b"".join(g) + self.end for g in got]
+            for i in lacking:
+                found[i] = fresh[words[i]]
+        return [b"".join(found[i:j]) + self.end for i, j in zip(ends, ends[1:])]
 
 
 def word_ids(broadcast) -> WordIds:
