@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.operators.joins import broadcast_if_small
-from packetloom.operators.ordered import GROUP_LIMIT, before, find_hot_keys, rows_of
+from packetloom.operators.ordered import GROUP_LIMIT, before, find_hot_keys, rank, rows_of
 from packetloom.operators.spacing import TIMES_LIMIT, hot_times, times_apart
 from packetloom.operators.transfers import TTL_SECONDS
 from packetloom.sources.stage import write_stage
@@ -15,6 +15,8 @@ DICT_KEY = ["sid", "dict_id"]
 USER_KEY = ["sid", "ident"]
 ORDER = ["arrival_seq", "rec_idx"]
 LEASE_GROUP_LIMIT = TIMES_LIMIT
+#: Probes at no more places than this have what they look up reduced first.
+PLACES = 100
 
 
 def _age(since: str, at: str = "arrival_ts"):
@@ -36,10 +38,13 @@ def _asof(
     """Probes with the latest earlier non-NULL `values` of `states`: union, then one pass per key in arrival order.
 
     `writers` has the same keys as `states` and is cheaper to count. Where hot keys are searched for, probes are written first, so that
-    what leads to them runs once and not again for every count.
+    what leads to them runs once and not again for every count. If they stand at few places, a key keeps only what it says last before each.
     """
     if group_limit is not None:
         probes = write_stage(probes, "probes")
+        asked = _few_places(probes)
+        if asked is not None:
+            states, writers = write_stage(_last_before(states, keys, values, asked), "latest-states"), None
     probe_cols = [c for c in probes.columns if c not in (*keys, *ORDER)]
     both = probes.select(*keys, *ORDER, F.struct(*probe_cols).alias("probe")).unionByName(
         states.select(*keys, "arrival_seq", F.lit(-1).alias("rec_idx"), *values), allowMissingColumns=True
@@ -54,6 +59,26 @@ def _asof(
     )
 
 
+def _few_places(probes: DataFrame) -> list[int] | None:
+    """The positions of all `probes` in ascending order; None if they are many, or one is not known."""
+    about = probes.agg(F.approx_count_distinct("arrival_seq")).first()[0]
+    if about > 2 * PLACES:
+        return None
+    found = [r.arrival_seq for r in probes.select("arrival_seq").distinct().limit(PLACES + 1).collect()]
+    return None if len(found) > PLACES or None in found else sorted(found)
+
+
+def _last_before(states: DataFrame, keys: list[str], values: list[str], places: list[int]) -> DataFrame:
+    """Of the `states` of a key between two `places` the last value of each kind, in one row: no probe sees more of them. States after the
+    last place are left out. Every map task reduces its states before they are shuffled."""
+    at = F.struct("arrival_seq")
+    slot = F.lit(0) if len(places) < 2 else rank(F.array(*[F.lit(p) for p in places]), F.col("arrival_seq"))
+    seen = states.filter(F.coalesce(F.col("arrival_seq") <= F.lit(places[-1]), F.lit(True))) if places else states.limit(0)
+    return seen.withColumn("_slot", slot).groupBy(*keys, "_slot").agg(
+        F.max("arrival_seq").alias("arrival_seq"), *[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(v) for v in values]
+    ).drop("_slot")
+
+
 def lookup_dict(
     transfers: DataFrame,
     entries: DataFrame,

@@ -94,7 +94,7 @@ def find_hot_keys(
     )
 
 
-def _rank(bounds: Column, value: Column, field: str | None = None) -> Column:
+def rank(bounds: Column, value: Column, field: str | None = None) -> Column:
     """How many of the ascending `bounds` (or their `field`) are below `value`; halving looks at 31 of them, however many there are."""
 
     def step(at: Column, ahead: Column) -> Column:
@@ -122,7 +122,7 @@ def _bounds(rows: DataFrame, counts: DataFrame, keys: list[str], order: str, gro
         return cuts
     cuts = write_stage(cuts, "coarse-bounds")
     blocks = rows.select(*keys, order).join(broadcast_if_small(cuts), keys).select(
-        *keys, order, _rank(F.col("bounds"), F.col(order)).alias("block")
+        *keys, order, rank(F.col("bounds"), F.col(order)).alias("block")
     )
     numbered = blocks.withColumn("rn", F.row_number().over(Window.partitionBy(*keys, "block").orderBy(order)))
     fine = numbered.filter(F.col("rn") % max(1, group_limit // 2) == 0).groupBy(*keys).agg(F.collect_set(order).alias("fine"))
@@ -165,15 +165,15 @@ def _slices(df: DataFrame, order: list[str], hot: DataFrame) -> tuple[Column, Co
 
     A crowded position is the upper end of its slice, so its rows come after the others there; the same holds for ties within it.
     """
-    below = F.when(F.col("bounds").isNull(), 0).otherwise(_rank(F.col("bounds"), F.col(order[0])))
+    below = F.when(F.col("bounds").isNull(), 0).otherwise(rank(F.col("bounds"), F.col(order[0])))
     if "crowded" not in hot.columns:
         return F.struct(below.alias("s")), F.lit(0)
-    near = F.when(F.size("crowded") > 0, F.get("crowded", _rank(F.col("crowded"), F.col(order[0]), "at")))
+    near = F.when(F.size("crowded") > 0, F.get("crowded", rank(F.col("crowded"), F.col(order[0]), "at")))
     crowd = F.when(near["at"] == F.col(order[0]), near)
     inside, tie = F.lit(0), crowd.isNotNull()
     if len(order) > 1:
-        inside = F.when(crowd.isNull(), 0).otherwise(_rank(crowd["inner"], F.col(order[1])))
-        tied = F.get(crowd["ties"], _rank(crowd["ties"], F.col(order[1])))
+        inside = F.when(crowd.isNull(), 0).otherwise(rank(crowd["inner"], F.col(order[1])))
+        tied = F.get(crowd["ties"], rank(crowd["ties"], F.col(order[1])))
         tie = F.when(crowd.isNull(), False).otherwise(F.coalesce(tied == F.col(order[1]), F.lit(False)))
     # Maps cannot be hashed; rows that agree in all else share a part.
     told = [F.col(f"`{f.name}`") for f in df.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
